@@ -51,24 +51,24 @@ def _points(pages: DataFrame, profile: str, page_cap: int | None) -> DataFrame:
         F.explode("instruments").alias("i"))
     i = F.col("i")
     if profile == "strict":
-        instrument = first_present(i.instrument_name, i.instrument_id, i.name, F.lit("UNKNOWN"))
+        instrument = first_present(i["instrument_name"], i["instrument_id"], i["name"], F.lit("UNKNOWN"))
     elif profile == "light":
-        instrument = truthy_first(i.instrument_name, i.instrument_id, F.lit("UNKNOWN"))
+        instrument = truthy_first(i["instrument_name"], i["instrument_id"], F.lit("UNKNOWN"))
     else:
-        instrument = _py_str(i.instrument_id)
+        instrument = _py_str(i["instrument_id"])
     attrs = inst.select("group_id", "obs_date", "ingested_at", instrument.alias("instrument"),
-                        F.explode(i.attributes).alias("a"))
+                        F.explode(i["attributes"]).alias("a"))
     a = F.col("a")
     if profile == "strict":
-        attribute = first_present(a.attribute_id, a.attribute, a.name, F.lit("UNKNOWN"))
+        attribute = first_present(a["attribute_id"], a["attribute"], a["name"], F.lit("UNKNOWN"))
         # _first_present skips NULL only for lists: an empty time_series hides series.
-        series = F.coalesce(a.time_series, a.series)
+        series = F.coalesce(a["time_series"], a["series"])
     elif profile == "light":
-        attribute = truthy_first(a.attribute_id, a.attribute, F.lit("UNKNOWN"))
-        series = F.when(F.size(a.time_series) > 0, a.time_series).otherwise(a.series)
+        attribute = truthy_first(a["attribute_id"], a["attribute"], F.lit("UNKNOWN"))
+        series = F.when(F.size(a["time_series"]) > 0, a["time_series"]).otherwise(a["series"])
     else:
         attribute = F.lit("NO_ATTRIBUTE")
-        series = a.time_series
+        series = a["time_series"]
     return attrs.select("group_id", "obs_date", "ingested_at", "instrument",
                         attribute.alias("attribute"), F.explode(series).alias("p"))
 
@@ -141,12 +141,12 @@ def discover_attributes(pages: DataFrame, profile: str = "strict",
     inst = pages.select("group_id", F.coalesce("page_no", F.lit(0)).alias("page_no"),
                         F.posexplode("instruments").alias("ipos", "i"))
     attrs = inst.select("group_id", "page_no", "ipos",
-                        F.posexplode("i.attributes").alias("apos", "a"))
+                        F.posexplode(F.col("i")["attributes"]).alias("apos", "a"))
     a = F.col("a")
     if profile == "strict":
-        aid = first_present(a.attribute_id, a.attribute, a.name)
+        aid = first_present(a["attribute_id"], a["attribute"], a["name"])
     else:
-        aid = truthy_first(a.attribute_id, a.attribute, a.name)
+        aid = truthy_first(a["attribute_id"], a["attribute"], a["name"])
     ids = (attrs.select("group_id", aid.alias("attribute"),
                         F.struct("page_no", "ipos", "apos").alias("seen"))
            .filter(F.col("attribute").isNotNull() & ~F.col("attribute").contains(",")))

@@ -13,7 +13,7 @@ shapes and categories over the rows (never to drop rows), so the views grow with
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessera.plans.curated import ALL_CURATED
 from tessera.session import read_table
@@ -229,15 +229,17 @@ def with_views(*names: str) -> str:
 # V5 / V7 response pages (JSON text, one page per line)
 # ---------------------------------------------------------------------------------------------
 
-def observation_pages(v1_helpers: DataFrame, *, request: str = "full", pages_per_day: int = 4,
+def observation_pages(v1_helpers: DataFrame, *, request="full", pages_per_day: int = 4,
                       ingested_at: str = PAGE_INGESTED_AT) -> DataFrame:
     """Nest V1 (with helper columns) into response pages; returns ``value`` = JSON text.
 
     Shapes vary by row: points are objects keyed ``date``/``obs_date``/``time`` or pairs in
     compact or ISO form (event_id % 5); every series ends with a junk scalar point; attributes
     use ``attribute_id``/``attribute``/``name`` keys and DOVE_SCORE ships under ``series``;
-    instruments carry a name, an id, or a blank name plus an id (user_id % 3).
+    instruments carry a name, an id, or a blank name plus an id (user_id % 3). ``request`` is a
+    label or a Column (e.g. per-row chunk labels), so every request kind lands in one job.
     """
+    req = request if isinstance(request, Column) else F.lit(request)
     iso = F.date_format("date", "yyyy-MM-dd")
     ymd = F.date_format("date", "yyyyMMdd")
     v = F.col("value")
@@ -250,17 +252,17 @@ def observation_pages(v1_helpers: DataFrame, *, request: str = "full", pages_per
              .when(shape == 3, F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"),
                                                    v.alias("value")), opts))
              .otherwise(F.to_json(F.array(iso, v))))
-    base = v1_helpers.select("group_id", ymd.alias("day"), "user_id", "instrument", "attribute",
-                             "event_id", point.alias("pj"))
-    series = (base.groupBy("group_id", "day", "user_id", "instrument", "attribute")
+    base = v1_helpers.select("group_id", ymd.alias("day"), req.alias("request"), "user_id", "instrument",
+                             "attribute", "event_id", point.alias("pj"))
+    series = (base.groupBy("group_id", "day", "request", "user_id", "instrument", "attribute")
               .agg(F.array_sort(F.collect_list(F.struct("event_id", "pj"))).alias("pts")))
     akey = (F.when(F.col("attribute") == "HAWK_SCORE", "attribute")
             .when(F.col("attribute") == "DOVE_SCORE", "name").otherwise("attribute_id"))
     skey = F.when(F.col("attribute") == "DOVE_SCORE", "series").otherwise("time_series")
     attr_json = F.format_string('{"%s":"%s","%s":[%s,7]}', akey, F.col("attribute"), skey,
                                 F.array_join(F.transform("pts", lambda x: x["pj"]), ","))
-    attrs = (series.select("group_id", "day", "user_id", "instrument", "attribute", attr_json.alias("aj"))
-             .groupBy("group_id", "day", "user_id", "instrument")
+    attrs = (series.select("group_id", "day", "request", "user_id", "instrument", "attribute", attr_json.alias("aj"))
+             .groupBy("group_id", "day", "request", "user_id", "instrument")
              .agg(F.array_sort(F.collect_list(F.struct("attribute", "aj"))).alias("attrs")))
     kind = F.col("user_id") % 3
     names = (F.when(kind == 0, F.format_string('"instrument_id":"%s"', F.col("instrument")))
@@ -268,13 +270,13 @@ def observation_pages(v1_helpers: DataFrame, *, request: str = "full", pages_per
              .otherwise(F.format_string('"instrument_name":"  ","instrument_id":"%s"', F.col("instrument"))))
     inst_json = F.format_string('{%s,"attributes":[%s]}', names,
                                 F.array_join(F.transform("attrs", lambda x: x["aj"]), ","))
-    pages = (attrs.select("group_id", "day", (F.col("user_id") % pages_per_day).cast("int").alias("page_no"),
+    pages = (attrs.select("group_id", "day", "request", (F.col("user_id") % pages_per_day).cast("int").alias("page_no"),
                           "instrument", inst_json.alias("ij"))
-             .groupBy("group_id", "day", "page_no")
+             .groupBy("group_id", "day", "request", "page_no")
              .agg(F.array_sort(F.collect_list(F.struct("instrument", "ij"))).alias("insts")))
     page_json = F.format_string(
         '{"group_id":"%s","obs_date":"%s","request":"%s","page_no":%d,"ingested_at":"%s","instruments":[%s]}',
-        F.col("group_id"), F.col("day"), F.lit(request), F.col("page_no"), F.lit(ingested_at),
+        F.col("group_id"), F.col("day"), F.col("request"), F.col("page_no"), F.lit(ingested_at),
         F.array_join(F.transform("insts", lambda x: x["ij"]), ","))
     return pages.select(page_json.alias("value"))
 
