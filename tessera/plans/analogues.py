@@ -129,7 +129,9 @@ def catalog_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = F.when(k < len(ALL_CURATED),
                     F.element_at(F.array(*[F.lit(s) for s in ALL_CURATED]), k + 1)
                     ).otherwise(F.concat(F.lit("CPI - "), F.col("p_name")))
-    dataset = F.element_at(F.array(*[F.lit(s) for s in DATASETS]), (F.col("p_size") % 3 + 1).cast("int"))
+    # every tenth slot exists only in the Tokyo dataset, so Japan-only tiers miss some series
+    ds_idx = F.when(k % 10 == 0, F.lit(1)).otherwise(F.col("p_size") % 3)
+    dataset = F.element_at(F.array(*[F.lit(s) for s in DATASETS]), (ds_idx + 1).cast("int"))
     adj = F.when(F.col("p_partkey") % 5 == 0, "SA").otherwise("NSA")
     unit = F.when(F.col("p_partkey") % 2 == 0, "Index").otherwise("Percentage")
     name = F.concat_ws(" | ", F.lit("JP"), F.lit("ECON"), series, F.lit("M"), dataset,
@@ -144,7 +146,7 @@ V3_SQL = f"""v3 AS (
            CASE WHEN p_partkey % {CATALOG_MOD} < {len(ALL_CURATED)}
                 THEN {_sql_list(ALL_CURATED)}[p_partkey % {CATALOG_MOD} + 1]
                 ELSE 'CPI - ' || p_name END,
-           'M', {_sql_list(DATASETS)}[p_size % 3 + 1], 'Monthly',
+           'M', {_sql_list(DATASETS)}[CASE WHEN p_partkey % {CATALOG_MOD} % 10 = 0 THEN 1 ELSE p_size % 3 END + 1], 'Monthly',
            CASE WHEN p_partkey % 5 = 0 THEN 'SA' ELSE 'NSA' END,
            CASE WHEN p_partkey % 2 = 0 THEN 'Index' ELSE 'Percentage' END) AS name
   FROM part)"""
