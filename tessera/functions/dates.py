@@ -6,11 +6,27 @@ plans are generated inside tasks, never on the driver.
 """
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, functions as F
 
 from tessera.util import as_col
 
 
+def date_value(v) -> Column:
+    """A date bound: a DATE Column is used as is; Python dates and ``YYYYMMDD`` /
+    ``YYYY-MM-DD`` text become literals (parsed once, on the driver, never per row)."""
+    if isinstance(v, Column):
+        return v
+    if isinstance(v, _dt.datetime):
+        return F.lit(v.date())
+    if isinstance(v, _dt.date):
+        return F.lit(v)
+    t = str(v)
+    fmt = "%Y%m%d" if len(t) == 8 else "%Y-%m-%d"
+    return F.lit(_dt.datetime.strptime(t, fmt).date())
+
+
 def parse_ymd(c) -> Column:
     """Compact ``YYYYMMDD`` text (or a DATE) -> DATE; unparsable -> NULL."""
     c = as_col(c)
@@ -25,10 +41,10 @@ def compact(d) -> Column:
 def business_days(start, end) -> Column:
     """F1 + P22: weekdays in ``[start, end]`` inclusive (no holidays) as ARRAY<DATE>.
 
-    ``start``/``end`` may be DATE columns or compact text. ``start > end`` yields an empty array
-    (an unguarded ``sequence`` would count downwards or raise).
+    ``start``/``end`` are DATE columns or date text (see :func:`date_value`). ``start > end``
+    yields an empty array (an unguarded ``sequence`` would count downwards or raise).
     """
-    s, e = parse_ymd(start), parse_ymd(end)
+    s, e = date_value(start), date_value(end)
     days = F.sequence(s, e, F.expr("INTERVAL 1 DAY"))
     return F.when(s <= e, F.filter(days, lambda d: F.weekday(d) < 5)).otherwise(
         F.array().cast("array<date>"))
@@ -36,7 +52,7 @@ def business_days(start, end) -> Column:
 
 def calendar_days(start, end) -> Column:
     """All days of ``[start, end]`` as ARRAY<DATE>; empty when ``start > end`` (guarded)."""
-    s, e = parse_ymd(start), parse_ymd(end)
+    s, e = date_value(start), date_value(end)
     return F.when(s <= e, F.sequence(s, e, F.expr("INTERVAL 1 DAY"))).otherwise(
         F.array().cast("array<date>"))
 

@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.functions.dates import compact, explode_business_days, parse_ymd
+from tessera.functions.dates import compact, date_value, explode_business_days
 from tessera.operators.ledger import ok_rows, watermark
-from tessera.util import lit_or_col
 
 
 def work_items(groups: DataFrame, start, end) -> DataFrame:
     """``groups`` x business days of ``[start, end]`` -> (group_id, obs_date, ymd)."""
-    return (explode_business_days(groups.select("group_id"), lit_or_col(start), lit_or_col(end))
+    return (explode_business_days(groups.select("group_id"), start, end)
             .withColumn("ymd", compact("obs_date")))
 
 
@@ -38,15 +37,16 @@ def group_starts(groups: DataFrame, manifest: DataFrame, default_start) -> DataF
     """X3 step 1: per group the day after its watermark, or ``default_start`` without one."""
     wm = watermark(manifest).select("group_id", "last_ok")
     return (groups.join(wm, "group_id", "left")
-            .withColumn("start", F.coalesce(F.date_add("last_ok", 1), parse_ymd(lit_or_col(default_start)))))
+            .withColumn("start", F.coalesce(F.date_add("last_ok", 1), date_value(default_start))))
 
 
 def incremental_plan(groups: DataFrame, manifest: DataFrame, end, default_start) -> DataFrame:
-    """From each group's watermark + 1 (or ``default_start``) to ``end``; a group whose start
+    """From each group's watermark + 1 (or ``default_start``) to ``end`` (DATE Columns or
+    date text); a group whose start
     lies after ``end`` contributes nothing (P22). Days below the watermark are not revisited
     (that is what the backfill plan is for)."""
     starts = group_starts(groups, manifest, default_start)
-    return (explode_business_days(starts.select("group_id", "start"), F.col("start"), lit_or_col(end))
+    return (explode_business_days(starts.select("group_id", "start"), F.col("start"), end)
             .select("group_id", "obs_date", compact("obs_date").alias("ymd")))
 
 

@@ -60,7 +60,7 @@ def _incremental(spark, sf_dir):
     m = A.manifest(spark, sf_dir)
     start, end = event_span(spark, sf_dir)
     groups = m.select("group_id").distinct()
-    plan = ingest.incremental_plan(groups, m, compact(end), default_start(compact(end), DEFAULT_WINDOW_DAYS))
+    plan = ingest.incremental_plan(groups, m, end, F.date_sub(end, DEFAULT_WINDOW_DAYS))
     return groups, m, plan
 
 
