@@ -3,8 +3,9 @@
 Instrument names are pipe-delimited: ``_ | _ | series | _ | dataset | frequency | adjustment |
 unit``. Selecting instruments for a list of requested series tests whether ``'| s |'`` occurs in
 the name; that is a theta join (nested loop in Spark). We rewrite it exactly as an equi-join:
-``'| s |'`` occurs iff some *inner* segment (neither first nor last) equals ``' s '``, so the
-catalog is exploded into its inner segments and hash-joined to the requests.
+``'| s |'`` occurs iff some run of consecutive *inner* segments (neither first nor last),
+re-joined with pipes, equals ``' s '``; the catalog is exploded into those runs and
+hash-joined to the requests.
 """
 from __future__ import annotations
 
@@ -12,7 +13,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.functions.text import inner_segments, pipe_segment
+from tessera.functions.text import inner_segment_runs, pipe_segment
 
 # Segment positions of the derived catalog columns (0-based).
 SEGMENTS = {"series": 2, "dataset": 4, "frequency": 5, "adjustment": 6, "unit": 7}
@@ -66,8 +67,7 @@ def select_series(cat: DataFrame, requests: DataFrame, unit: str | None = "Index
     requested unit and, when the request row carries one, a dataset regex.
 
     ``requests`` has ``series`` and optionally ``tier`` and ``dataset_regex``; the result has one
-    row per (request, instrument). Requests containing a pipe cannot match an inner segment
-    and are matched by substring instead (rare; handled exactly, never dropped).
+    row per (request, instrument).
     """
     req = requests
     if "dataset_regex" not in req.columns:
@@ -76,14 +76,10 @@ def select_series(cat: DataFrame, requests: DataFrame, unit: str | None = "Index
         req = req.withColumn("tier", F.lit(None).cast("string"))
     req = req.select("tier", F.col("series").alias("requested"), "dataset_regex")
     c = cat if unit is None else cat.filter(F.col("unit") == unit)
-    segs = c.select("*", F.explode(inner_segments("name")).alias("_seg")).dropDuplicates(
+    runs = c.select("*", F.explode(inner_segment_runs("name")).alias("_seg")).dropDuplicates(
         ["instrument_id", "_seg"])
-    plain = req.filter(~F.col("requested").contains("|"))
     key = F.concat(F.lit(" "), F.col("requested"), F.lit(" "))
-    hit = segs.join(plain.withColumn("_seg", key), "_seg").drop("_seg")
-    piped = req.filter(F.col("requested").contains("|"))
-    hit2 = c.join(piped, F.col("name").contains(F.concat(F.lit("| "), F.col("requested"), F.lit(" |"))))
-    sel = hit.unionByName(hit2)
+    sel = runs.join(req.withColumn("_seg", key), "_seg").drop("_seg")
     ok = F.col("dataset_regex").isNull() | F.expr("dataset RLIKE dataset_regex")
     return sel.filter(ok).drop("dataset_regex")
 

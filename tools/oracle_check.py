@@ -4,47 +4,17 @@ usage: python tools/oracle_check.py [sf_dir] [name-substring ...]
 """
 from __future__ import annotations
 
-import datetime as dt
-import decimal
 import json
-import math
 import os
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
 from tessera.registry import ORACLE, QUERIES, load_all  # noqa: E402
 from tessera.session import get_session  # noqa: E402
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-
-
-def norm(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6)
-    if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
-    if isinstance(v, dt.datetime):
-        return v.replace(tzinfo=None).isoformat()
-    if isinstance(v, (dt.date,)):
-        return v.isoformat()
-    if isinstance(v, (list, tuple)):
-        return [norm(x) for x in v]
-    if isinstance(v, dict):
-        return {k: norm(x) for k, x in sorted(v.items())}
-    return v
-
-
-def canon(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    out = [json.dumps([norm(r[i]) for i in order], default=str) for r in rows]
-    return [cols[i] for i in order], sorted(out)
+from tessera.testing import canon, duck  # noqa: E402
 
 
 def main():
@@ -53,11 +23,7 @@ def main():
     load_all()
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
-    con = duckdb.connect()
-    for t in TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    con = duck(sf_dir)
     results = {}
     for name, fn in QUERIES.items():
         if pats and not any(p in name for p in pats):
