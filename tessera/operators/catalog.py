@@ -2,10 +2,11 @@
 
 Instrument names are pipe-delimited: ``_ | _ | series | _ | dataset | frequency | adjustment |
 unit``. Selecting instruments for a list of requested series tests whether ``'| s |'`` occurs in
-the name; that is a theta join (nested loop in Spark). We rewrite it exactly as an equi-join:
-``'| s |'`` occurs iff some run of consecutive *inner* segments (neither first nor last),
-re-joined with pipes, equals ``' s '``; the catalog is exploded into those runs and
-hash-joined to the requests.
+the name; that is a theta join (nested loop in Spark). We rewrite it exactly as an equi-join.
+Split ``' s '`` on pipes into parts ``q0..qk`` (k = 0 for the usual pipe-free series). Then
+``'| s |'`` occurs iff some *inner* segments (neither first nor last) ``i..i+k`` equal
+``q0..qk``. So the catalog is exploded into (position, inner segment), hash-joined to the
+requests on ``segment = q0``, and the remaining parts are checked by array equality.
 """
 from __future__ import annotations
 
@@ -13,7 +14,8 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.functions.text import inner_segment_runs, pipe_segment
+from tessera.functions.text import inner_segments, pipe_segment
+from tessera.util import broadcast_if_small
 
 # Segment positions of the derived catalog columns (0-based).
 SEGMENTS = {"series": 2, "dataset": 4, "frequency": 5, "adjustment": 6, "unit": 7}
@@ -76,10 +78,14 @@ def select_series(cat: DataFrame, requests: DataFrame, unit: str | None = "Index
         req = req.withColumn("tier", F.lit(None).cast("string"))
     req = req.select("tier", F.col("series").alias("requested"), "dataset_regex")
     c = cat if unit is None else cat.filter(F.col("unit") == unit)
-    runs = c.select("*", F.explode(inner_segment_runs("name")).alias("_seg")).dropDuplicates(
-        ["instrument_id", "_seg"])
-    key = F.concat(F.lit(" "), F.col("requested"), F.lit(" "))
-    sel = runs.join(req.withColumn("_seg", key), "_seg").drop("_seg")
+    segs = c.select("*", inner_segments("name").alias("_inner")).select(
+        "*", F.posexplode("_inner").alias("_pos", "_seg"))
+    parts = F.split(F.concat(F.lit(" "), F.col("requested"), F.lit(" ")), "[|]")
+    rq = req.select("*", parts.alias("_parts")).withColumn("_seg", F.col("_parts")[0])
+    hit = segs.join(broadcast_if_small(rq), "_seg").filter(
+        F.slice("_inner", F.col("_pos") + 1, F.size("_parts")) == F.col("_parts"))
+    # an instrument can match one request at several positions: keep one row
+    sel = hit.drop("_seg", "_inner", "_pos", "_parts").distinct()
     ok = F.col("dataset_regex").isNull() | F.expr("dataset RLIKE dataset_regex")
     return sel.filter(ok).drop("dataset_regex")
 
@@ -103,7 +109,7 @@ def attach_catalog(obs: DataFrame, lookup: DataFrame) -> DataFrame:
     """Add series, dataset and instrument name to observations; unknown ids get ''."""
     lk = lookup.select("instrument_id", F.col("series").alias("_series"),
                        F.col("dataset").alias("_dataset"), F.col("name").alias("_name"))
-    j = obs.join(lk, "instrument_id", "left")
+    j = obs.join(broadcast_if_small(lk), "instrument_id", "left")
     return j.select(*[c for c in obs.columns],
                     F.coalesce("_series", F.lit("")).alias("series"),
                     F.coalesce("_dataset", F.lit("")).alias("dataset"),

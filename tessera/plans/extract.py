@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tessera.operators.flatten import discover_attributes, flatten_pages
+from tessera.util import broadcast_if_small
 
 PAIR = ["group_id", "obs_date"]
 
@@ -44,9 +45,9 @@ def extract_group_days(pages: DataFrame) -> DataFrame:
 
 def restrict_instruments(rows: DataFrame, search_ids: DataFrame, key: str = "instrument") -> DataFrame:
     """Keep rows whose instrument is among the searched ids (semi join; the id list is a
-    search result, bounded by the catalog, and AQE broadcasts it when its runtime size is small)."""
+    search result, broadcast only after a size check)."""
     ids = search_ids.select(F.col(search_ids.columns[0]).alias(key)).distinct()
-    return rows.join(ids, key, "left_semi")
+    return rows.join(broadcast_if_small(ids), key, "left_semi")
 
 
 def light_extract(pages: DataFrame, search_ids: DataFrame | None = None) -> DataFrame:
@@ -60,7 +61,7 @@ def light_extract(pages: DataFrame, search_ids: DataFrame | None = None) -> Data
         keyed = chunked.select("*", F.explode("instruments").alias("_i"))
         key = F.coalesce(F.col("_i.instrument_id"), F.col("_i.instrument_name"))
         ids = search_ids.select(F.col(search_ids.columns[0]).alias("_key")).distinct()
-        keyed = keyed.withColumn("_key", key).join(ids, "_key", "left_semi")
+        keyed = keyed.withColumn("_key", key).join(broadcast_if_small(ids), "_key", "left_semi")
         chunked = keyed.withColumn("instruments", F.array("_i")).drop("_i", "_key")
     return flatten_pages(chunked, "light")
 

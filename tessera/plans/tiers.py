@@ -13,7 +13,7 @@ from tessera.functions.dates import months_back, ymd_to_iso
 from tessera.operators.catalog import all_items_series, missing_series, select_series
 from tessera.plans.curated import (ALL_ITEMS_DATASET, ALL_ITEMS_PREFIX, ALL_ITEMS_REGEX,
                                    tier_rows)
-from tessera.util import lit_or_col
+from tessera.util import broadcast_if_small, lit_or_col
 
 
 def curated_requests(spark: SparkSession) -> DataFrame:
@@ -39,20 +39,30 @@ def window_bounds(end_ymd, months: int = 6):
     return ymd_to_iso(months_back(end, F.lit(months))), ymd_to_iso(end)
 
 
+SORT_KEYS = ["tier", "series", "dataset", "date", "instrument_id", "value"]
+
+
+def sort_rows(rows: DataFrame) -> DataFrame:
+    """Order by (tier,) series, dataset, date — a global sort, for consumers that need it."""
+    return rows.orderBy(*[c for c in SORT_KEYS if c in rows.columns])
+
+
 def fetch_series(obs: DataFrame, cat: DataFrame, requests: DataFrame, end_ymd, *, months: int = 6,
-                 unit: str = "Index") -> DataFrame:
+                 unit: str = "Index", sort: bool = False) -> DataFrame:
     """X8 (one tier or many): price rows of the selected instruments inside the window.
 
-    ``obs`` is the CPI flatten output (date text, instrument_id, value). The result has the CPI
-    schema plus ``tier`` and is sorted by tier, series, dataset, date (T1).
+    ``obs`` is the CPI flatten output (date text, instrument_id, value); ``end_ymd`` is the
+    window end (``YYYYMMDD`` text or Column). The result has the CPI schema plus ``tier``.
+    ``sort=True`` applies T1 here; otherwise sort when consuming (:func:`sort_rows`) or within
+    partitions when writing (:func:`save_snapshot`), which avoids a range-partitioning pass.
     """
     sel = select_series(cat, requests, unit).select("tier", "instrument_id", "series", "dataset", "name")
     lo, hi = window_bounds(end_ymd, months)
     win = obs.filter((F.col("date") >= lo) & (F.col("date") <= hi))
-    rows = win.join(sel, "instrument_id")
-    return (rows.select("tier", "date", "instrument_id", "series", "dataset", F.lit(unit).alias("unit"),
-                        F.col("value").cast("double").alias("value"), F.col("name").alias("instrument_name"))
-            .orderBy("tier", "series", "dataset", "date", "instrument_id", "value"))
+    rows = win.join(broadcast_if_small(sel), "instrument_id")
+    out = rows.select("tier", "date", "instrument_id", "series", "dataset", F.lit(unit).alias("unit"),
+                      F.col("value").cast("double").alias("value"), F.col("name").alias("instrument_name"))
+    return sort_rows(out) if sort else out
 
 
 def preview(rows: DataFrame, n: int = 10) -> DataFrame:
@@ -75,5 +85,5 @@ def first_missing(requests: DataFrame, selected: DataFrame, n: int = 5) -> DataF
 def save_snapshot(rows: DataFrame, root: str, label: str, end_ymd: str) -> str:
     """K5: write a tier result under ``{root}/label={label}/end={end}``."""
     path = f"{root.rstrip('/')}/label={label}/end={end_ymd}"
-    rows.write.mode("overwrite").parquet(path)
+    rows.sortWithinPartitions(*[c for c in SORT_KEYS if c in rows.columns]).write.mode("overwrite").parquet(path)
     return path

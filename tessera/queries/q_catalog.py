@@ -170,8 +170,10 @@ def attach_q(spark, sf_dir):
 
 
 def _end_ymd(spark, sf_dir):
+    """The run's end date, a scalar parameter (the last ship day), fetched once. ``max`` on the
+    bare column can be answered from Parquet footers (aggregate pushdown)."""
     li = read_table(spark, sf_dir, "lineitem")
-    return compact(li.select(F.max(F.to_date("l_shipdate"))).scalar())
+    return li.agg(F.max("l_shipdate")).first()[0].strftime("%Y%m%d")
 
 
 _END_SQL = "lim AS (SELECT max(CAST(l_shipdate AS DATE)) AS e FROM lineitem)"
@@ -209,6 +211,11 @@ def tiers_q(spark, sf_dir):
     return tiers.fetch_series(obs, cat, tiers.tier_requests(spark, cat), _end_ymd(spark, sf_dir), months=84)
 
 
+@query("t1_sorted_fetch", _X8_SQL)
+def sorted_fetch_q(spark, sf_dir):
+    return tiers.sort_rows(_main_fetch(spark, sf_dir))
+
+
 @query("t2_preview", f"""SELECT * FROM ({_X8_SQL}) ORDER BY series, dataset, date, instrument_id, value LIMIT 10""")
 def preview_q(spark, sf_dir):
     return tiers.preview(_main_fetch(spark, sf_dir), 10)
