@@ -231,14 +231,18 @@ def with_views(*names: str) -> str:
 # V5 / V7 response pages (JSON text, one page per line)
 # ---------------------------------------------------------------------------------------------
 
-def observation_pages(v1_helpers: DataFrame, *, request="full", pages_per_day: int = 4,
+PAGE_SIZE = 16   # instruments per response page: pages stay bounded, their number grows
+
+
+def observation_pages(v1_helpers: DataFrame, *, request="full", page_size: int = PAGE_SIZE,
                       ingested_at: str = PAGE_INGESTED_AT) -> DataFrame:
     """Nest V1 (with helper columns) into response pages; returns ``value`` = JSON text.
 
     Shapes vary by row: points are objects keyed ``date``/``obs_date``/``time`` or pairs in
     compact or ISO form (event_id % 5); every series ends with a junk scalar point; attributes
     use ``attribute_id``/``attribute``/``name`` keys and DOVE_SCORE ships under ``series``;
-    instruments carry a name, an id, or a blank name plus an id (user_id % 3). ``request`` is a
+    instruments carry a name, an id, or a blank name plus an id (user_id % 3). A page holds at
+    most ``page_size`` instruments (``page_no = user_id div page_size``). ``request`` is a
     label or a Column (e.g. per-row chunk labels), so every request kind lands in one job.
     """
     req = request if isinstance(request, Column) else F.lit(request)
@@ -272,7 +276,7 @@ def observation_pages(v1_helpers: DataFrame, *, request="full", pages_per_day: i
              .otherwise(F.format_string('"instrument_name":"  ","instrument_id":"%s"', F.col("instrument"))))
     inst_json = F.format_string('{%s,"attributes":[%s]}', names,
                                 F.array_join(F.transform("attrs", lambda x: x["aj"]), ","))
-    pages = (attrs.select("group_id", "day", "request", (F.col("user_id") % pages_per_day).cast("int").alias("page_no"),
+    pages = (attrs.select("group_id", "day", "request", F.floor(F.col("user_id") / page_size).cast("int").alias("page_no"),
                           "instrument", inst_json.alias("ij"))
              .groupBy("group_id", "day", "request", "page_no")
              .agg(F.array_sort(F.collect_list(F.struct("instrument", "ij"))).alias("insts")))
@@ -283,9 +287,10 @@ def observation_pages(v1_helpers: DataFrame, *, request="full", pages_per_day: i
     return pages.select(page_json.alias("value"))
 
 
-def price_pages(v6: DataFrame, *, pages_per_year: int = 8,
+def price_pages(v6: DataFrame, *, page_size: int = PAGE_SIZE,
                 ingested_at: str = PAGE_INGESTED_AT) -> DataFrame:
-    """Nest V6 into price response pages (``value`` = JSON text). Points alternate between
+    """Nest V6 into price response pages of at most ``page_size`` instruments per year
+    (``value`` = JSON text). Points alternate between
     ISO pairs, ``date`` objects and ``time`` objects (l_linenumber % 3)."""
     shape = F.col("l_linenumber") % 3
     val = F.coalesce(F.col("value").cast("string"), F.lit("null"))
@@ -300,7 +305,7 @@ def price_pages(v6: DataFrame, *, pages_per_year: int = 8,
     inst_json = F.format_string(
         '{"instrument_id":"%s","attributes":[{"attribute_id":"NO_ATTRIBUTE","time_series":[%s]}]}',
         F.col("instrument_id"), F.array_join(F.transform("pts", lambda x: x["pj"]), ","))
-    pages = (series.select("year", (F.col("l_partkey") % pages_per_year).cast("int").alias("page_no"),
+    pages = (series.select("year", F.floor(F.col("l_partkey") / page_size).cast("int").alias("page_no"),
                            "instrument_id", inst_json.alias("ij"))
              .groupBy("year", "page_no")
              .agg(F.array_sort(F.collect_list(F.struct("instrument_id", "ij"))).alias("insts")))

@@ -11,26 +11,43 @@ from tessera.session import scratch_dir
 from tessera.sources.pages import read_pages, write_pages
 
 
+_LANDED: dict = {}
+
+
+def _landed(spark, sf_dir, kind, build):
+    """Land a page set once per (session, sf_dir, kind): pages are landed once by a fetcher
+    and then scanned by any number of queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _LANDED:
+        path = scratch_dir(spark, f"pages-{kind}")
+        build(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
 def land_observation_pages(spark, sf_dir, *, chunk_size: int | None = None, full_days: str = "all"):
     """Land V1 as response pages; returns the scanned page DataFrame.
 
     ``full_days='even'`` lands the full request only for even days of the month; with
     ``chunk_size`` every pair also gets one response per chunk of discovered attributes.
     """
-    path = scratch_dir(spark, "pages")
     v1 = A.observations(spark, sf_dir, helpers=True)
-    full = v1 if full_days == "all" else v1.filter(F.dayofmonth("date") % 2 == 0)
-    write_pages(A.observation_pages(full, request="full"), f"{path}/full")
-    if chunk_size:
+    full_all = _landed(spark, sf_dir, "full",
+                       lambda p: write_pages(A.observation_pages(v1, request="full"), p))
+    if not chunk_size:
+        return read_pages(spark, full_all)
+
+    def build(path):
+        even = v1.filter(F.dayofmonth("date") % 2 == 0) if full_days == "even" else v1
+        write_pages(A.observation_pages(even, request="full"), f"{path}/full")
         # Attribute discovery runs on the full responses of *all* pairs (the attribute listing
         # is per group, not per day); chunk requests then ask for discovered attributes only.
-        listing = f"{path}/listing"
-        write_pages(A.observation_pages(v1, request="full"), listing)
-        attrs = extract.attribute_chunks(discover_attributes(read_pages(spark, listing)), chunk_size)
+        attrs = extract.attribute_chunks(discover_attributes(read_pages(spark, full_all)), chunk_size)
         rows = v1.join(attrs.select("group_id", "attribute", "chunk_no"), ["group_id", "attribute"])
         label = F.concat(F.lit("chunk:"), F.col("chunk_no").cast("string"))
         write_pages(A.observation_pages(rows, request=label), f"{path}/chunks")
-        return read_pages(spark, path + "/{full,chunks}")
+
+    path = _landed(spark, sf_dir, f"chunked-{chunk_size}-{full_days}", build)
     return read_pages(spark, path)
 
 
@@ -52,8 +69,8 @@ def flatten_light_q(spark, sf_dir):
 
 
 def land_price_pages(spark, sf_dir):
-    path = scratch_dir(spark, "price-pages")
-    write_pages(A.price_pages(A.price_points(spark, sf_dir)), path)
+    path = _landed(spark, sf_dir, "prices",
+                   lambda p: write_pages(A.price_pages(A.price_points(spark, sf_dir)), p))
     return read_pages(spark, path)
 
 
@@ -65,8 +82,8 @@ def flatten_cpi_q(spark, sf_dir):
 
 _SEEN_SQL = """seen AS (
   SELECT group_id, attribute,
-         CAST(user_id % 4 AS INTEGER) AS page_no,
-         CAST(dense_rank() OVER (PARTITION BY group_id, date, user_id % 4 ORDER BY instrument) - 1 AS INTEGER) AS ipos,
+         CAST(user_id // 16 AS INTEGER) AS page_no,
+         CAST(dense_rank() OVER (PARTITION BY group_id, date, user_id // 16 ORDER BY instrument) - 1 AS INTEGER) AS ipos,
          CAST(dense_rank() OVER (PARTITION BY group_id, date, user_id ORDER BY attribute) - 1 AS INTEGER) AS apos
   FROM v1),
 firsts AS (
@@ -91,7 +108,7 @@ def chunks_q(spark, sf_dir):
 
 
 @query("s1_pages_scan", A.with_views("v1") + """
-SELECT group_id, strftime(date, '%Y%m%d') AS obs_date, CAST(user_id % 4 AS INTEGER) AS page_no,
+SELECT group_id, strftime(date, '%Y%m%d') AS obs_date, CAST(user_id // 16 AS INTEGER) AS page_no,
        CAST(COUNT(DISTINCT user_id) AS INTEGER) AS n_instruments
 FROM v1 GROUP BY 1, 2, 3""")
 def pages_scan_q(spark, sf_dir):
@@ -100,7 +117,7 @@ def pages_scan_q(spark, sf_dir):
 
 
 @query("s2_attribute_pages", A.with_views("v1") + """
-SELECT group_id, strftime(date, '%Y%m%d') AS obs_date, CAST(user_id % 4 AS INTEGER) AS page_no,
+SELECT group_id, strftime(date, '%Y%m%d') AS obs_date, CAST(user_id // 16 AS INTEGER) AS page_no,
        CAST(COUNT(DISTINCT (user_id, attribute)) AS BIGINT) AS n_attribute_entries
 FROM v1 GROUP BY 1, 2, 3""")
 def attribute_pages_q(spark, sf_dir):
@@ -123,9 +140,9 @@ def malformed_q(spark, sf_dir):
 
 
 @query("t4_page_cap", A.with_views("v1") + """
-SELECT group_id, instrument, attribute, date, value, obs_date FROM v1 WHERE user_id % 4 <= 2""")
+SELECT group_id, instrument, attribute, date, value, obs_date FROM v1 WHERE user_id // 16 <= 2""")
 def page_cap_q(spark, sf_dir):
-    # Pages are numbered 0..3 per (group, day); a cap of 2 following pages drops page 3.
+    # Pages hold 16 instruments each; a cap of 2 following pages keeps pages 0..2.
     return flatten_pages(land_observation_pages(spark, sf_dir), page_cap=2).drop("ingested_at")
 
 

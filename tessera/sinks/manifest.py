@@ -13,8 +13,9 @@ from tessera.schemas import MANIFEST_COLUMNS, MANIFEST_SCHEMA
 
 
 def append_manifest(rows: DataFrame, path: str) -> None:
-    """Append manifest rows (one job for the whole run, not one per pair)."""
-    rows.select(*MANIFEST_COLUMNS).coalesce(1).write.mode("append").parquet(path)
+    """Append manifest rows (one job for the whole run, not one per pair). The ``rebalance``
+    hint lets AQE pack a small run into few files without funnelling a big one into one task."""
+    rows.select(*MANIFEST_COLUMNS).hint("rebalance").write.mode("append").parquet(path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

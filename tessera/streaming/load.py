@@ -15,8 +15,12 @@ from tessera.sinks.bronze import cast_projection
 
 
 def load_new_files(spark: SparkSession, raw_root: str, bronze_path: str, checkpoint: str, *,
-                   max_files_per_trigger: int | None = None, timeout_s: float | None = None) -> dict:
-    """Load every raw file not loaded before; returns the last progress counters."""
+                   max_files_per_trigger: int | None = 5000, timeout_s: float | None = None) -> dict:
+    """Load every raw file not loaded before; returns the progress counters.
+
+    ``availableNow`` honours ``max_files_per_trigger``: a large backlog (a rebuild) is split
+    into bounded micro-batches instead of one giant batch.
+    """
     reader = (spark.readStream.schema(OBSERVATION_SCHEMA)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:

@@ -4,7 +4,11 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+# Python workers (mapInPandas) must import tessera and the test fixtures too.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [ROOT, os.path.join(ROOT, "tests")] + [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p])
 
 SF_SMALL = "/root/testdata/sf0.001"
 
