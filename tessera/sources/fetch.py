@@ -14,6 +14,8 @@ import json
 
 from pyspark.sql import DataFrame, functions as F
 
+from tessera.session import checkpoint_root
+
 FETCH_SCHEMA = "group_id string, obs_date string, page_no int, page string, ok boolean, message string"
 
 # Texts that mark an empty ("no content") response (as in functions.classify).
@@ -59,6 +61,7 @@ def land_fetched(fetched: DataFrame, pages_path: str, attempts_path: str) -> Non
     The fetch runs once: its result is checkpointed (written below the shared checkpoint folder)
     before the two outputs are split, so no vendor call is repeated.
     """
+    checkpoint_root(fetched.sparkSession)          # shared folder named by spark.checkpoint.dir
     done = fetched.checkpoint()
     done.filter(F.col("page").isNotNull()).select(F.col("page").alias("value")).write.mode("append").text(pages_path)
     (done.filter(F.col("page").isNull())
