@@ -1,7 +1,7 @@
 """S1 connector form: call a vendor fetch function for every work item, on the executors.
 
 The vendor client itself is out of scope (no credentials or HTTP here). A caller injects
-``fetch(group_id, ymd) -> iterable of pages`` (dicts or JSON text). Work items are hash-spread
+``fetch(group_id, ymd, pass_no) -> iterable of pages`` (dicts or JSON text). Work items are hash-spread
 over tasks, so a group with many days never sits in one task, and each task calls the function
 for its items (``mapInPandas``: Arrow batches in and out). An exception becomes an attempt record
 (``ok = false`` with the error text), like the source's per-pair records; a "no content" error
@@ -27,9 +27,9 @@ def _no_content(text: str) -> bool:
     return any(k in s for k in _NO_CONTENT) or ("field required" in s and "instruments" in s)
 
 
-def fetch_pages(plan: DataFrame, fetch, *, tasks: int | None = None) -> DataFrame:
-    """Run ``fetch`` for every (group_id, ymd) of ``plan``; one output row per page, or one
-    attempt row (``page`` NULL) for a pair that failed or returned nothing."""
+def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None = None) -> DataFrame:
+    """Run ``fetch(group_id, ymd, pass_no)`` for every (group_id, ymd) of ``plan``; one output
+    row per page, or one attempt row (``page`` NULL) for a pair that failed or returned nothing."""
     import pandas as pd
 
     def run(batches):
@@ -37,7 +37,7 @@ def fetch_pages(plan: DataFrame, fetch, *, tasks: int | None = None) -> DataFram
             out = []
             for g, d in zip(pdf["group_id"], pdf["ymd"]):
                 try:
-                    pages = list(fetch(g, d) or [])
+                    pages = list(fetch(g, d, pass_no) or [])
                 except Exception as exc:  # noqa: BLE001 — every failure becomes a record
                     msg = f"{type(exc).__name__}: {exc}"
                     if _no_content(msg):
@@ -55,7 +55,7 @@ def fetch_pages(plan: DataFrame, fetch, *, tasks: int | None = None) -> DataFram
     return items.mapInPandas(run, FETCH_SCHEMA)
 
 
-def land_fetched(fetched: DataFrame, pages_path: str, attempts_path: str) -> None:
+def land_fetched(fetched: DataFrame, pages_path: str, attempts_path: str, *, pass_no: int = 1) -> None:
     """Write fetched pages (JSON Lines) and the failed/empty attempt records (JSON Lines).
 
     The fetch runs once: its result is checkpointed (written below the shared checkpoint folder)
@@ -65,5 +65,5 @@ def land_fetched(fetched: DataFrame, pages_path: str, attempts_path: str) -> Non
     done = fetched.checkpoint()
     done.filter(F.col("page").isNotNull()).select(F.col("page").alias("value")).write.mode("append").text(pages_path)
     (done.filter(F.col("page").isNull())
-     .select("group_id", "obs_date", "ok", "message", F.lit(1).alias("pass"))
+     .select("group_id", "obs_date", "ok", "message", F.lit(pass_no).alias("pass"))
      .write.mode("append").json(attempts_path))

@@ -10,7 +10,7 @@ from tessera.sources.fetch import fetch_pages, land_fetched
 from tessera.sources.pages import read_pages
 
 
-def fake_fetch(group_id, ymd):
+def fake_fetch(group_id, ymd, pass_no=1):
     """Fixture vendor: one page per pair, a failure for B on the 3rd, nothing for B on the 4th."""
     if group_id == "B" and ymd == "20240103":
         raise ConnectionError("connection reset by peer")
