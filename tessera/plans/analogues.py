@@ -289,7 +289,7 @@ def observation_pages(v1_helpers: DataFrame, *, request="full", page_size: int =
 
 def price_pages(v6: DataFrame, *, page_size: int = PAGE_SIZE,
                 ingested_at: str = PAGE_INGESTED_AT) -> DataFrame:
-    """Nest V6 into price response pages of at most ``page_size`` instruments per year
+    """Nest V6 into monthly price response pages of at most ``page_size`` instruments
     (``value`` = JSON text). Points alternate between
     ISO pairs, ``date`` objects and ``time`` objects (l_linenumber % 3)."""
     shape = F.col("l_linenumber") % 3
@@ -297,20 +297,21 @@ def price_pages(v6: DataFrame, *, page_size: int = PAGE_SIZE,
     point = (F.when(shape == 0, F.format_string('["%s",%s]', F.col("date"), val))
              .when(shape == 1, F.format_string('{"date":"%s","value":%s}', F.col("date"), val))
              .otherwise(F.format_string('{"time":"%s 00:00:00","value":%s}', F.col("date"), val)))
-    year = F.substring("date", 1, 4)
-    base = v6.select("instrument_id", "l_partkey", year.alias("year"), "date", "l_orderkey",
+    month = F.substring("date", 1, 7)
+    base = v6.select("instrument_id", "l_partkey", month.alias("month"), "date", "l_orderkey",
                      "l_linenumber", point.alias("pj"))
-    series = (base.groupBy("instrument_id", "l_partkey", "year")
+    # one series element per (instrument, month): bounded by a month of points per instrument
+    series = (base.groupBy("instrument_id", "l_partkey", "month")
               .agg(F.array_sort(F.collect_list(F.struct("date", "l_orderkey", "l_linenumber", "pj"))).alias("pts")))
     inst_json = F.format_string(
         '{"instrument_id":"%s","attributes":[{"attribute_id":"NO_ATTRIBUTE","time_series":[%s]}]}',
         F.col("instrument_id"), F.array_join(F.transform("pts", lambda x: x["pj"]), ","))
-    pages = (series.select("year", F.floor(F.col("l_partkey") / page_size).cast("int").alias("page_no"),
+    pages = (series.select("month", F.floor(F.col("l_partkey") / page_size).cast("int").alias("page_no"),
                            "instrument_id", inst_json.alias("ij"))
-             .groupBy("year", "page_no")
+             .groupBy("month", "page_no")
              .agg(F.array_sort(F.collect_list(F.struct("instrument_id", "ij"))).alias("insts")))
     page_json = F.format_string(
-        '{"group_id":"PRICES","obs_date":"%s1231","request":"full","page_no":%d,"ingested_at":"%s","instruments":[%s]}',
-        F.col("year"), F.col("page_no"), F.lit(ingested_at),
+        '{"group_id":"PRICES","obs_date":"%s01","request":"full","page_no":%d,"ingested_at":"%s","instruments":[%s]}',
+        F.regexp_replace(F.col("month"), "-", ""), F.col("page_no"), F.lit(ingested_at),
         F.array_join(F.transform("insts", lambda x: x["ij"]), ","))
     return pages.select(page_json.alias("value"))
