@@ -10,9 +10,14 @@ DEFAULT_WINDOW_DAYS = 730
 
 
 def event_span(spark, sf_dir):
-    """(first, last) event day as scalar-subquery Columns (no driver round trip)."""
-    d = read_table(spark, sf_dir, "events").select(F.to_date("ts").alias("d"))
-    return d.select(F.min("d")).scalar(), d.select(F.max("d")).scalar()
+    """(first, last) event day as Columns over **one** scalar subquery (no driver round trip).
+
+    ``min``/``max`` run on the bare column (one scan for both; eligible for Parquet aggregate
+    pushdown), and the day is taken afterwards.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    span = ev.select(F.struct(F.to_date(F.min("ts")).alias("s"), F.to_date(F.max("ts")).alias("e"))).scalar()
+    return span["s"], span["e"]
 
 
 SPAN_SQL = """span AS (SELECT min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) AS e FROM events)"""
