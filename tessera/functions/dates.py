@@ -62,7 +62,11 @@ def explode_business_days(df, start, end, alias: str = "obs_date"):
 
     Works with scalar-subquery bounds (which Spark does not allow inside ``filter(array, ...)``).
     """
-    return (df.select("*", F.explode(calendar_days(start, end)).alias(alias))
+    # Bounds are projected once, then referenced by name: a scalar-subquery bound is planned
+    # (and run) once instead of once per reference.
+    cols = df.columns
+    bounded = df.select("*", date_value(start).alias("_bd_start"), date_value(end).alias("_bd_end"))
+    return (bounded.select(*cols, F.explode(calendar_days(F.col("_bd_start"), F.col("_bd_end"))).alias(alias))
             .filter(F.weekday(F.col(alias)) < 5))
 
 
