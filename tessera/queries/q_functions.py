@@ -204,4 +204,5 @@ def lenient_q(spark, sf_dir):
         F.when(e % 3 == 0, F.lit("not a date")).otherwise(F.date_format(ts, "yyyy-MM-dd")).alias("raw"),
         F.when(e % 4 == 0, F.lit("garbage")).otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).alias("ts_raw"))
     return x.select("event_id", "raw", TF.lenient_date("raw").alias("as_date"),
-                    TF.lenient_timestamp("ts_raw").alias("as_ts"))
+                    # naive timestamp, like the oracle's TIMESTAMP (the session zone is UTC)
+                    TF.lenient_timestamp("ts_raw").cast("timestamp_ntz").alias("as_ts"))
