@@ -14,17 +14,15 @@ import json
 
 from pyspark.sql import DataFrame, functions as F
 
+from tessera.functions.classify import NO_CONTENT_MARKERS
 from tessera.session import checkpoint_root
 
 FETCH_SCHEMA = "group_id string, obs_date string, page_no int, page string, ok boolean, message string"
 
-# Texts that mark an empty ("no content") response (as in functions.classify).
-_NO_CONTENT = ("no content", "'204'", "code': '204'")
-
-
 def _no_content(text: str) -> bool:
+    """F9 on an exception text inside the task (same markers as the Column form)."""
     s = text.lower()
-    return any(k in s for k in _NO_CONTENT) or ("field required" in s and "instruments" in s)
+    return any(k in s for k in NO_CONTENT_MARKERS) or ("field required" in s and "instruments" in s)
 
 
 def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None = None) -> DataFrame:
