@@ -78,8 +78,9 @@ def flatten_pages(pages: DataFrame, profile: str = "strict", *, page_cap: int |
     """Explode response pages into observation rows.
 
     ``strict`` returns the bronze shape (7 columns, dates typed). With ``keep_rejects`` the
-    strict profile also returns rows whose 8-digit date is impossible, flagged ``rejected``
-    (the source would raise and lose the whole pair; we keep the rest and surface the row).
+    strict profile also returns rows whose 8-digit date is impossible (the source would raise
+    and lose the whole pair; we keep the rest and surface the row) or whose ``obs_date`` would
+    be NULL (never a NULL partition key), flagged ``rejected``.
     """
     if profile not in PROFILES:
         raise ValueError(f"profile must be one of {PROFILES}")
@@ -97,10 +98,12 @@ def flatten_pages(pages: DataFrame, profile: str = "strict", *, page_cap: int |
             raw_val.alias("value"), "obs_date", "ingested_at")
         rows = rows.filter(F.col("raw_date").isNotNull())
         typed_date = lenient_date(F.col("date_text"))
-        rejected = F.col("raw_date").rlike("^[0-9]{8}$") & F.col("date_text").isNull()
+        obs_date = F.coalesce(parse_ymd(F.col("obs_date")), typed_date)
+        # rejects: impossible 8-digit dates, and rows that would get a NULL partition key
+        rejected = (F.col("raw_date").rlike("^[0-9]{8}$") & F.col("date_text").isNull()) | obs_date.isNull()
         out = rows.select(
             "group_id", "instrument", "attribute", typed_date.alias("date"), "value",
-            F.coalesce(parse_ymd(F.col("obs_date")), typed_date).alias("obs_date"),
+            obs_date.alias("obs_date"),
             lenient_timestamp(F.col("ingested_at")).alias("ingested_at"),
             rejected.alias("rejected"))
         if keep_rejects:

@@ -77,7 +77,8 @@ def summary_json(summary: DataFrame, group_ranges: DataFrame | None = None) -> D
             "group_id", F.struct(F.col("n_days").alias("count"), F.col("first_ymd").alias("start"),
                                  F.col("last_ymd").alias("end"))))).alias("group_ranges"))
         s = s.withColumn("group_ranges", ranges.scalar())  # scalar subquery, no join
-    return s.select(F.to_json(F.struct(*s.columns)).alias("summary"))
+    # null fields are kept ("start": null for an up-to-date group), as in the source's JSON
+    return s.select(F.to_json(F.struct(*s.columns), {"ignoreNullFields": "false"}).alias("summary"))
 
 
 def write_miss_log(misses: DataFrame, path: str) -> None:

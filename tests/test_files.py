@@ -44,3 +44,13 @@ def test_bronze_read_prunes_partitions(spark, sf_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "group_id" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert df.count() > 0
+
+
+def test_compaction_keeps_rows(spark, sf_dir):
+    src, dst = scratch_dir(spark, "t-bronze-src"), scratch_dir(spark, "t-bronze-dst")
+    v1 = A.observations(spark, sf_dir)
+    B.write_bronze(v1.filter(F.col("attribute") == "SENTIMENT"), src)
+    B.write_bronze(v1.filter(F.col("attribute") != "SENTIMENT"), src)
+    B.compact_bronze(spark, src, dst)
+    assert B.read_bronze(spark, dst).exceptAll(B.read_bronze(spark, src)).count() == 0
+    assert B.read_bronze(spark, dst).count() == v1.count()

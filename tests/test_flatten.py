@@ -81,3 +81,10 @@ def test_page_cap(spark):
     p = pages_df(spark, pgs)
     assert flatten_pages(p, page_cap=2).count() == 3
     assert flatten_pages(p).filter(F.col("value").isNotNull()).count() == 5
+
+
+def test_null_partition_key_is_rejected(spark):
+    pg = page([{"instrument_name": "A", "attributes": [{"attribute_id": "S", "time_series": [["", "1"], ["2024-01-02", "2"]]}]}])
+    pg.pop("obs_date")
+    out = sorted((r.rejected, r.value) for r in flatten_pages(pages_df(spark, [pg]), keep_rejects=True).collect())
+    assert out == [(False, "2"), (True, "1")]

@@ -50,3 +50,14 @@ def test_retry_plan_and_outcomes(spark):
     assert plan["C"].action == "skip" and plan["D"].action == "exhausted"
     o = outcomes.run_outcomes(att).first()
     assert (o.pairs, o.successes, o.misses_actionable, o.misses_empty) == (4, 1, 2, 1)
+
+
+def test_summary_json_with_group_ranges(spark):
+    import json
+    att = spark.createDataFrame([("A", "20240102", True, "rows=1 instruments=1 attributes=1", 1, 1)],
+                                "group_id string, obs_date string, ok boolean, message string, pass int, attempt_id long")
+    ranges = spark.createDataFrame([("A", 2, "20240101", "20240102"), ("B", 0, None, None)],
+                                   "group_id string, n_days long, first_ymd string, last_ymd string")
+    doc = json.loads(outcomes.summary_json(outcomes.run_summary(att, run_ts="T"), ranges).first()["summary"])
+    assert doc["successes"] == 1 and doc["group_ranges"]["A"] == {"count": 2, "start": "20240101", "end": "20240102"}
+    assert doc["group_ranges"]["B"] == {"count": 0, "start": None, "end": None}
