@@ -141,3 +141,20 @@ def bronze_load_q(spark, sf_dir):
         load_new_files(spark, root, bronze, ck)
     return B.read_bronze(spark, bronze).groupBy("group_id", "obs_date").agg(
         F.count(F.lit(1)).alias("row_count"))
+
+
+@query("s7_sql_coverage", A.with_views("v2") + """
+SELECT group_id, max(obs_date) AS max_obs_date, CAST(sum(row_count) AS BIGINT) AS sum_row_count
+FROM v2 GROUP BY group_id""")
+def sql_coverage_q(spark, sf_dir):
+    """The coverage check as SQL over the registered manifest view (S7 + A3)."""
+    import uuid
+
+    from tessera.sinks.manifest import append_manifest
+    from tessera.sources.tables import register_views
+    path = scratch_dir(spark, "manifest")
+    append_manifest(A.manifest(spark, sf_dir), path)
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    register_views(spark, manifest=path, prefix=prefix)
+    return spark.sql(f"SELECT group_id, max(obs_date) AS max_obs_date, sum(row_count) AS sum_row_count "
+                     f"FROM {prefix}manifest GROUP BY group_id")
