@@ -93,8 +93,11 @@ def months_back(end_ymd, months) -> Column:
     Only year and month of ``end_ymd`` are used (the day is never validated), as in the source.
     """
     s = as_col(end_ymd).cast("string")
-    first = F.make_date(F.substring(s, 1, 4).cast("int"), F.substring(s, 5, 2).cast("int"), F.lit(1))
-    return compact(F.add_months(first, -as_col(months)))
+    # month arithmetic on integers (floor division / pmod like Python's // and %), so even an
+    # out-of-range month such as 13 rolls over instead of failing under ANSI mode
+    total = (F.substring(s, 1, 4).try_cast("int") * 12 + F.substring(s, 5, 2).try_cast("int") - 1
+             - as_col(months).cast("int"))
+    return F.format_string("%04d%02d01", F.floor(total / 12).cast("int"), (F.pmod(total, F.lit(12)) + 1))
 
 
 def next_day(ymd) -> Column:

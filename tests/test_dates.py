@@ -30,6 +30,7 @@ def test_explode_business_days_with_scalar_bounds(spark):
 def test_months_back_and_helpers(spark):
     assert one(spark, TF.months_back(F.lit("20260331"), F.lit(6))) == "20250901"
     assert one(spark, TF.months_back(F.lit("20260115"), F.lit(1))) == "20251201"
+    assert one(spark, TF.months_back(F.lit("20241331"), F.lit(0))) == "20250101"   # month 13 rolls over
     assert one(spark, TF.ymd_to_iso(F.lit("20240102"))) == "2024-01-02"
     assert one(spark, TF.iso_to_compact(F.lit("2024-01-02"))) == "20240102"
     assert one(spark, TF.next_day(F.lit("20240131"))) == "20240201"
