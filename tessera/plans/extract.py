@@ -37,8 +37,9 @@ def number_within(df: DataFrame, partition_cols, order_cols, chunk_size: int) ->
 def extract_group_days(pages: DataFrame) -> DataFrame:
     """Strict rows per pair from the ``full`` request, or from its chunks when the full
     request returned nothing for that pair."""
-    full = flatten_pages(pages.filter(F.col("request") == "full"))
-    chunks = flatten_pages(pages.filter(F.col("request").startswith("chunk:")))
+    req = F.coalesce(F.col("request"), F.lit("full"))        # untagged pages are full responses
+    full = flatten_pages(pages.filter(req == "full"))
+    chunks = flatten_pages(pages.filter(req.startswith("chunk:")))
     have_full = full.select(*PAIR).distinct()
     return full.unionByName(chunks.join(have_full, PAIR, "left_anti"))
 

@@ -64,7 +64,8 @@ def run_pairs(spark: SparkSession, plan: DataFrame, fetch, *, root: str, run_ts:
     for pass_no in range(1, max_pass + 1):
         pages_path = f"{p['pages']}/run={run_ts}/pass={pass_no}"
         fail_path = f"{p['pages']}/run={run_ts}/failures-{pass_no}"
-        land_fetched(fetch_pages(todo, fetch, pass_no=pass_no), pages_path, fail_path, pass_no=pass_no)
+        land_fetched(fetch_pages(todo, fetch, pass_no=pass_no, ingested_at=ingested_at), pages_path, fail_path,
+                     pass_no=pass_no)
         try:
             obs = extract_group_days(read_pages(spark, pages_path))
         except Exception:  # noqa: BLE001 — no page landed at all in this pass

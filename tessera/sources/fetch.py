@@ -25,9 +25,14 @@ def _no_content(text: str) -> bool:
     return any(k in s for k in NO_CONTENT_MARKERS) or ("field required" in s and "instruments" in s)
 
 
-def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None = None) -> DataFrame:
+def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None = None,
+                ingested_at: str | None = None) -> DataFrame:
     """Run ``fetch(group_id, ymd, pass_no)`` for every (group_id, ymd) of ``plan``; one output
-    row per page, or one attempt row (``page`` NULL) for a pair that failed or returned nothing."""
+    row per page, or one attempt row (``page`` NULL) for a pair that failed or returned nothing.
+
+    Pages missing the work-item fields get them from the work item (``group_id``, ``obs_date``,
+    ``page_no`` = position, ``request`` = ``full``, ``ingested_at`` when given), so a vendor
+    page that only carries ``instruments`` lands complete."""
     import pandas as pd
 
     def run(batches):
@@ -45,7 +50,12 @@ def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None =
                 if not pages:
                     out.append((g, d, None, None, False, "empty_payload: 0 rows returned"))
                 for i, p in enumerate(pages):
-                    out.append((g, d, i, p if isinstance(p, str) else json.dumps(p), True, None))
+                    doc = json.loads(p) if isinstance(p, str) else dict(p)
+                    for k, v in (("group_id", g), ("obs_date", d), ("page_no", i), ("request", "full"),
+                                 ("ingested_at", ingested_at)):
+                        if doc.get(k) is None and v is not None:
+                            doc[k] = v
+                    out.append((g, d, i, json.dumps(doc), True, None))
             yield pd.DataFrame(out, columns=["group_id", "obs_date", "page_no", "page", "ok", "message"])
 
     items = plan.select("group_id", "ymd")

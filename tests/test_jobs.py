@@ -14,10 +14,9 @@ def vendor(group_id, ymd, pass_no):
         raise RuntimeError("HTTP 204 no content")           # legitimately empty: never retried
     if group_id == "A" and ymd == "20240105":
         raise PermissionError("403 forbidden")              # fails on every pass
-    return [{"group_id": group_id, "obs_date": ymd, "request": "full", "page_no": 0,
-             "ingested_at": "2024-02-01T00:00:00",
-             "instruments": [{"instrument_name": "X", "attributes": [
-                 {"attribute_id": "S", "time_series": [[ymd, "1"], [ymd, "2"]]}]}]}]
+    # a bare vendor page: the work-item fields are filled in by the fetch connector
+    return [{"instruments": [{"instrument_name": "X", "attributes": [
+        {"attribute_id": "S", "time_series": [[ymd, "1"], [ymd, "2"]]}]}]}]
 
 
 def test_backfill_then_incremental(spark):
