@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.operators.outcomes import retry_plan, run_summary
@@ -42,7 +43,6 @@ def paths(root: str) -> dict:
 def _manifest_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """The manifest; only a folder that does not exist yet means "nothing ingested" (other
     errors surface, answering D13)."""
-    from pyspark.errors import AnalysisException
     try:
         df = read_manifest(spark, path)
         df.schema  # noqa: B018
@@ -68,7 +68,9 @@ def run_pairs(spark: SparkSession, plan: DataFrame, fetch, *, root: str, run_ts:
                      pass_no=pass_no)
         try:
             obs = extract_group_days(read_pages(spark, pages_path))
-        except Exception:  # noqa: BLE001 — no page landed at all in this pass
+        except AnalysisException as exc:           # only "no page landed in this pass" is expected
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
             obs = None
         failures = spark.read.schema("group_id string, obs_date string, ok boolean, message string, pass int").json(fail_path)
         hard = failures.filter(~F.col("message").startswith("empty_payload"))
