@@ -44,20 +44,6 @@ def inner_segments(name) -> Column:
     return F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
 
 
-def inner_segment_runs(name) -> Column:
-    """Every run of consecutive inner segments, re-joined with ``|`` (unstripped).
-
-    ``'| s |'`` occurs in a name exactly when one of these runs equals ``' s '`` — for any ``s``,
-    with or without pipes. A name with m inner segments yields m(m+1)/2 runs (21 for the usual
-    eight-segment name).
-    """
-    inner = inner_segments(name)
-    n = F.size(inner)
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
-        F.sequence(i, n), lambda j: F.array_join(F.slice(inner, i, j - i + 1), "|"))))
-    return F.when(n > 0, runs).otherwise(F.array().cast("array<string>"))
-
-
 def build_raw_path(raw_root, group_id, obs_ymd, download_ts, prefix: str = "obs") -> Column:
     """``{raw}/{group}/{prefix}__{group}__{YYYYMMDD}__{YYYYMMDDTHHMMSS}.parquet``."""
     root = F.regexp_replace(lit_or_col(raw_root), "/+$", "")
