@@ -26,7 +26,7 @@ from tessera.plans.extract import extract_group_days
 from tessera.plans.process import process_pairs
 from tessera.schemas import MANIFEST_SCHEMA
 from tessera.sinks.manifest import read_manifest
-from tessera.sources.fetch import fetch_pages, land_fetched
+from tessera.sources.fetch import DAILY_REQUEST, fetch_pages, land_fetched
 from tessera.sources.pages import read_pages
 from tessera.streaming.load import load_new_files
 
@@ -56,16 +56,20 @@ def _manifest_or_empty(spark: SparkSession, path: str) -> DataFrame:
 
 def run_pairs(spark: SparkSession, plan: DataFrame, fetch, *, root: str, run_ts: str,
               ingested_at: str, max_pass: int = 3, dry_run: bool = False, load: bool = True,
-              sleep=time.sleep) -> DataFrame:
-    """Fetch, land, process and retry every pair of ``plan`` (group_id, obs_date, ymd)."""
+              request: dict | None = None, sleep=time.sleep) -> DataFrame:
+    """Fetch, land, process and retry every pair of ``plan`` (group_id, obs_date, ymd).
+
+    ``request`` holds the vendor parameters forwarded to ``fetch`` (default: the source's daily
+    request, ``sources.fetch.DAILY_REQUEST``)."""
+    request = DAILY_REQUEST if request is None else request
     p = paths(root)
     run_log = f"{p['attempts']}/run={run_ts}"      # the whole log stays readable at p['attempts']
     todo = plan.select("group_id", "obs_date", "ymd")
     for pass_no in range(1, max_pass + 1):
         pages_path = f"{p['pages']}/run={run_ts}/pass={pass_no}"
         fail_path = f"{p['pages']}/run={run_ts}/failures-{pass_no}"
-        land_fetched(fetch_pages(todo, fetch, pass_no=pass_no, ingested_at=ingested_at), pages_path, fail_path,
-                     pass_no=pass_no)
+        land_fetched(fetch_pages(todo, fetch, pass_no=pass_no, ingested_at=ingested_at, request=request),
+                     pages_path, fail_path, pass_no=pass_no)
         try:
             obs = extract_group_days(read_pages(spark, pages_path))
         except AnalysisException as exc:           # only "no page landed in this pass" is expected

@@ -1,7 +1,7 @@
 """S1 connector form: call a vendor fetch function for every work item, on the executors.
 
 The vendor client itself is out of scope (no credentials or HTTP here). A caller injects
-``fetch(group_id, ymd, pass_no) -> iterable of pages`` (dicts or JSON text). Work items are hash-spread
+``fetch(group_id, ymd, pass_no, **request) -> iterable of pages`` (dicts or JSON text). Work items are hash-spread
 over tasks, so a group with many days never sits in one task, and each task calls the function
 for its items (``mapInPandas``: Arrow batches in and out). An exception becomes an attempt record
 (``ok = false`` with the error text), like the source's per-pair records; a "no content" error
@@ -19,6 +19,10 @@ from tessera.session import checkpoint_root
 
 FETCH_SCHEMA = "group_id string, obs_date string, page_no int, page string, ok boolean, message string"
 
+# The request parameters the source passes to the vendor for daily group data.
+DAILY_REQUEST = {"calendar": "CAL_USBANK", "frequency": "FREQ_DAY",
+                 "conversion": "CONV_LASTBUS_ABS", "nan_treatment": "NA_NOTHING"}
+
 def _no_content(text: str) -> bool:
     """F9 on an exception text inside the task (same markers as the Column form)."""
     s = text.lower()
@@ -26,21 +30,25 @@ def _no_content(text: str) -> bool:
 
 
 def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None = None,
-                ingested_at: str | None = None) -> DataFrame:
-    """Run ``fetch(group_id, ymd, pass_no)`` for every (group_id, ymd) of ``plan``; one output
-    row per page, or one attempt row (``page`` NULL) for a pair that failed or returned nothing.
+                ingested_at: str | None = None, request: dict | None = None) -> DataFrame:
+    """Run ``fetch(group_id, ymd, pass_no, **request)`` for every (group_id, ymd) of ``plan``;
+    one output row per page, or one attempt row (``page`` NULL) for a pair that failed or
+    returned nothing. ``request`` carries the vendor parameters (calendar, frequency,
+    conversion, nan treatment); pass ``DAILY_REQUEST`` for the source's defaults.
 
     Pages missing the work-item fields get them from the work item (``group_id``, ``obs_date``,
     ``page_no`` = position, ``request`` = ``full``, ``ingested_at`` when given), so a vendor
     page that only carries ``instruments`` lands complete."""
     import pandas as pd
 
+    params = dict(request or {})
+
     def run(batches):
         for pdf in batches:
             out = []
             for g, d in zip(pdf["group_id"], pdf["ymd"]):
                 try:
-                    pages = list(fetch(g, d, pass_no) or [])
+                    pages = list(fetch(g, d, pass_no, **params) or [])
                 except Exception as exc:  # noqa: BLE001 — every failure becomes a record
                     msg = f"{type(exc).__name__}: {exc}"
                     if _no_content(msg):

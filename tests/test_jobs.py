@@ -7,7 +7,9 @@ from tessera.sinks.bronze import read_bronze
 from tessera.sinks.manifest import read_current_manifest
 
 
-def vendor(group_id, ymd, pass_no):
+def vendor(group_id, ymd, pass_no, **request):
+    assert request == {"calendar": "CAL_USBANK", "frequency": "FREQ_DAY",
+                       "conversion": "CONV_LASTBUS_ABS", "nan_treatment": "NA_NOTHING"}
     if group_id == "B" and ymd == "20240103" and pass_no == 1:
         raise TimeoutError("request timed out")            # recovers on pass 2
     if group_id == "B" and ymd == "20240104":
