@@ -125,3 +125,35 @@ def run_incremental(spark: SparkSession, groups: DataFrame, end, default_start,
     from tessera.operators.ledger import current
     plan = ingest.incremental_plan(groups, current(manifest), end, default_start)
     return run_pairs(spark, plan, fetch, root=root, run_ts=run_ts, ingested_at=ingested_at, **kw)
+
+
+def run_tiers(spark: SparkSession, catalog: DataFrame, fetch, *, end_ymd: str, root: str,
+              months: int = 6, unit: str = "Index", tiers_df: DataFrame | None = None,
+              save: bool = True, chunk_size: int = 20) -> DataFrame:
+    """X8/X9 end to end: select the instruments of every tier (one plan), fetch their monthly
+    window in chunks of ``chunk_size`` ids on the executors, flatten (CPI profile), attach the
+    catalog fields, and write one snapshot per tier under ``{root}/tiers/label=<tier>/end=<end>``.
+    Returns the rows (read back from the snapshots when ``save``)."""
+    from tessera.functions.dates import months_back
+    from tessera.operators.catalog import select_series
+    from tessera.operators.flatten import flatten_pages
+    from tessera.plans import tiers as T
+    from tessera.sources.fetch import fetch_instrument_pages
+
+    req = tiers_df if tiers_df is not None else T.tier_requests(spark, catalog, unit)
+    ids = select_series(catalog, req, unit).select("instrument_id")
+    start = spark.range(1).select(months_back(F.lit(end_ymd), F.lit(months))).first()[0]
+    r = root.rstrip("/")
+    pages_path, fail_path = f"{r}/tier_pages/end={end_ymd}", f"{r}/tier_failures/end={end_ymd}"
+    land_fetched(fetch_instrument_pages(ids, fetch, start, end_ymd, chunk_size=chunk_size), pages_path, fail_path)
+    obs = flatten_pages(read_pages(spark, pages_path), "cpi")
+    rows = T.fetch_series(obs, catalog, req, end_ymd, months=months, unit=unit)
+    if not save:
+        return rows
+    out = f"{r}/tiers"
+    (rows.withColumnRenamed("tier", "label").withColumn("end", F.lit(end_ymd))
+         .sortWithinPartitions("label", "series", "dataset", "date")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("label", "end").parquet(out))
+    return (spark.read.parquet(out).filter(F.col("end") == end_ymd)
+            .withColumnRenamed("label", "tier").drop("end"))

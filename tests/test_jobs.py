@@ -48,3 +48,38 @@ def test_backfill_then_incremental(spark):
                               sleep=waits.append).first()
     assert read_bronze(spark, p["bronze"]).filter(F.col("obs_date") > "2024-01-05").count() == 8
     assert (s3.pairs, s3.successes, s3.misses_actionable, s3.misses_empty) == (5, 4, 1, 0)
+
+
+def price_vendor(ids, start, end, pass_no, **request):
+    """Fixture price vendor: monthly points for each id; chunks containing I13 fail."""
+    assert request["frequency"] == "FREQ_MONTH" and len(ids) <= 20
+    if "I13" in ids:
+        raise ConnectionError("connection reset")
+    return [{"instruments": [{"instrument_id": i, "attributes": [{"attribute_id": "NO_ATTRIBUTE", "time_series": [
+        [f"{start[:4]}-{start[4:6]}-28", 100.0], ["2026-03-31", 101.0], ["2026-03-31", None]]}]} for i in ids]}]
+
+
+def test_run_tiers(spark):
+    from tessera.operators.catalog import decompose, select_series
+    from tessera.plans import tiers as T
+    from tessera.sources.fetch import instrument_chunks
+    names = []
+    for k in range(60):
+        series = ["CPI - Food", "CPI - All items", "CPI - Energy", "CPI - Widgets"][k % 4]
+        dataset = ["Consumer Price Index - Japan", "Consumer Price Index - Tokyo"][k % 2]
+        names.append((f"I{k}", f"JP | ECON | {series} | M | {dataset} | Monthly | NSA | Index"))
+    cat = decompose(spark.createDataFrame(names, "instrument_id string, name string"))
+    root = scratch_dir(spark, "t-tiers")
+    rows = jobs.run_tiers(spark, cat, price_vendor, end_ymd="20260331", root=root).collect()
+    # expected: every selected (tier, id) except the ids that shared a chunk with I13
+    req = T.tier_requests(spark, cat)
+    sel = {(r.tier, r.instrument_id) for r in select_series(cat, req).collect()}
+    chunks = [set(r.ids) for r in instrument_chunks(spark.createDataFrame(
+        sorted({(i,) for _, i in sel}), "instrument_id string")).collect()]
+    assert all(len(c) <= 20 for c in chunks)
+    lost = next((c for c in chunks if "I13" in c), set())
+    expected = {(t, i) for t, i in sel if i not in lost}
+    assert {(r.tier, r.instrument_id) for r in rows} == expected and expected
+    assert ("main_categories", "I2") not in sel            # Food is Japan-only in the main tier
+    assert {r.date for r in rows} == {"2025-09-28", "2026-03-31"}
+    assert all(r.value is not None for r in rows)
