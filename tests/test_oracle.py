@@ -15,6 +15,9 @@ def con(sf_dir):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf_dir, con, name):
     df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{name} plans a {bad}"
     if name not in ORACLE:
         assert df.count() >= 0
         return
