@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tessera.operators.flatten import discover_attributes, flatten_pages
+from tessera.operators.flatten import discover_attributes, flatten_pages  # noqa: F401  (re-exported)
 from tessera.util import broadcast_if_small
 
 PAIR = ["group_id", "obs_date"]

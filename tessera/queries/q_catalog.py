@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import compact
 from tessera.operators import catalog as C
 from tessera.plans import analogues as A
 from tessera.plans import tiers

@@ -82,17 +82,14 @@ def raw_path_q(spark, sf_dir):
                     parsed["download_ts"].alias("parsed_ts"))
 
 
-def _classify_sql(msg: str) -> str:
+def _classify_sql(msg: str) -> tuple[str, str, str]:
+    """DuckDB CASE expressions (category, strategy, wait_s) built from the same rule table."""
     from tessera.functions.classify import FAILURE_FALLBACK, FAILURE_RULES
     s = f"lower(coalesce({msg}, ''))"
     parts = []
     for cat, strat, wait, keys in FAILURE_RULES:
         cond = " OR ".join(f"contains({s}, '{k}')" for k in keys)
         parts.append((cond, cat, strat, wait))
-    def case(i):
-        body = " ".join(f"WHEN {c} THEN {repr(x[i]) if i < 3 else x[i]}" for c, *x in
-                        [(p[0], p[1], p[2], p[3]) for p in parts])
-        return body
     cat = "CASE " + " ".join(f"WHEN {c} THEN '{a}'" for c, a, _, _ in parts) + f" ELSE '{FAILURE_FALLBACK[0]}' END"
     strat = "CASE " + " ".join(f"WHEN {c} THEN '{b}'" for c, _, b, _ in parts) + f" ELSE '{FAILURE_FALLBACK[1]}' END"
     wait = "CASE " + " ".join(f"WHEN {c} THEN {w}" for c, _, _, w in parts) + f" ELSE {FAILURE_FALLBACK[2]} END"

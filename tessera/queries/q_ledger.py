@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.classify import FAILURE_RULES  # noqa: F401
 from tessera.operators import ledger, outcomes
 from tessera.plans import analogues as A
 from tessera.queries.q_functions import CLASSIFY_SQL

@@ -3,13 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions.dates import business_days, compact, default_start
 from tessera.operators import ledger
 from tessera.plans import analogues as A
 from tessera.plans import ingest
 from tessera.queries.common import DEFAULT_WINDOW_DAYS, SPAN_SQL, event_span
 from tessera.registry import query
-from tessera.session import read_table
 
 _GROUPS_SQL = "groups AS (SELECT DISTINCT group_id FROM v2)"
 

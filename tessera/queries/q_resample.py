@@ -1,8 +1,6 @@
 """R1-R3 queries (semantics inferred from request parameter names; see operators.resample)."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tessera.operators import resample
 from tessera.plans import analogues as A
 from tessera.queries.common import event_span

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tessera.functions.text import pipe_segment
 from tessera.operators import catalog as C
 

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tessera.functions import classify_failure, classify_failure_words, is_no_content
 
 DEMO = {

@@ -1,7 +1,3 @@
-import json
-
-from pyspark.sql import functions as F
-
 from tessera.operators.flatten import flatten_pages
 from tessera.plans import ingest
 from tessera.schemas import MANIFEST_SCHEMA
