@@ -1,26 +1,28 @@
 """K1: raw observation files, one folder per (group, day, run).
 
-Layout: ``{raw}/group={group_id}/day={YYYYMMDD}/run={YYYYMMDDTHHMMSS}/part-*.parquet``; every
-file carries all seven observation columns, so a recursive scan needs no path parsing. The whole
-run is written by one job; the ``rebalance`` hint lets AQE split a hot (group, day) over several
-tasks and pack small ones together, and dynamic partition overwrite makes a re-run with the same
-run stamp replace only its own folders.
+Layout: ``{raw}/run={YYYYMMDDTHHMMSS}/group={group_id}/day={YYYYMMDD}/part-*.parquet``; every
+file carries all seven observation columns, so a recursive scan needs no path parsing. The run
+comes first so that reading back one run lists only that run's folders, however much history
+the raw area holds. The whole run is written by one job; the ``rebalance`` hint lets AQE split a
+hot (group, day) over several tasks and pack small ones together, and dynamic partition
+overwrite makes a re-run with the same run stamp replace only its own folders.
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tessera.functions.dates import compact
 from tessera.schemas import OBSERVATION_COLUMNS, OBSERVATION_SCHEMA
 
-RAW_PARTITIONS = ["group", "day", "run"]
+RAW_PARTITIONS = ["run", "group", "day"]
 
 
 def raw_dir(raw_root, group_id, ymd, download_ts):
-    """F7 for this layout: folder of one (group, day, run)."""
+    """F7 for this layout: folder of one (run, group, day)."""
     root = F.regexp_replace(raw_root if not isinstance(raw_root, str) else F.lit(raw_root), "/+$", "")
-    return F.concat(root, F.lit("/group="), group_id, F.lit("/day="), ymd, F.lit("/run="),
-                    download_ts if not isinstance(download_ts, str) else F.lit(download_ts))
+    run = download_ts if not isinstance(download_ts, str) else F.lit(download_ts)
+    return F.concat(root, F.lit("/run="), run, F.lit("/group="), group_id, F.lit("/day="), ymd)
 
 
 def write_raw_days(obs: DataFrame, raw_root: str, download_ts: str, *,
@@ -40,11 +42,17 @@ RAW_SCHEMA = T.StructType(OBSERVATION_SCHEMA.fields + [
 
 
 def read_raw(spark: SparkSession, raw_root: str, *, run: str | None = None) -> DataFrame:
-    """Raw rows with their folder keys (``group``, ``day``, ``run``); ``run`` prunes folders."""
-    df = spark.read.schema(RAW_SCHEMA).parquet(raw_root)
-    if run is not None:
-        df = df.filter(F.col("run") == run)
-    return df
+    """Raw rows with their folder keys (``run``, ``group``, ``day``). With ``run`` only that
+    run's subtree is listed and read."""
+    if run is None:
+        return spark.read.schema(RAW_SCHEMA).parquet(raw_root)
+    root = raw_root.rstrip("/")
+    try:
+        return spark.read.schema(RAW_SCHEMA).option("basePath", root).parquet(f"{root}/run={run}")
+    except AnalysisException as exc:          # a run that wrote no rows has no folder
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], RAW_SCHEMA)
 
 
 def scan_raw_recursive(spark: SparkSession, raw_root: str) -> DataFrame:

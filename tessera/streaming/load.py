@@ -15,16 +15,22 @@ from tessera.sinks.bronze import cast_projection
 
 
 def load_new_files(spark: SparkSession, raw_root: str, bronze_path: str, checkpoint: str, *,
-                   max_files_per_trigger: int | None = 5000, timeout_s: float | None = None) -> dict:
+                   max_files_per_trigger: int | None = 5000, timeout_s: float | None = None,
+                   archive_dir: str | None = None) -> dict:
     """Load every raw file not loaded before; returns the progress counters.
 
     ``availableNow`` honours ``max_files_per_trigger``: a large backlog (a rebuild) is split
-    into bounded micro-batches instead of one giant batch.
+    into bounded micro-batches instead of one giant batch. The file source lists ``raw_root`` on
+    every trigger; with ``archive_dir`` processed files are moved there after their batch
+    commits (``cleanSource=archive``), which keeps that listing small on a large raw area. A
+    rebuild then reads both folders.
     """
     reader = (spark.readStream.schema(OBSERVATION_SCHEMA)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     src = reader.parquet(raw_root)
     q = (cast_projection(src).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint)
