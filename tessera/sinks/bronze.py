@@ -2,6 +2,10 @@
 
 Partition columns stay typed and unwrapped, so filters on them become ``PartitionFilters`` and
 whole folders are skipped. Compaction is a periodic rewrite into a new location.
+
+A bronze folder is written *either* by the streaming load (``streaming.load``; readers then see
+exactly the files committed in its ``_spark_metadata`` log) *or* by the batch writer below,
+never both: batch files added to a streaming sink's folder would be invisible to its readers.
 """
 from __future__ import annotations
 
