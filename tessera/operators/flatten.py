@@ -46,6 +46,11 @@ def _points(pages: DataFrame, profile: str, page_cap: int | None) -> DataFrame:
     if page_cap is not None:
         # T4: the first page plus at most ``page_cap`` following pages.
         pages = pages.filter(F.coalesce(F.col("page_no"), F.lit(0)) <= page_cap)
+    if profile == "strict":
+        # page-level values are parsed once per page, not once per exploded point
+        pages = pages.select("group_id", "instruments",
+                             parse_ymd(F.col("obs_date")).alias("obs_date"),
+                             lenient_timestamp(F.col("ingested_at")).alias("ingested_at"))
     inst = pages.select(
         "group_id", "obs_date", "ingested_at",
         F.explode("instruments").alias("i"))
@@ -98,13 +103,12 @@ def flatten_pages(pages: DataFrame, profile: str = "strict", *, page_cap: int |
             raw_val.alias("value"), "obs_date", "ingested_at")
         rows = rows.filter(F.col("raw_date").isNotNull())
         typed_date = lenient_date(F.col("date_text"))
-        obs_date = F.coalesce(parse_ymd(F.col("obs_date")), typed_date)
+        obs_date = F.coalesce(F.col("obs_date"), typed_date)
         # rejects: impossible 8-digit dates, and rows that would get a NULL partition key
         rejected = (F.col("raw_date").rlike("^[0-9]{8}$") & F.col("date_text").isNull()) | obs_date.isNull()
         out = rows.select(
             "group_id", "instrument", "attribute", typed_date.alias("date"), "value",
-            obs_date.alias("obs_date"),
-            lenient_timestamp(F.col("ingested_at")).alias("ingested_at"),
+            obs_date.alias("obs_date"), "ingested_at",
             rejected.alias("rejected"))
         if keep_rejects:
             return out
