@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # No broadcast from static size estimates (compressed file sizes): joins broadcast only from
+    # AQE's measured runtime sizes or an explicit hint placed after a size check.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
