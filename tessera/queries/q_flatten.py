@@ -39,13 +39,14 @@ def land_observation_pages(spark, sf_dir, *, chunk_size: int | None = None, full
 
     def build(path):
         even = v1.filter(F.dayofmonth("date") % 2 == 0) if full_days == "even" else v1
-        write_pages(A.observation_pages(even, request="full"), f"{path}/full")
         # Attribute discovery runs on the full responses of *all* pairs (the attribute listing
         # is per group, not per day); chunk requests then ask for discovered attributes only.
         attrs = extract.attribute_chunks(discover_attributes(read_pages(spark, full_all)), chunk_size)
         rows = v1.join(attrs.select("group_id", "attribute", "chunk_no"), ["group_id", "attribute"])
-        label = F.concat(F.lit("chunk:"), F.col("chunk_no").cast("string"))
-        write_pages(A.observation_pages(rows, request=label), f"{path}/chunks")
+        full = even.withColumn("request", F.lit("full"))
+        chunks = rows.withColumn("request", F.concat(F.lit("chunk:"), F.col("chunk_no").cast("string")))
+        both = full.unionByName(chunks.select(*full.columns))
+        write_pages(A.observation_pages(both, request=F.col("request")), path)   # one landing job
 
     path = _landed(spark, sf_dir, f"chunked-{chunk_size}-{full_days}", build)
     return read_pages(spark, path)
