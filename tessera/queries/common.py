@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import read_table
 
-# Fixed values (test parameters, ours): the as-of day of a run and the incremental default window.
+# The incremental run's default look-back when a group has no manifest rows (days).
 DEFAULT_WINDOW_DAYS = 730
 
 
