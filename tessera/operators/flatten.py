@@ -66,7 +66,7 @@ def _points(pages: DataFrame, profile: str, page_cap: int | None) -> DataFrame:
     a = F.col("a")
     if profile == "strict":
         attribute = first_present(a["attribute_id"], a["attribute"], a["name"], F.lit("UNKNOWN"))
-        # _first_present skips NULL only for lists: an empty time_series hides series.
+        # first-present skips NULL but not an empty list: an empty time_series hides series
         series = F.coalesce(a["time_series"], a["series"])
     elif profile == "light":
         attribute = truthy_first(a["attribute_id"], a["attribute"], F.lit("UNKNOWN"))
