@@ -28,3 +28,12 @@ def test_fetch_land_and_flatten(spark):
     att = {(r.group_id, r.obs_date): r.message for r in spark.read.json(att_path).collect()}
     assert att == {("B", "20240103"): "ConnectionError: connection reset by peer",
                    ("B", "20240104"): "empty_payload: 0 rows returned"}
+
+
+def test_instrument_chunks_cover_each_id_once(spark):
+    from tessera.sources.fetch import instrument_chunks
+    ids = spark.createDataFrame([(f"I{i}",) for i in range(1000)] + [("I7",)], "instrument_id string")
+    chunks = [r.ids for r in instrument_chunks(ids, chunk_size=20).collect()]
+    flat = [i for c in chunks for i in c]
+    assert sorted(flat) == sorted(f"I{i}" for i in range(1000))   # each id exactly once
+    assert max(len(c) for c in chunks) <= 20 and len(chunks) >= 50
