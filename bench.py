@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -36,8 +35,8 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", app="tessera-bench", shuffle_partitions=int(cpus) * 2,
                         extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-bench-"))
+    from tessera.session import checkpoint_root
+    checkpoint_root(spark)          # the session's shared folder, or a local one when unset
     load_all()
     names = list(QUERIES) if os.environ.get("BENCH_ALL") else HEADLINE
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")

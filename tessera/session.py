@@ -48,16 +48,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     When the setting is absent we only invent one for a local-mode session (tests, laptops);
     on a cluster a machine-local folder would not be visible to executors, so we refuse.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    # spark.checkpoint.dir is a static setting; without it, use (or set) the context's folder
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -18,8 +17,8 @@ def spark():
     from tessera.session import get_session
     s = get_session("local[4]", app="tessera-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-tests-"))
+    from tessera.session import checkpoint_root
+    checkpoint_root(s)              # the session's shared folder, or a local one when unset
     yield s
     s.stop()
 
