@@ -69,3 +69,8 @@ def fresh(df: DataFrame, base: str) -> str:
 
 def text_or_empty(c) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+
+
+def hash_limit(share: float) -> int:
+    """The 64-bit hash value below which about ``share`` of all hashes lie."""
+    return min(2 ** 63 - 1, -2 ** 63 + int(min(1.0, max(0.0, share)) * 2 ** 53) * 2 ** 11)

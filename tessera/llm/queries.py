@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import packing, sharding
+from tessera.llm import langid, packing, sharding, toxicity
 from tessera.llm.common import table, text_or_empty
 
 QUERIES: dict = {}
@@ -29,3 +29,28 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(text_or_empty("text")).alias("text_crc32"), F.lit("rows").alias("law"))
     placed = sharding.shard(digest, "doc_id", shards=40, order=("doc_id", "text_crc32", "size"))
     return placed.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def remainder(divisor: int):
+    """crc32 of doc_id written as text, modulo ``divisor`` (a null doc_id has remainder null)."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document; labels are learned only where the remainder modulo 5 is not 0."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    weights, bias = toxicity.fit(toxicity.labelled_sample(docs, labels, remainder(5) != 0))
+    return toxicity.score(docs, weights, bias, keep=("doc_id",)).select(
+        "doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict every document's language; learned only where the remainder modulo 4 is not 2."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    langs, weights = langid.fit(docs, remainder(4) != 2)
+    return langid.predict(docs.select("doc_id", "text"), langs, weights, keep=("doc_id",)).select(
+        "doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
