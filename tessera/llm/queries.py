@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import langid, packing, sharding, toxicity
+from tessera.llm import dac, htmltext, langid, packing, sharding, toxicity
 from tessera.llm.common import table, text_or_empty
+from tessera.session import scratch_dir
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +55,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     langs, weights = langid.fit(docs, remainder(4) != 2)
     return langid.predict(docs.select("doc_id", "text"), langs, weights, keep=("doc_id",)).select(
         "doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents' ids as directly addressable codes and read the files back."""
+    path = scratch_dir(spark, "tokens")
+    dac.write(table(spark, sf_dir, "documents", "doc_id", "text"), path)
+    return dac.read_documents(spark, path)
+
+
+@query
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), keep=("page_id", "url"))

@@ -22,10 +22,10 @@ from tessera.llm import textvec as tv
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 # A word of Latin letters, then a run of ASCII marks (no apostrophe): at most three pre-tokens.
 _SIMPLE = re.compile(f"([ \n]?)([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)")
-SLOT_BITS = 22              # slots of the word table (14 bytes each)
+SLOT_BITS = 21              # slots of the word table (14 bytes each)
 LONGEST = 30_000            # a longer chunk is not kept: its text is encoded whole
-POOL_IDS = 6_000_000        # ids kept before the table is emptied (speed only)
-MAX_CORES = 700_000         # entries of the pre-token cache before it is emptied (speed only)
+POOL_IDS = 4_000_000        # ids kept before the table is emptied (speed only)
+MAX_CORES = 300_000         # entries of the pre-token cache before it is emptied (speed only)
 
 
 def _byte_alphabet() -> dict[int, str]:
