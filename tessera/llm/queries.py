@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import dac, htmltext, langid, packing, sharding, toxicity
+from tessera.llm import dac, htmltext, langid, linededup, packing, sharding, toxicity
 from tessera.llm.common import table, text_or_empty
 from tessera.session import scratch_dir
 
@@ -69,3 +69,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return htmltext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"), keep=("page_id", "url"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its repeated passages removed."""
+    return linededup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text")).drop("removed")
+
+
+ORACLE["op5_line_dedup"] = linededup.ORACLE
