@@ -84,8 +84,8 @@ def bounded_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20)
         start = stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
-    """Words (runs of bytes other than space, \\t, \\n, \\v, \\f, \\r) of every text.
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, separates=IS_SPACE):
+    """Words (runs of bytes that ``separates`` leaves out: space, \\t, \\n, \\v, \\f, \\r) of every text.
 
     Returns (hash of each word, words before each text [n + 1], word start byte, word end byte);
     byte positions are relative to ``offsets[0]``. With ``lower``, A-Z count as a-z.
@@ -97,7 +97,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     if n == 0:
         z = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), z, z
-    solid = ~IS_SPACE[raw]
+    solid = ~separates[raw]
     edge = np.zeros(n + 1, dtype=bool)          # a text begins here: words do not cross texts
     edge[rel] = True
     before = np.empty(n, dtype=bool)
@@ -131,6 +131,13 @@ def combine(h: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def sequence_hash(h: np.ndarray) -> np.uint64:
+    """Order-sensitive hash of a whole sequence of hashes."""
+    power, _ = _powers(len(h) + 1)
+    total = np.array([(h * power[1:]).sum() + np.uint64(len(h))], dtype=np.uint64)
+    return mix(total)[0]
+
+
 def word_ngrams(h: np.ndarray, before: np.ndarray, width: int):
     """Word n-grams that stay inside one text: (hash, index of the first word, n-grams before each text)."""
     counts = np.diff(before)
@@ -154,11 +161,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[
         if words >= width:
             out.append(np.unique(grams[first[i]:first[i + 1]]))
         elif words:
-            whole = np.uint64(words)
-            for x in h[before[i]:before[i + 1]]:
-                with np.errstate(over="ignore"):
-                    whole = whole * _STEP + x
-            out.append(mix(np.array([whole], dtype=np.uint64)))
+            out.append(np.array([sequence_hash(h[before[i]:before[i + 1]])]))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
