@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits (bytes other than ASCII marks and white space), A-Z as a-z,
-compared by 64-bit hashes; an item's seeds are word 3-grams.
+Words are runs of letters and digits (bytes other than ASCII marks and white space) of the
+lower-cased text, compared by 64-bit hashes; an item's seeds are word 3-grams.
 
 1. Count every item 3-gram over the whole corpus (one pass; only 3-grams that a bitmap of the items'
    3-grams lets through leave a task, already added up).
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessera.llm import textvec as tv
@@ -40,8 +41,9 @@ SEPARATES[:128] = True
 SEPARATES[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 
 
-def words(data: np.ndarray, offsets: np.ndarray):
-    h, before, _, _ = tv.word_hashes(data, offsets, separates=SEPARATES)
+def words(column) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes, words before each text) of a string column."""
+    h, before, _, _ = tv.word_hashes(*tv.utf8(pc.utf8_lower(column)), separates=SEPARATES)
     return h, before
 
 
@@ -51,7 +53,7 @@ def item_words(items: DataFrame) -> DataFrame:
     def rows(batches):
         for batch in batches:
             for part in tv.bounded_slices(batch, "text"):
-                h, before = words(*tv.utf8(part.column("text")))
+                h, before = words(part.column("text"))
                 cut = [h[before[i]:before[i + 1]] for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_pydict({
                     "item_id": part.column("item_id").cast(pa.int64()),
@@ -112,7 +114,7 @@ def gram_counts(docs: DataFrame, bits, text: str) -> DataFrame:
 
         for batch in batches:
             for part in tv.bounded_slices(batch, text):
-                g, _, _ = tv.word_ngrams(*words(*tv.utf8(part.column(text))), GRAM)
+                g, _, _ = tv.word_ngrams(*words(part.column(text)), GRAM)
                 found.append(g[passes(bits.value, g)])
                 held += len(found[-1])
                 if held > 1 << 20:
@@ -147,7 +149,7 @@ def passages(docs: DataFrame, bits, margin: int, text: str, doc_id: str) -> Data
     def rows(batches):
         for batch in batches:
             for part in tv.bounded_slices(batch, "text"):
-                h, before = words(*tv.utf8(part.column("text")))
+                h, before = words(part.column("text"))
                 g, at, _ = tv.word_ngrams(h, before, GRAM)
                 hit = np.flatnonzero(passes(bits.value, g))
                 if not len(hit):
