@@ -6,8 +6,10 @@ setting gets one of its own.
 """
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +71,26 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per context), as ``spark-submit --py-files`` would.
+
+    Python workers then import it wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tessera-ship-"), "tessera_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("tessera", os.path.relpath(full, package)))
+    sc.addPyFile(archive)
+    sc._tessera_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """One driver table (``{sf_dir}/{name}.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
