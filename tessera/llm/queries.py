@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import dac, decontam, htmltext, langid, linededup, packing, sharding, toxicity
+from tessera.llm import dac, decontam, htmltext, langid, linededup, neardup, packing, sharding, toxicity
 from tessera.llm.common import table, text_or_empty
 from tessera.session import scratch_dir
 
@@ -85,3 +85,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds, exact or edited."""
     return decontam.leaks(table(spark, sf_dir, "documents", "doc_id", "text"),
                           table(spark, sf_dir, "benchmark", "item_id", "text")).drop("tie")
+
+
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
