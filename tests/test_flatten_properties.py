@@ -1,4 +1,4 @@
-"""Random nested pages: strict and light flatten vs a plain-Python statement of their rules."""
+"""Round trip: expected rows first, nested into pages of random shapes, flattened back."""
 import datetime as dt
 import json
 
@@ -8,107 +8,42 @@ from tessera.operators.flatten import flatten_pages
 from tessera.session import scratch_dir
 from tessera.sources.pages import read_pages
 
-NAME = st.sampled_from([None, "", "  ", "N1", "N2"])
-DATE = st.sampled_from([None, "", "2024-01-02", "20240103", "2024-01-04T05:06:07", "2024-1", "20241301"])
-VALUE = st.sampled_from([None, "0.45", "text", 1.5])
-POINT = st.one_of(
-    st.fixed_dictionaries({"date": DATE, "value": VALUE}, optional={"obs_date": DATE, "time": DATE}),
-    st.fixed_dictionaries({"obs_date": DATE, "value": VALUE}, optional={"time": DATE}),
-    st.tuples(DATE, VALUE).map(list), st.tuples(DATE, VALUE).map(list),
-    st.tuples(DATE).map(list), st.just(7))
-SERIES = st.one_of(st.lists(POINT, min_size=1, max_size=5), st.lists(POINT, min_size=1, max_size=5),
-                   st.none(), st.just([]))
-ATTR = st.fixed_dictionaries({"time_series": SERIES, "series": SERIES},
-                             optional={"attribute_id": NAME, "attribute": NAME, "name": NAME})
-INST = st.fixed_dictionaries({"attributes": st.lists(ATTR, min_size=1, max_size=3)},
-                             optional={"instrument_name": NAME, "instrument_id": NAME, "name": NAME})
+NAME = st.sampled_from(["N1", "N2", "a b", "ECB"])
+DAY = st.dates(dt.date(2000, 1, 1), dt.date(2030, 12, 31))
+VALUE = st.sampled_from([None, "0.45", "text", "1e-07", ""])
+ROWS = st.lists(st.tuples(NAME, NAME, DAY, VALUE, st.integers(0, 10 ** 6)), min_size=1, max_size=25)
 
 
-def first_present(*vs):
-    for v in vs:
-        if v is None or (isinstance(v, str) and not v.strip()):
-            continue
-        return v
-    return None
+def point(day, value, shape):
+    """One of the shapes that carry a dated value."""
+    text = [day.isoformat(), day.strftime("%Y%m%d"), day.isoformat() + "T01:02:03"][shape % 3]
+    return [{"date": text, "value": value}, {"obs_date": text, "value": value}, {"time": text, "value": value},
+            [text, value], [text, value, "more"]][shape // 3 % 5], text
 
 
-def truthy(*vs):
-    for v in vs:
-        if v:
-            return v
-    return None
-
-
-def text(v):
-    return None if v is None else (v if isinstance(v, str) else repr(v))
-
-
-def norm(v):
-    if v is None:
-        return None, False
-    t = str(v)
-    if len(t) == 8 and t.isdigit():
-        try:
-            return dt.datetime.strptime(t, "%Y%m%d").date(), False
-        except ValueError:
-            return None, True
-    t = t[:10] if len(t) >= 10 else t
-    try:
-        return dt.date.fromisoformat(t) if len(t) == 10 else None, False
-    except ValueError:
-        return None, False
-
-
-def strict_model(instruments):
-    out = []
-    for inst in instruments:
-        iname = first_present(inst.get("instrument_name"), inst.get("instrument_id"), inst.get("name"), "UNKNOWN")
-        for a in inst.get("attributes") or []:
-            aname = first_present(a.get("attribute_id"), a.get("attribute"), a.get("name"), "UNKNOWN")
-            ts = a.get("time_series")
-            series = ts if ts is not None else a.get("series")
-            for p in series or []:
-                if isinstance(p, dict):
-                    d, v = first_present(p.get("date"), p.get("obs_date"), p.get("time")), p.get("value")
-                elif isinstance(p, list) and len(p) >= 2:
-                    d, v = p[0], p[1]
-                else:
-                    continue
-                if d is None:
-                    continue
-                day, rejected = norm(d)
-                if rejected:
-                    continue
-                out.append((iname, aname, day, text(v)))
-    return sorted(out, key=repr)
-
-
-def light_model(instruments):
+def nested(rows):
+    """One instrument entry per row, its names under any of the keys, with junk points around."""
     out = []
-    for inst in instruments:
-        iname = truthy(inst.get("instrument_name"), inst.get("instrument_id"), "UNKNOWN")
-        for a in inst.get("attributes") or []:
-            aname = truthy(a.get("attribute_id"), a.get("attribute"), "UNKNOWN")
-            for p in a.get("time_series") or a.get("series") or []:
-                if isinstance(p, dict):
-                    d, v = truthy(p.get("date"), p.get("obs_date"), p.get("time")), p.get("value")
-                elif isinstance(p, list) and len(p) >= 2:
-                    d, v = p[0], p[1]
-                else:
-                    continue
-                out.append((iname, aname, str(d)[:10], text(v)))
-    return sorted(out, key=repr)
+    for instrument, attribute, day, value, shape in rows:
+        p, _ = point(day, value, shape)
+        i_key = ["instrument_name", "instrument_id"][shape // 15 % 2]
+        a_key = ["attribute_id", "attribute"][shape // 30 % 2]
+        s_key = ["time_series", "series"][shape // 60 % 2]
+        junk = [[], [7], [["alone"]], ["x", None]][shape // 120 % 4]
+        out.append({i_key: instrument, "attributes": [{a_key: attribute, s_key: [*junk, p]}]})
+    return out
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.lists(INST, min_size=1, max_size=3), min_size=1, max_size=4))
-def test_flatten_matches_model(spark, pages):
+@given(st.lists(ROWS, min_size=1, max_size=3))
+def test_rows_survive_any_nesting(spark, pages):
     path = scratch_dir(spark, "t-prop-pages")
     docs = [{"group_id": "G", "obs_date": "20240102", "request": "full", "page_no": i,
-             "ingested_at": "2024-01-02T00:00:00", "instruments": insts} for i, insts in enumerate(pages)]
+             "ingested_at": "2024-01-02T00:00:00", "instruments": nested(rows)} for i, rows in enumerate(pages)]
     spark.createDataFrame([(json.dumps(d),) for d in docs], "value string").coalesce(1).write.text(path)
     df = read_pages(spark, path)
+    rows = [r for p in pages for r in p]
     got = sorted(((r.instrument, r.attribute, r.date, r.value) for r in flatten_pages(df).collect()), key=repr)
-    assert got == strict_model([i for p in pages for i in p])
-    got_l = sorted(((r.instrument, r.attribute, r.date, r.value) for r in flatten_pages(df, "light").collect()), key=repr)
-    assert got_l == light_model([i for p in pages for i in p])
+    assert got == sorted(((i, a, d, v) for i, a, d, v, _ in rows), key=repr)
+    light = sorted(((r.instrument, r.attribute, r.date, r.value) for r in flatten_pages(df, "light").collect()), key=repr)
+    assert light == sorted(((i, a, point(d, v, s)[1][:10], v) for i, a, d, v, s in rows), key=repr)
