@@ -15,7 +15,6 @@ import re
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.functions.text import inner_segments, pipe_segment
-from tessera.util import broadcast_if_small
 
 # Segment positions of the derived catalog columns (0-based).
 SEGMENTS = {"series": 2, "dataset": 4, "frequency": 5, "adjustment": 6, "unit": 7}
@@ -33,21 +32,24 @@ def dedupe_by_id(raw: DataFrame, id_col: str = "instrument_id") -> DataFrame:
     return raw.groupBy(id_col).agg(best).select(id_col, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def keyword_search(raw: DataFrame, keywords: str, name_col: str = "name") -> DataFrame:
-    """S3: instruments whose name contains every keyword (case-insensitive)."""
+def _has_keywords(keywords: str, name_col: str = "name"):
     cond = F.lit(True)
     for w in keywords.split():
         cond = cond & F.lower(F.col(name_col)).contains(w.lower())
-    return raw.filter(cond)
+    return cond
+
+
+def keyword_search(raw: DataFrame, keywords: str, name_col: str = "name") -> DataFrame:
+    """S3: instruments whose name contains every keyword (case-insensitive)."""
+    return raw.filter(_has_keywords(keywords, name_col))
 
 
 def search_union(raw: DataFrame, keyword_sets, id_col: str = "instrument_id") -> DataFrame:
-    """S3 + U1 + A7: union of several searches, one row per instrument id."""
-    found = None
+    """S3 + U1 + A7: several searches in one scan, one row per instrument id."""
+    cond = F.lit(False)
     for kw in keyword_sets:
-        hit = keyword_search(raw, kw)
-        found = hit if found is None else found.unionByName(hit)
-    return dedupe_by_id(found, id_col)
+        cond = cond | _has_keywords(kw)
+    return dedupe_by_id(raw.filter(cond), id_col)
 
 
 def instrument_catalog(raw: DataFrame, keyword_sets=None) -> DataFrame:
@@ -82,7 +84,7 @@ def select_series(cat: DataFrame, requests: DataFrame, unit: str | None = "Index
         "*", F.posexplode("_inner").alias("_pos", "_seg"))
     parts = F.split(F.concat(F.lit(" "), F.col("requested"), F.lit(" ")), "[|]")
     rq = req.select("*", parts.alias("_parts")).withColumn("_seg", F.col("_parts")[0])
-    hit = segs.join(broadcast_if_small(rq), "_seg").filter(
+    hit = segs.join(rq, "_seg").filter(
         F.slice("_inner", F.col("_pos") + 1, F.size("_parts")) == F.col("_parts"))
     # an instrument can match one request at several positions: keep one row
     sel = hit.drop("_seg", "_inner", "_pos", "_parts").distinct()
@@ -109,7 +111,7 @@ def attach_catalog(obs: DataFrame, lookup: DataFrame) -> DataFrame:
     """Add series, dataset and instrument name to observations; unknown ids get ''."""
     lk = lookup.select("instrument_id", F.col("series").alias("_series"),
                        F.col("dataset").alias("_dataset"), F.col("name").alias("_name"))
-    j = obs.join(broadcast_if_small(lk), "instrument_id", "left")
+    j = obs.join(lk, "instrument_id", "left")
     return j.select(*[c for c in obs.columns],
                     F.coalesce("_series", F.lit("")).alias("series"),
                     F.coalesce("_dataset", F.lit("")).alias("dataset"),

@@ -78,6 +78,24 @@ def _points(pages: DataFrame, profile: str, page_cap: int | None) -> DataFrame:
                         attribute.alias("attribute"), F.explode(series).alias("p"))
 
 
+def has_usable_point(profile: str = "strict") -> Column:
+    """Page level: does any point of the page give a strict row (dated, and the date is possible)?"""
+    def usable(p):
+        date = (F.when(_is_object(p), first_present(_vget(p, "$.date"), _vget(p, "$.obs_date"), _vget(p, "$.time")))
+                .when(_is_pair(p), _vget(p, "$[0]")))
+        possible = ~date.rlike("^[0-9]{8}$") | norm_date(date).isNotNull()
+        known_day = parse_ymd(F.col("obs_date")).isNotNull() | lenient_date(norm_date(date)).isNotNull()
+        return F.coalesce(date.isNotNull() & possible & known_day, F.lit(False))
+
+    def attribute(a):
+        return F.coalesce(F.exists(F.coalesce(a["time_series"], a["series"]), usable), F.lit(False))
+
+    def instrument(i):
+        return F.coalesce(F.exists(i["attributes"], attribute), F.lit(False))
+
+    return F.coalesce(F.exists("instruments", instrument), F.lit(False))
+
+
 def flatten_pages(pages: DataFrame, profile: str = "strict", *, page_cap: int | None = None,
                   keep_rejects: bool = False) -> DataFrame:
     """Explode response pages into observation rows.
@@ -85,7 +103,8 @@ def flatten_pages(pages: DataFrame, profile: str = "strict", *, page_cap: int |
     ``strict`` returns the bronze shape (7 columns, dates typed). With ``keep_rejects`` the
     strict profile also returns rows whose 8-digit date is impossible (the source would raise
     and lose the whole pair; we keep the rest and surface the row) or whose ``obs_date`` would
-    be NULL (never a NULL partition key), flagged ``rejected``.
+    be NULL (never a NULL partition key), flagged ``rejected``. The ``cpi`` profile's rejects are
+    values that are no numbers.
     """
     if profile not in PROFILES:
         raise ValueError(f"profile must be one of {PROFILES}")
@@ -131,7 +150,10 @@ def flatten_pages(pages: DataFrame, profile: str = "strict", *, page_cap: int |
                     F.col("instrument").alias("instrument_id"),
                     raw_txt.alias("value_text"), raw_val.alias("value"))
             .filter(F.col("value_text").isNotNull())
-            .drop("value_text"))
+            # a text that is no number is a reject, like an impossible date: never a NULL value row
+            .withColumn("rejected", F.col("value").isNull())
+            .filter(F.lit(keep_rejects) | ~F.col("rejected"))
+            .drop(*(["value_text"] if keep_rejects else ["value_text", "rejected"])))
 
 
 def discover_attributes(pages: DataFrame, profile: str = "strict",

@@ -17,7 +17,7 @@ def pair_stats(obs: DataFrame, keys=("group_id", "obs_date"), *, approx: bool =
     """A1 + F10: rows, distinct instruments and distinct attributes per (group, day).
 
     The key includes the day, so a hot group is spread over its days. Exact distinct counts
-    plan as Expand + partial/final hash aggregates; ``approx`` switches to HyperLogLog++.
+    plan as Expand + partial/final aggregates; ``approx`` switches to HyperLogLog++.
     """
     if approx:
         di, da = (F.approx_count_distinct("instrument"), F.approx_count_distinct("attribute"))
@@ -58,7 +58,7 @@ def replace_keys(old: DataFrame, new: DataFrame, keys=MANIFEST_KEY) -> DataFrame
 def latest_by_key(df: DataFrame, keys, order_cols) -> DataFrame:
     """W2 core: one row per key, the one with the greatest ``order_cols`` tuple.
 
-    Implemented as ``max_by`` in a hash aggregate rather than a window: partial aggregation
+    Implemented as ``max_by`` in a (sort-based) aggregate rather than a window: partial aggregation
     folds duplicates map-side, so a key holding a third of all rows never sits in one task.
     """
     keys = list(keys)

@@ -16,7 +16,7 @@ def monthly_last_business(obs: DataFrame, keys=("group_id", "instrument", "attri
                           date_col: str = "date", value_col: str = "value",
                           tiebreak: str = "ingested_at") -> DataFrame:
     """Per key and month, the value observed on the last weekday of that month that has
-    data (``max_by`` in a hash aggregate; no window, no sort of a whole key)."""
+    data (``max_by`` in a sort-based aggregate; no window, no sort of a whole key)."""
     wk = obs.filter(F.weekday(F.col(date_col)) < 5)
     order = F.struct(F.col(date_col), F.col(tiebreak)) if tiebreak in obs.columns else F.col(date_col)
     return (wk.groupBy(*keys, F.trunc(F.col(date_col), "MM").alias("month"))

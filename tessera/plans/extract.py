@@ -7,10 +7,10 @@ anti join on the pair key, evaluated for all pairs at once.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tessera.operators.flatten import discover_attributes, flatten_pages  # noqa: F401  (re-exported)
-from tessera.util import broadcast_if_small
+from tessera.functions.text import truthy_first
+from tessera.operators.flatten import discover_attributes, flatten_pages, has_usable_point  # noqa: F401  (re-exported)
 
 PAIR = ["group_id", "obs_date"]
 
@@ -24,48 +24,51 @@ def attribute_chunks(attributes: DataFrame, chunk_size: int = 10) -> DataFrame:
     return attributes.withColumn("chunk_no", F.floor((F.col("position") - 1) / chunk_size).cast("int"))
 
 
-def number_within(df: DataFrame, partition_cols, order_cols, chunk_size: int) -> DataFrame:
-    """W1, general form: chunk numbers from a row number inside each partition.
-
-    Only for inputs already reduced to one row per item (catalog ids, attribute ids): the window
-    holds one partition per task, so it must never see raw observation rows.
-    """
-    w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
-    return df.withColumn("chunk_no", F.floor((F.row_number().over(w) - 1) / chunk_size).cast("int"))
+def choose_pages(pages: DataFrame) -> DataFrame:
+    """X1 on pages: the ``full`` pages (untagged pages count as full), and the ``chunk:`` pages of
+    pairs whose full pages hold no usable point. One flag per page decides; rows are never joined."""
+    request = F.coalesce(F.col("request"), F.lit("full"))
+    answered = (pages.filter((request == "full") & has_usable_point()).select(*PAIR).distinct()
+                .withColumn("_answered", F.lit(True)))
+    marked = pages.filter((request == "full") | request.startswith("chunk:")).join(answered, PAIR, "left")
+    return marked.filter((request == "full") | F.col("_answered").isNull()).drop("_answered")
 
 
-def extract_group_days(pages: DataFrame) -> DataFrame:
+def extract_group_days(pages: DataFrame, *, keep_rejects: bool = False) -> DataFrame:
     """Strict rows per pair from the ``full`` request, or from its chunks when the full
-    request returned nothing for that pair."""
-    req = F.coalesce(F.col("request"), F.lit("full"))        # untagged pages are full responses
-    full = flatten_pages(pages.filter(req == "full"))
-    chunks = flatten_pages(pages.filter(req.startswith("chunk:")))
-    have_full = full.select(*PAIR).distinct()
-    return full.unionByName(chunks.join(have_full, PAIR, "left_anti"))
+    request returned nothing usable for that pair. One flatten over the chosen pages."""
+    return flatten_pages(choose_pages(pages), keep_rejects=keep_rejects)
 
 
 def restrict_instruments(rows: DataFrame, search_ids: DataFrame, key: str = "instrument") -> DataFrame:
-    """Keep rows whose instrument is among the searched ids (semi join; the id list is a
-    search result, broadcast only after a size check)."""
+    """Keep rows whose instrument is among the searched ids (semi join; AQE broadcasts the id
+    list if its measured size is small)."""
     ids = search_ids.select(F.col(search_ids.columns[0]).alias(key)).distinct()
-    return rows.join(broadcast_if_small(ids), key, "left_semi")
+    return rows.join(ids, key, "left_semi")
 
 
 def light_extract(pages: DataFrame, search_ids: DataFrame | None = None) -> DataFrame:
-    """Light rows from chunked requests, optionally restricted to searched instruments.
+    """Light rows from chunked requests, optionally restricted to searched instruments (``None``:
+    no restriction; an empty search: no rows, unlike the source, which then returned everything).
 
     The restriction is applied by instrument id (the server-side filter of the source), so it
     is done on the strict instrument key before light names (which keep blanks) are used.
     """
-    chunked = pages.filter(F.col("request").startswith("chunk:"))
+    request = F.coalesce(F.col("request"), F.lit("full"))
+    in_chunks = (pages.filter(request.startswith("chunk:")).select(*PAIR).distinct()
+                 .withColumn("_chunked", F.lit(True)))
+    # chunk responses; a pair that has none (a vendor page without a tag) is read from its full pages
+    chunked = (pages.join(in_chunks, PAIR, "left")
+               .filter(request.startswith("chunk:") | (F.col("_chunked").isNull() & (request == "full")))
+               .drop("_chunked"))
     if search_ids is not None:
         keyed = chunked.select("*", F.explode("instruments").alias("_i"))
-        key = F.coalesce(F.col("_i.instrument_id"), F.col("_i.instrument_name"))
+        key = truthy_first(F.col("_i.instrument_id"), F.col("_i.instrument_name"))
         ids = search_ids.select(F.col(search_ids.columns[0]).alias("_key")).distinct()
-        keyed = keyed.withColumn("_key", key).join(broadcast_if_small(ids), "_key", "left_semi")
+        keyed = keyed.withColumn("_key", key).join(ids, "_key", "left_semi")
         chunked = keyed.withColumn("instruments", F.array("_i")).drop("_i", "_key")
     return flatten_pages(chunked, "light")
 
 
-__all__ = ["attribute_chunks", "number_within", "extract_group_days", "restrict_instruments",
+__all__ = ["attribute_chunks", "extract_group_days", "restrict_instruments",
            "light_extract", "discover_attributes"]

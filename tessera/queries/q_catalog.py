@@ -10,6 +10,7 @@ from tessera.plans.curated import ALL_CURATED, tier_rows
 from tessera.queries.q_flatten import land_price_pages
 from tessera.operators.flatten import flatten_pages
 from tessera.registry import query
+from tessera.sources.catalog import cached_catalog
 from tessera.session import read_table, scratch_dir
 from tessera.sources import catalog as S
 
@@ -29,7 +30,9 @@ SEL_SQL = """sel AS (SELECT r.tier, r.series AS requested, c.* FROM v3c c JOIN {
 
 
 def catalog(spark, sf_dir):
-    return C.instrument_catalog(A.catalog_names(spark, sf_dir))
+    """The catalog, materialised once per query and read back."""
+    return cached_catalog(spark, scratch_dir(spark, "catalog"),
+                          lambda: C.instrument_catalog(A.catalog_names(spark, sf_dir)))
 
 
 @query("p7_pipe_segments", A.with_views("v3c") + "SELECT * FROM v3c")
@@ -206,7 +209,7 @@ def series_fetch_q(spark, sf_dir):
        + SEL_SQL.format(req="allreq") + "\n" + _fetch_sql("allreq", 84))
 def tiers_q(spark, sf_dir):
     cat = catalog(spark, sf_dir)
-    obs = A.price_points(spark, sf_dir).filter(F.col("value").isNotNull()).select("date", "instrument_id", "value")
+    obs = flatten_pages(land_price_pages(spark, sf_dir), "cpi")
     return tiers.fetch_series(obs, cat, tiers.tier_requests(spark, cat), _end_ymd(spark, sf_dir), months=84)
 
 

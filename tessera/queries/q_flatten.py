@@ -11,18 +11,9 @@ from tessera.session import scratch_dir
 from tessera.sources.pages import read_pages, write_pages
 
 
-_LANDED: dict = {}
-
-
-def _landed(spark, sf_dir, kind, build):
-    """Land a page set once per (session, sf_dir, kind): pages are landed once by a fetcher
-    and then scanned by any number of queries."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _LANDED:
-        path = scratch_dir(spark, f"pages-{kind}")
-        build(path)
-        _LANDED[key] = path
-    return _LANDED[key]
+def _landed(spark, kind, pages):
+    """Land a page set (JSON text rows) in a fresh folder and scan it."""
+    return read_pages(spark, write_pages(pages, scratch_dir(spark, f"pages-{kind}")))
 
 
 def land_observation_pages(spark, sf_dir, *, chunk_size: int | None = None, full_days: str = "all"):
@@ -32,24 +23,18 @@ def land_observation_pages(spark, sf_dir, *, chunk_size: int | None = None, full
     ``chunk_size`` every pair also gets one response per chunk of discovered attributes.
     """
     v1 = A.observations(spark, sf_dir, helpers=True)
-    full_all = _landed(spark, sf_dir, "full",
-                       lambda p: write_pages(A.observation_pages(v1, request="full"), p))
+    full_all = _landed(spark, "full", A.observation_pages(v1, request="full"))
     if not chunk_size:
-        return read_pages(spark, full_all)
-
-    def build(path):
-        even = v1.filter(F.dayofmonth("date") % 2 == 0) if full_days == "even" else v1
-        # Attribute discovery runs on the full responses of *all* pairs (the attribute listing
-        # is per group, not per day); chunk requests then ask for discovered attributes only.
-        attrs = extract.attribute_chunks(discover_attributes(read_pages(spark, full_all)), chunk_size)
-        rows = v1.join(attrs.select("group_id", "attribute", "chunk_no"), ["group_id", "attribute"])
-        full = even.withColumn("request", F.lit("full"))
-        chunks = rows.withColumn("request", F.concat(F.lit("chunk:"), F.col("chunk_no").cast("string")))
-        both = full.unionByName(chunks.select(*full.columns))
-        write_pages(A.observation_pages(both, request=F.col("request")), path)   # one landing job
-
-    path = _landed(spark, sf_dir, f"chunked-{chunk_size}-{full_days}", build)
-    return read_pages(spark, path)
+        return full_all
+    even = v1.filter(F.dayofmonth("date") % 2 == 0) if full_days == "even" else v1
+    # Attribute discovery runs on the full responses of *all* pairs (the attribute listing
+    # is per group, not per day); chunk requests then ask for discovered attributes only.
+    attrs = extract.attribute_chunks(discover_attributes(full_all), chunk_size)
+    rows = v1.join(attrs.select("group_id", "attribute", "chunk_no"), ["group_id", "attribute"])
+    full = even.withColumn("request", F.lit("full"))
+    chunks = rows.withColumn("request", F.concat(F.lit("chunk:"), F.col("chunk_no").cast("string")))
+    both = full.unionByName(chunks.select(*full.columns))
+    return _landed(spark, "chunked", A.observation_pages(both, request=F.col("request")))   # one landing job
 
 
 @query("p1_flatten_strict", A.with_views("v1") + """
@@ -70,9 +55,7 @@ def flatten_light_q(spark, sf_dir):
 
 
 def land_price_pages(spark, sf_dir):
-    path = _landed(spark, sf_dir, "prices",
-                   lambda p: write_pages(A.price_pages(A.price_points(spark, sf_dir)), p))
-    return read_pages(spark, path)
+    return _landed(spark, "prices", A.price_pages(A.price_points(spark, sf_dir)))
 
 
 @query("p3_flatten_cpi", A.with_views("v6") + """

@@ -39,23 +39,6 @@ OBSERVATION_SCHEMA = T.StructType([
 OBSERVATION_COLUMNS = [f.name for f in OBSERVATION_SCHEMA.fields]
 BRONZE_PARTITIONS = ["group_id", "obs_date"]
 
-LIGHT_SCHEMA = T.StructType([
-    T.StructField("instrument", T.StringType()),
-    T.StructField("attribute", T.StringType()),
-    T.StructField("date", T.StringType()),
-    T.StructField("value", T.StringType()),
-])
-
-CPI_SCHEMA = T.StructType([
-    T.StructField("date", T.StringType()),
-    T.StructField("instrument_id", T.StringType()),
-    T.StructField("series", T.StringType()),
-    T.StructField("dataset", T.StringType()),
-    T.StructField("unit", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("instrument_name", T.StringType()),
-])
-
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("group_id", T.StringType()),
     T.StructField("obs_date", T.DateType()),
@@ -82,11 +65,5 @@ ATTEMPT_SCHEMA = T.StructType([
     T.StructField("pass", T.IntegerType()),
 ])
 
-GROUP_CATALOG_SCHEMA = T.StructType([
-    T.StructField("group_id", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("description", T.StringType()),
-])
-
 INSTRUMENT_CATALOG_COLUMNS = ["instrument_id", "name", "series", "dataset", "frequency",
                               "adjustment", "unit"]

@@ -13,7 +13,7 @@ def group_catalog(snapshot: DataFrame) -> DataFrame:
 def dedupe_listing(listing: DataFrame, pos_col: str = "pos") -> DataFrame:
     """A live group listing -> one row per non-empty id, the first listed one wins.
 
-    Missing values become ''. ``min_by`` in a hash aggregate (partial aggregation) instead of a
+    Missing values become ''. ``min_by`` in a sort-based aggregate (partial aggregation) instead of a
     window, so a repeated id is folded map-side.
     """
     clean = listing.select(
@@ -34,15 +34,27 @@ def search_groups(groups: DataFrame, text: str) -> DataFrame:
     return groups.filter(F.lower("group_id").rlike(f) | F.lower("name").rlike(f))
 
 
+def list_groups(spark: SparkSession, snapshot_path: str | None, live_listing, text: str = "") -> DataFrame:
+    """S4 as one call: the catalog snapshot if there is one, else the live listing (deduped, first
+    listed wins), then the search filter. ``live_listing`` is a zero-argument callable returning
+    ``group_id, group_name, description, pos``; it is only called without a snapshot."""
+    if snapshot_path:
+        try:
+            return search_groups(group_catalog(spark.read.parquet(snapshot_path)), text)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+    return search_groups(dedupe_listing(live_listing()), text)
+
+
 def cached_catalog(spark: SparkSession, path: str, build, *, refresh: bool = False) -> DataFrame:
     """Read the materialised catalog at ``path``; build and write it first when it is
     missing or ``refresh`` is set. ``build`` is a zero-argument callable returning a DataFrame."""
     if not refresh:
         try:
-            df = spark.read.parquet(path)
-            df.schema  # noqa: B018  (resolves the path)
-            return df
-        except AnalysisException:
-            pass
+            return spark.read.parquet(path)
+        except AnalysisException as exc:       # only a missing folder means "build it"
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
     build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -16,25 +16,3 @@ def as_col(c) -> Column:
 def lit_or_col(v) -> Column:
     """Strings are literals here (for parameters such as dates and labels)."""
     return v if isinstance(v, Column) else F.lit(v)
-
-
-# Largest side we broadcast after checking its size (rows).
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows (``limit`` stops the scan early), so a large
-    input costs little to reject; beyond the bound the join is left to AQE (sort-merge or a
-    runtime broadcast from measured sizes). Use for dimension-like sides: catalog selections,
-    search results, request lists. The checked side is cached so the join does not compute it
-    again (a lost executor's blocks are recomputed from lineage); a side that turns out too
-    big is released.
-    """
-    from pyspark.sql import functions as F
-    cached = df.cache()
-    if cached.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
