@@ -67,10 +67,14 @@ def latest_by_key(df: DataFrame, keys, order_cols) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("_best")[c].alias(c) for c in rest])
 
 
+RUN = "run"      # run stamp of a manifest row (with the pass at its end)
+
+
 def current(manifest: DataFrame) -> DataFrame:
-    """Current manifest: newest ``ingested_at`` per (group, day), ties by path."""
-    return latest_by_key(manifest.select(*MANIFEST_COLUMNS), MANIFEST_KEY,
-                         [F.col("ingested_at"), F.col("volume_path")])
+    """Current manifest: newest ``ingested_at`` per (group, day), ties by run stamp, then path."""
+    run = F.col(RUN) if RUN in manifest.columns else F.lit(None).cast("string")
+    rows = manifest.select(*MANIFEST_COLUMNS, run.alias("_run"))
+    return latest_by_key(rows, MANIFEST_KEY, [F.col("ingested_at"), F.col("_run"), F.col("volume_path")]).drop("_run")
 
 
 OBSERVATION_KEY = ["group_id", "instrument", "attribute", "date"]

@@ -71,6 +71,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Has a job committed this folder? (Spark's committer leaves ``_SUCCESS`` as its last step.)"""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+
+
+def write_once(spark: SparkSession, path: str, build, *, partition_by=(), **options) -> str:
+    """Write ``build()`` to ``path`` as Parquet unless a job has committed that folder before.
+
+    Stages of a run write below their run stamp with this, so running a stamp again - after a crash
+    or by mistake - reuses what is complete and redoes the rest: it never adds to it.
+    """
+    if not is_complete(spark, path):
+        build().write.mode("overwrite").options(**options).partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors (once per context), as ``spark-submit --py-files`` would.
 

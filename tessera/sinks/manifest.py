@@ -6,21 +6,29 @@ commit protocol publishes a run's files all at once or not at all).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tessera.operators.ledger import current
+from tessera.operators.ledger import RUN, current
 from tessera.schemas import MANIFEST_COLUMNS, MANIFEST_SCHEMA
+from tessera.session import write_once
 
 
-def append_manifest(rows: DataFrame, path: str) -> None:
+def append_manifest(rows: DataFrame, path: str, run: str | None = None) -> None:
     """Append manifest rows (one job for the whole run, not one per pair). The ``rebalance``
-    hint lets AQE pack a small run into few files without funnelling a big one into one task."""
-    rows.select(*MANIFEST_COLUMNS).hint("rebalance").write.mode("append").parquet(path)
+    hint lets AQE pack a small run into few files without funnelling a big one into one task.
+
+    With a run stamp the rows carry it and are written once per stamp, in a folder of their own."""
+    if run is None:
+        rows.select(*MANIFEST_COLUMNS).hint("rebalance").write.mode("append").parquet(path)
+        return
+    write_once(rows.sparkSession, f"{path.rstrip('/')}/{run}",
+               lambda: rows.select(*MANIFEST_COLUMNS).withColumn(RUN, F.lit(run)).hint("rebalance"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Every manifest row ever appended (empty if nothing has been written yet)."""
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    """Every manifest row ever appended, with its run stamp (NULL for rows appended without one)."""
+    schema = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField(RUN, T.StringType())])
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def read_current_manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -4,8 +4,8 @@ Layout: ``{raw}/run={YYYYMMDDTHHMMSS}/group={group_id}/day={YYYYMMDD}/part-*.par
 file carries all seven observation columns, so a recursive scan needs no path parsing. The run
 comes first so that reading back one run lists only that run's folders, however much history
 the raw area holds. The whole run is written by one job; the ``rebalance`` hint lets AQE split a
-hot (group, day) over several tasks and pack small ones together, and dynamic partition
-overwrite makes a re-run with the same run stamp replace only its own folders.
+hot (group, day) over several tasks and pack small ones together. A run's folder is written once:
+writing a complete run again is a no-op, so no file of it can reach bronze twice.
 """
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tessera.functions.dates import compact
 from tessera.schemas import OBSERVATION_COLUMNS, OBSERVATION_SCHEMA
+from tessera.session import write_once
 
 RAW_PARTITIONS = ["run", "group", "day"]
 
@@ -27,14 +28,13 @@ def raw_dir(raw_root, group_id, ymd, download_ts):
 
 def write_raw_days(obs: DataFrame, raw_root: str, download_ts: str, *,
                    max_records_per_file: int = 1_000_000) -> None:
-    """Write typed observations below ``raw_root`` for run ``download_ts``."""
-    out = obs.select(*OBSERVATION_COLUMNS,
-                     F.col("group_id").alias("group"), compact("obs_date").alias("day"),
-                     F.lit(download_ts).alias("run"))
-    (out.hint("rebalance", "group", "day")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*RAW_PARTITIONS).parquet(raw_root))
+    """Write typed observations below ``raw_root`` for run ``download_ts`` (once per run stamp)."""
+    def rows():
+        return obs.select(*OBSERVATION_COLUMNS, F.col("group_id").alias("group"),
+                          compact("obs_date").alias("day")).hint("rebalance", "group", "day")
+    write_once(obs.sparkSession, f"{raw_root.rstrip('/')}/run={download_ts}", rows,
+               partition_by=RAW_PARTITIONS[1:], maxRecordsPerFile=max_records_per_file,
+               partitionOverwriteMode="static")
 
 
 RAW_SCHEMA = T.StructType(OBSERVATION_SCHEMA.fields + [

@@ -1,23 +1,29 @@
 """S1 connector form: call a vendor fetch function for every work item, on the executors.
 
 The vendor client itself is out of scope (no credentials or HTTP here). A caller injects
-``fetch(group_id, ymd, pass_no, **request) -> iterable of pages`` (dicts or JSON text). Work items are hash-spread
-over tasks, so a group with many days never sits in one task, and each task calls the function
-for its items (``mapInPandas``: Arrow batches in and out). An exception becomes an attempt record
-(``ok = false`` with the error text), like the source's per-pair records; a "no content" error
-is recorded as an empty payload. Spark re-runs a lost task. Land the result with
-:func:`land_fetched`, then scan the pages with :func:`tessera.sources.pages.read_pages`.
+``fetch(group_id, ymd, pass_no, **request) -> iterable of pages`` (dicts or JSON text). Work items are
+spread over an explicit number of tasks (from their count; adaptive execution does not merge a
+numbered repartition), each task calls the function item by item and hands on every item's pages
+before it asks for the next (``mapInPandas``), so a task holds one item at a time. An exception - of
+the call or of a page that is no JSON object - becomes an attempt record (``ok = false`` with the
+error text) and none of the item's pages land; a "no content" error is recorded as an empty payload.
+Land the result once with :func:`land_fetched`; :func:`landed_pages` and :func:`landed_misses` read it.
 """
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tessera.functions.classify import NO_CONTENT_MARKERS
-from tessera.session import checkpoint_root
+from tessera.schemas import PAGE_SCHEMA
+from tessera.session import write_once
+from tessera.sources.pages import CORRUPT
 
-FETCH_SCHEMA = "group_id string, obs_date string, page_no int, page string, ok boolean, message string"
+FETCH_SCHEMA = ("group_id string, obs_date string, chunk_no int, page_no int, page string, ok boolean, "
+                "message string")
+ITEMS_PER_TASK = 25         # work items a task should get
+MAX_TASKS = 20_000
 
 # The request parameters the source passes to the vendor for daily group data.
 DAILY_REQUEST = {"calendar": "CAL_USBANK", "frequency": "FREQ_DAY",
@@ -29,6 +35,36 @@ def _no_content(text: str) -> bool:
     return any(k in s for k in NO_CONTENT_MARKERS) or ("field required" in s and "instruments" in s)
 
 
+def _text(value):
+    """Numbers as ``str`` renders them: the value text is kept as the vendor's client shows it."""
+    return str(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else value
+
+
+def _point(p):
+    if isinstance(p, dict) and "value" in p:
+        return {**p, "value": _text(p["value"])}
+    return [p[0], _text(p[1]), *p[2:]] if isinstance(p, list) and len(p) >= 2 else p
+
+
+def _landable(page, **fields) -> str:
+    """A page as JSON text: missing work-item fields filled in, numeric values as text."""
+    doc = json.loads(page) if isinstance(page, str) else dict(page)
+    for k, v in fields.items():
+        if doc.get(k) is None and v is not None:
+            doc[k] = v
+    for instrument in doc.get("instruments") or []:
+        for attribute in instrument.get("attributes") or []:
+            for key in ("time_series", "series"):
+                if attribute.get(key):
+                    attribute[key] = [_point(p) for p in attribute[key]]
+    return json.dumps(doc)
+
+
+def _spread(items: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Work items over tasks of about ``ITEMS_PER_TASK`` (one count; the number is then fixed)."""
+    return items.repartition(tasks or min(MAX_TASKS, max(1, -(-items.count() // ITEMS_PER_TASK))), *keys)
+
+
 def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None = None,
                 ingested_at: str | None = None, request: dict | None = None) -> DataFrame:
     """Run ``fetch(group_id, ymd, pass_no, **request)`` for every (group_id, ymd) of ``plan``;
@@ -36,58 +72,72 @@ def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None =
     returned nothing. ``request`` carries the vendor parameters (calendar, frequency,
     conversion, nan treatment); pass ``DAILY_REQUEST`` for the source's defaults.
 
-    Pages missing the work-item fields get them from the work item (``group_id``, ``obs_date``,
-    ``page_no`` = position, ``request`` = ``full``, ``ingested_at`` when given), so a vendor
-    page that only carries ``instruments`` lands complete."""
+    A plan with ``chunk_no`` and ``attributes`` asks for those attributes only (the call gets
+    ``attributes=[...]``) and its pages are tagged ``chunk:<n>``. Pages missing the work-item fields
+    get them from the work item (``group_id``, ``obs_date``, ``page_no`` = position, ``request``,
+    ``ingested_at`` when given), so a vendor page that only carries ``instruments`` lands complete."""
     import pandas as pd
 
     params = dict(request or {})
+    names = [f.split()[0] for f in FETCH_SCHEMA.split(", ")]
+    chunked = "chunk_no" in plan.columns
+
+    def call(item):
+        g, d = item.group_id, item.ymd
+        n = int(item.chunk_no) if chunked else None
+        more = {"attributes": [str(a) for a in item.attributes]} if chunked else {}
+        try:
+            pages = [_landable(p, group_id=g, obs_date=d, page_no=i, ingested_at=ingested_at,
+                               request="full" if n is None else f"chunk:{n}")
+                     for i, p in enumerate(fetch(g, d, pass_no, **params, **more) or [])]
+        except Exception as exc:  # noqa: BLE001 — every failure becomes a record
+            msg = f"{type(exc).__name__}: {exc}"
+            return [(g, d, n, None, None, False, "empty_payload: 0 rows returned" if _no_content(msg) else msg)]
+        return ([(g, d, n, i, p, True, None) for i, p in enumerate(pages)]
+                or [(g, d, n, None, None, False, "empty_payload: 0 rows returned")])
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for g, d in zip(pdf["group_id"], pdf["ymd"]):
-                try:
-                    pages = list(fetch(g, d, pass_no, **params) or [])
-                except Exception as exc:  # noqa: BLE001 — every failure becomes a record
-                    msg = f"{type(exc).__name__}: {exc}"
-                    if _no_content(msg):
-                        msg = "empty_payload: 0 rows returned"
-                    out.append((g, d, None, None, False, msg))
-                    continue
-                if not pages:
-                    out.append((g, d, None, None, False, "empty_payload: 0 rows returned"))
-                for i, p in enumerate(pages):
-                    doc = json.loads(p) if isinstance(p, str) else dict(p)
-                    for k, v in (("group_id", g), ("obs_date", d), ("page_no", i), ("request", "full"),
-                                 ("ingested_at", ingested_at)):
-                        if doc.get(k) is None and v is not None:
-                            doc[k] = v
-                    out.append((g, d, i, json.dumps(doc), True, None))
-            yield pd.DataFrame(out, columns=["group_id", "obs_date", "page_no", "page", "ok", "message"])
-
-    items = plan.select("group_id", "ymd")
-    items = items.repartition(tasks, "group_id", "ymd") if tasks else items.repartition("group_id", "ymd")
-    return items.mapInPandas(run, FETCH_SCHEMA)
-
-
-def land_fetched(fetched: DataFrame, pages_path: str, attempts_path: str, *, pass_no: int = 1) -> None:
-    """Write fetched pages (JSON Lines) and the failed/empty attempt records (JSON Lines).
-
-    The fetch runs once: its result is checkpointed (written below the shared checkpoint folder)
-    before the two outputs are split, so no vendor call is repeated.
-    """
-    checkpoint_root(fetched.sparkSession)          # shared folder named by spark.checkpoint.dir
-    done = fetched.checkpoint()
-    done.filter(F.col("page").isNotNull()).select(F.col("page").alias("value")).write.mode("append").text(pages_path)
-    (done.filter(F.col("page").isNull())
-     .select("group_id", "obs_date", "ok", "message", F.lit(pass_no).alias("pass"))
-     .write.mode("append").json(attempts_path))
+            for item in pdf.itertuples(index=False):
+                yield pd.DataFrame(call(item), columns=names).astype({"chunk_no": "Int32", "page_no": "Int32"})
+
+    keys = ["group_id", "ymd", *(["chunk_no"] if chunked else [])]
+    items = plan.select(*keys, *(["attributes"] if chunked else []))
+    return _spread(items, tasks, *keys).mapInPandas(run, FETCH_SCHEMA)
+
+
+def land_fetched(spark: SparkSession, path: str, build) -> str:
+    """Write the fetched rows of ``build()`` once below ``path``, partitioned by outcome (``kind``:
+    page or miss). A folder that is complete is not fetched again."""
+    def kinds():
+        kind = F.when(F.col("page").isNotNull(), "page").otherwise("miss")
+        return build().withColumn("kind", kind)
+    return write_once(spark, path, kinds, partition_by=["kind"])
+
+
+def _landed(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return spark.read.schema(f"{FETCH_SCHEMA}, kind string").parquet(path).filter(F.col("kind") == kind)
+
+
+def landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages, parsed, with the pair they were fetched for and ``corrupt`` (text that does not
+    fit the page schema: part of the page could not be read)."""
+    schema = T.StructType([*PAGE_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("page", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    own = ["group_id", "obs_date", "page_no"]
+    return _landed(spark, path, "page").select(*own, parsed.alias("p")).select(
+        *[F.col(f.name) if f.name in own else F.col(f"p.{f.name}").alias(f.name) for f in PAGE_SCHEMA.fields],
+        (F.col("p").isNull() | F.col(f"p.{CORRUPT}").isNotNull()).alias("corrupt"))
+
+
+def landed_misses(spark: SparkSession, path: str) -> DataFrame:
+    """(group_id, obs_date, chunk_no, ok, message) of the work items without pages."""
+    return _landed(spark, path, "miss").select("group_id", "obs_date", "chunk_no", "ok", "message")
 
 
 # The request parameters the source passes to the vendor for monthly price series.
 MONTHLY_REQUEST = {"calendar": "CAL_USBANK", "frequency": "FREQ_MONTH",
-                   "conversion": "CONV_LASTBUS_ABS", "nan_treatment": "NA_NOTHING"}
+                   "conversion": "CONV_LASTBUS_ABS", "nan_treatment": "NA_NOTHING", "attributes": ["NO_ATTRIBUTE"]}
 
 
 def instrument_chunks(ids: DataFrame, chunk_size: int = 20, bucket_target: int = 4) -> DataFrame:
@@ -119,25 +169,19 @@ def fetch_instrument_pages(ids: DataFrame, fetch, start_ymd: str, end_ymd: str,
 
     params = dict(MONTHLY_REQUEST if request is None else request)
 
+    def call(key, chunk):
+        try:
+            pages = [_landable(p, group_id=key, obs_date=end_ymd, page_no=i, request="full", ingested_at=ingested_at)
+                     for i, p in enumerate(fetch([str(x) for x in chunk], start_ymd, end_ymd, pass_no, **params) or [])]
+        except Exception as exc:  # noqa: BLE001 — a failed chunk is a record, not a lost job
+            return [(key, None, None, None, None, False, f"{type(exc).__name__}: {exc}")]
+        return [(key, end_ymd, None, i, p, True, None) for i, p in enumerate(pages)]
+
+    names = [f.split()[0] for f in FETCH_SCHEMA.split(", ")]
+
     def run(batches):
         for pdf in batches:
-            out = []
             for key, chunk in zip(pdf["chunk_key"], pdf["ids"]):
-                chunk = [str(x) for x in chunk]
-                try:
-                    pages = list(fetch(chunk, start_ymd, end_ymd, pass_no, **params) or [])
-                except Exception as exc:  # noqa: BLE001 — a failed chunk is a record, not a lost job
-                    out.append((key, None, None, None, False, f"{type(exc).__name__}: {exc}"))
-                    continue
-                for i, p in enumerate(pages):
-                    doc = json.loads(p) if isinstance(p, str) else dict(p)
-                    for k, v in (("group_id", key), ("obs_date", end_ymd), ("page_no", i),
-                                 ("request", "full"), ("ingested_at", ingested_at)):
-                        if doc.get(k) is None and v is not None:
-                            doc[k] = v
-                    out.append((key, end_ymd, i, json.dumps(doc), True, None))
-            yield pd.DataFrame(out, columns=["group_id", "obs_date", "page_no", "page", "ok", "message"])
-
-    chunks = instrument_chunks(ids, chunk_size)
-    chunks = chunks.repartition(tasks, "chunk_key") if tasks else chunks.repartition("chunk_key")
-    return chunks.mapInPandas(run, FETCH_SCHEMA)
+                yield pd.DataFrame(call(key, chunk), columns=names).astype({"chunk_no": "Int32", "page_no": "Int32"})
+
+    return _spread(instrument_chunks(ids, chunk_size), tasks, "chunk_key").mapInPandas(run, FETCH_SCHEMA)

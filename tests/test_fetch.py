@@ -2,8 +2,7 @@ from tessera.operators.flatten import flatten_pages
 from tessera.plans import ingest
 from tessera.schemas import MANIFEST_SCHEMA
 from tessera.session import scratch_dir
-from tessera.sources.fetch import fetch_pages, land_fetched
-from tessera.sources.pages import read_pages
+from tessera.sources.fetch import fetch_pages, land_fetched, landed_misses, landed_pages
 
 
 def fake_fetch(group_id, ymd, pass_no=1):
@@ -21,11 +20,13 @@ def fake_fetch(group_id, ymd, pass_no=1):
 def test_fetch_land_and_flatten(spark):
     groups = spark.createDataFrame([("A",), ("B",)], "group_id string")
     plan = ingest.backfill_plan(groups, spark.createDataFrame([], MANIFEST_SCHEMA), "20240101", "20240105")
-    pages_path, att_path = scratch_dir(spark, "t-fetch-pages"), scratch_dir(spark, "t-fetch-att")
-    land_fetched(fetch_pages(plan, fake_fetch, tasks=4), pages_path, att_path)
-    rows = flatten_pages(read_pages(spark, pages_path))
+    path = land_fetched(spark, scratch_dir(spark, "t-fetch"), lambda: fetch_pages(plan, fake_fetch))
+    rows = flatten_pages(landed_pages(spark, path))
     assert rows.count() == 8
-    att = {(r.group_id, r.obs_date): r.message for r in spark.read.json(att_path).collect()}
+    # a complete landing is not fetched again
+    land_fetched(spark, path, lambda: fetch_pages(plan, lambda *a: 1 / 0))
+    assert landed_pages(spark, path).count() == 8
+    att = {(r.group_id, r.obs_date): r.message for r in landed_misses(spark, path).collect()}
     assert att == {("B", "20240103"): "ConnectionError: connection reset by peer",
                    ("B", "20240104"): "empty_payload: 0 rows returned"}
 
@@ -37,3 +38,32 @@ def test_instrument_chunks_cover_each_id_once(spark):
     flat = [i for c in chunks for i in c]
     assert sorted(flat) == sorted(f"I{i}" for i in range(1000))   # each id exactly once
     assert max(len(c) for c in chunks) <= 20 and len(chunks) >= 50
+
+
+def test_many_items_use_many_tasks_by_default(spark):
+    """Tiny work items: the task count follows their number under default adaptive settings."""
+    import datetime as dt
+    days = [(dt.date(2020, 1, 1) + dt.timedelta(days=i)).strftime("%Y%m%d") for i in range(575)]
+    plan = spark.createDataFrame([("A", d) for d in days], "group_id string, ymd string")
+    fetched = fetch_pages(plan, lambda g, d, n: [{"instruments": []}])
+    path = land_fetched(spark, scratch_dir(spark, "t-fetch-many"), lambda: fetched)
+    assert landed_pages(spark, path).count() == 575
+    assert fetched.rdd.getNumPartitions() == 23
+
+
+def test_bad_page_text_is_a_failed_attempt_and_numbers_keep_their_text(spark):
+    plan = spark.createDataFrame([("A", "20240102"), ("B", "20240102"), ("C", "20240102")], "group_id string, ymd string")
+
+    def vendor(g, d, n):
+        if g == "A":
+            return ['{"instruments": [', {"instruments": []}]
+        if g == "B":
+            return [{"instruments": [{"instrument_name": "X", "attributes": [{"attribute_id": "S", "time_series": [
+                [d, 1.0], [d, 1e-07], {"date": d, "value": 2.50}, {"date": d, "value": "1.0"}, [d, None]]}]}]}]
+        return [{"instruments": "no list"}]
+
+    path = land_fetched(spark, scratch_dir(spark, "t-fetch-bad"), lambda: fetch_pages(plan, vendor))
+    miss = {r.group_id: r.message for r in landed_misses(spark, path).collect()}
+    assert set(miss) == {"A", "C"} and miss["A"].startswith("JSONDecodeError")
+    values = sorted((r.value or "") for r in flatten_pages(landed_pages(spark, path)).collect())
+    assert values == ["", "1.0", "1.0", "1e-07", "2.5"]

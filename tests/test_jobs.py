@@ -83,3 +83,120 @@ def test_run_tiers(spark):
     assert ("main_categories", "I2") not in sel            # Food is Japan-only in the main tier
     assert {r.date for r in rows} == {"2025-09-28", "2026-03-31"}
     assert all(r.value is not None for r in rows)
+
+
+def test_running_a_stamp_again_changes_nothing(spark):
+    """Every stage is write-once per stamp: same bronze, manifest, attempts and calls after a rerun."""
+    root = scratch_dir(spark, "t-rerun")
+    groups = spark.createDataFrame([("A",), ("B",)], "group_id string")
+
+    def run(fetch, force=True):
+        return jobs.run_backfill(spark, groups, "20240101", "20240105", fetch, root=root, force=force,
+                                 run_ts="20240201T000000", ingested_at="2024-02-01T00:00:00", sleep=lambda s: None).first()
+
+    def state():
+        p = jobs.paths(root)
+        return (sorted(map(str, read_bronze(spark, p["bronze"]).collect())),
+                sorted(map(str, read_current_manifest(spark, p["manifest"]).collect())))
+
+    first, before = run(vendor), state()
+    # nothing is asked again: a vendor that would fail changes nothing
+    again = run(lambda *a, **k: 1 / 0)
+    assert again == first and state() == before and len(before[0]) == 16
+
+
+def test_crash_before_the_manifest_is_finished_by_a_rerun(spark, monkeypatch):
+    root = scratch_dir(spark, "t-crash")
+    groups = spark.createDataFrame([("B",)], "group_id string")
+    run = lambda: jobs.run_backfill(spark, groups, "20240101", "20240105", vendor, root=root, run_ts="20240201T000000",
+                                    ingested_at="2024-02-01T00:00:00", sleep=lambda s: None)
+
+    class Crash(BaseException):
+        pass
+
+    def crash(*a, **k):
+        raise Crash()
+
+    with monkeypatch.context() as m:
+        m.setattr("tessera.plans.process.append_manifest", crash)
+        try:
+            run()
+            raise AssertionError("did not crash")
+        except Crash:
+            pass
+    s = run().first()
+    p = jobs.paths(root)
+    assert (s.pairs, s.successes, s.misses_empty, s.total_pairs, s.first_ymd, s.last_ymd) == (5, 4, 1, 5, "20240101", "20240105")
+    assert read_bronze(spark, p["bronze"]).count() == 8
+    assert read_current_manifest(spark, p["manifest"]).filter("status = 'ok'").count() == 4
+    ranges = spark.read.json(f"{p['reports']}/run=20240201T000000/ranges").collect()
+    assert [(r.group_id, r.n_days, r.first_ymd, r.last_ymd) for r in ranges] == [("B", 5, "20240101", "20240105")]
+
+
+def test_stage_errors_are_records(spark, monkeypatch):
+    from tessera.plans.process import process_pairs
+    obs = spark.sql("SELECT 'A' AS group_id, 'X' AS instrument, 'S' AS attribute, DATE '2024-01-02' AS date, "
+                    "'1' AS value, DATE '2024-01-02' AS obs_date, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at")
+    plan = obs.select("group_id", "obs_date")
+
+    def broken(*a, **k):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as m:
+        m.setattr("tessera.plans.process.write_raw_days", broken)
+        r = process_pairs(plan, obs, raw_root=scratch_dir(spark, "t-se"), manifest_path=None, download_ts="T",
+                          ingested_at="2024-02-01T00:00:00").first()
+    assert (r.ok, r.message) == (False, "volume_write_error: OSError: disk full")
+    with monkeypatch.context() as m:
+        m.setattr("tessera.plans.process.append_manifest", broken)
+        r = process_pairs(plan, obs, raw_root=scratch_dir(spark, "t-se"), manifest_path="x", download_ts="T",
+                          ingested_at="2024-02-01T00:00:00").first()
+    assert r.ok and r.manifest_warning == "manifest_warning: OSError: disk full"
+
+
+def listing(group_id):
+    return [{"instruments": [{"instrument_name": "X", "attributes": [{"attribute_id": a} for a in ("S", "V", "S,V", "W")]}]}]
+
+
+def chunk_vendor(group_id, ymd, pass_no, attributes=None, **request):
+    """Full requests of B are empty; a chunk with W fails on the 3rd in pass 1; A has an impossible date on the 4th."""
+    if attributes is None and group_id == "B":
+        return []
+    if attributes and "W" in attributes and ymd == "20240103" and pass_no == 1:
+        raise TimeoutError("timed out")
+    day = "20241399" if group_id == "A" and ymd == "20240104" else ymd
+    return [{"instruments": [{"instrument_name": "X", "attributes": [
+        {"attribute_id": a, "time_series": [[day, 1.0]]} for a in attributes or ["S"]]}]}]
+
+
+def test_chunk_fallback_failed_chunk_and_rejects(spark):
+    root = scratch_dir(spark, "t-chunks")
+    groups = spark.createDataFrame([("A",), ("B",)], "group_id string")
+    s = jobs.run_backfill(spark, groups, "20240101", "20240104", chunk_vendor, root=root, run_ts="R", chunk_size=2,
+                          ingested_at="2024-02-01T00:00:00", sleep=lambda s: None, fetch_attributes=listing).first()
+    assert (s.pairs, s.successes, s.misses_actionable) == (8, 7, 1)
+    p = jobs.paths(root)
+    got = read_bronze(spark, p["bronze"]).groupBy("group_id").count().collect()
+    assert {r[0]: r[1] for r in got} == {"A": 3, "B": 12}       # B: three attributes a day, from two chunks
+    log = spark.read.parquet(f"{p['attempts']}/run=R/pass=1").filter("not ok").collect()
+    assert {(r.group_id, r.obs_date): r.message.split(":")[0] for r in log} == {
+        ("B", "20240103"): "TimeoutError", ("A", "20240104"): "rejected_rows"}
+
+
+def test_group_fetch(spark):
+    days = spark.createDataFrame([("20240101",), ("20240102",)], "ymd string")
+    rows = jobs.fetch_group(spark, "B", days, chunk_vendor, listing, path=scratch_dir(spark, "t-gf"), chunk_size=2, request={})
+    assert sorted((r.attribute, r.date, r.value) for r in rows.collect()) == [
+        (a, d, "1.0") for a in "SVW" for d in ("20240101", "20240102")]
+    none = spark.createDataFrame([], "id string")
+    assert jobs.fetch_group(spark, "B", days, chunk_vendor, listing, path=scratch_dir(spark, "t-gf"), request={},
+                            search_ids=none).count() == 0
+
+
+def test_tiers_rerun_gives_equal_rows(spark):
+    from tessera.operators.catalog import decompose
+    names = [(f"I{k}", f"JP | ECON | CPI - All items | M | Consumer Price Index - Japan | Monthly | NSA | Index") for k in range(5)]
+    cat = decompose(spark.createDataFrame(names, "instrument_id string, name string"))
+    root = scratch_dir(spark, "t-tiers2")
+    rows = [sorted(map(str, jobs.run_tiers(spark, cat, price_vendor, end_ymd="20260331", root=root).collect())) for _ in range(2)]
+    assert rows[0] == rows[1] and rows[0]
