@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import dac, decontam, htmltext, langid, linededup, neardup, packing, sharding, toxicity
+from tessera.llm import dac, decontam, htmltext, langid, linededup, neardup, packing, sharding, topk, toxicity
 from tessera.llm.common import table, text_or_empty
 from tessera.session import scratch_dir
 
@@ -92,3 +92,20 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     found = neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors of every vector whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLE["op6_exact_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c AS (SELECT vec_id, generate_subscripts(x, 1) AS i, unnest(x) AS x FROM v),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+      FROM c q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
