@@ -1,17 +1,17 @@
 """K3: the bronze table — Parquet partitioned by (group_id, obs_date).
 
 Partition columns stay typed and unwrapped, so filters on them become ``PartitionFilters`` and
-whole folders are skipped. Compaction is a periodic rewrite into a new location.
-
-A bronze folder is written *either* by the streaming load (``streaming.load``; readers then see
-exactly the files committed in its ``_spark_metadata`` log) *or* by the batch writer below,
-never both: batch files added to a streaming sink's folder would be invisible to its readers.
+whole folders are skipped. The streaming load writes one ``load=<batch>`` folder per micro-batch;
+compaction writes ``load=<first>..<last>``, one folder that stands for the loads it was made from.
+Readers take a folder only if it is committed, and leave out loads that a committed compaction
+covers: a compaction becomes visible, and its inputs invisible, in one step.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessera.schemas import BRONZE_PARTITIONS, OBSERVATION_COLUMNS, OBSERVATION_SCHEMA
+from tessera.session import is_complete
 
 
 def cast_projection(df: DataFrame) -> DataFrame:
@@ -35,10 +35,35 @@ def write_bronze(obs: DataFrame, path: str, mode: str = "append") -> None:
      .write.mode(mode).partitionBy(*BRONZE_PARTITIONS).parquet(path))
 
 
+def live_folders(spark: SparkSession, path: str) -> list[str] | None:
+    """Folders of a loaded bronze table that readers take; None for a table without load folders
+    (one written by :func:`write_bronze`). Their number is that of the micro-batches."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    names = sorted(n for n in (s.getPath().getName() for s in fs.listStatus(root)) if n.startswith("load="))
+    if not names:
+        return None
+    done = [n for n in names if is_complete(spark, f"{path.rstrip('/')}/{n}")]
+    spans = [(n, *n.removeprefix("load=").split("..")) for n in done if ".." in n]
+    out = []
+    for n in done:
+        first, last = (n.removeprefix("load=").split("..") * 2)[:2]
+        covered = any(c != n and lo <= first and last <= hi for c, lo, hi in spans)
+        if not covered:
+            out.append(f"{path.rstrip('/')}/{n}")
+    return out
+
+
 def read_bronze(spark: SparkSession, path: str, *, group_id: str | None = None,
                 start=None, end=None) -> DataFrame:
     """Bronze rows; ``group_id`` / ``start`` / ``end`` prune partitions."""
-    df = spark.read.schema(OBSERVATION_SCHEMA).parquet(path).select(*OBSERVATION_COLUMNS)
+    reader = spark.read.schema(OBSERVATION_SCHEMA)
+    folders = live_folders(spark, path)
+    df = reader.parquet(path) if folders is None else reader.option("basePath", path).parquet(*folders)
+    df = df.select(*OBSERVATION_COLUMNS)
     if group_id is not None:
         df = df.filter(F.col("group_id") == group_id)
     if start is not None:
@@ -48,6 +73,19 @@ def read_bronze(spark: SparkSession, path: str, *, group_id: str | None = None,
     return df
 
 
-def compact_bronze(spark: SparkSession, src: str, dst: str) -> None:
-    """Rewrite ``src`` into ``dst`` with about one file per partition (auto-compaction)."""
-    write_bronze(read_bronze(spark, src), dst, mode="overwrite")
+def compact_bronze(spark: SparkSession, path: str, dst: str | None = None) -> str | None:
+    """Rewrite a bronze table with about one file per partition.
+
+    A loaded table is compacted in place: readers of ``path`` get the compacted folder as soon as it
+    is committed, and later loads add to it. (The covered folders can be deleted once no reader that
+    started before is left.) With ``dst`` the rows go to a new table there instead."""
+    folders = live_folders(spark, path)
+    if dst is not None or folders is None:
+        write_bronze(read_bronze(spark, path), dst or path + "-compacted", mode="overwrite")
+        return dst or path + "-compacted"
+    if len(folders) < 2:
+        return None
+    bounds = [f.rsplit("load=", 1)[1].split("..") for f in folders]
+    out = f"{path.rstrip('/')}/load={min(b[0] for b in bounds)}..{max(b[-1] for b in bounds)}"
+    write_bronze(read_bronze(spark, path), out, mode="overwrite")
+    return out

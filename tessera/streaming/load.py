@@ -1,48 +1,97 @@
 """Exactly-once load of raw files into bronze with Structured Streaming.
 
-The file source records every file it has taken in its checkpoint, and the file sink commits
-each batch through its metadata log, so a file is loaded once however often the job runs and
-whatever executors are lost (a failed batch is replayed from the checkpoint). ``availableNow``
-processes everything new and stops, which fits a scheduled run. Rebuilding bronze from raw is
-the same job with a fresh checkpoint and target.
+The file source records every file it has taken in its checkpoint; a micro-batch writes its own
+``load=<batch>`` folder of bronze and replaces that folder when it is replayed. So a file is loaded
+once however often the job runs and whatever executors are lost. ``availableNow`` processes
+everything new and stops, which fits a scheduled run. Rebuilding bronze from raw is the same job
+with a fresh checkpoint and target.
+
+The stream carries file *names*; each batch reads its files by their own schema, run by run, and
+casts afterwards (:func:`tessera.sinks.bronze.cast_projection`). So a writer that stored dates as
+text, left a column out or added one does not fail the load. A file that cannot be read at all is
+recorded under ``_bad_files`` and does not stop the others.
 """
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from itertools import groupby
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.schemas import BRONZE_PARTITIONS, OBSERVATION_SCHEMA
+from tessera.schemas import BRONZE_PARTITIONS
 from tessera.sinks.bronze import cast_projection
 
+RUNS_PER_WRITE = 40         # file groups read by one plan
+
+
+def _by_run(path: str) -> str:
+    """Files of one raw run are written by one job and share a schema."""
+    return next((part for part in path.split("/") if part.startswith("run=")), path.rsplit("/", 1)[0])
+
+
+def _readable(spark: SparkSession, files: list[str]) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """The files' rows in bronze shape, and the files that no reader can open, with the reason."""
+    try:
+        return cast_projection(spark.read.option("mergeSchema", "true").parquet(*files)), []
+    except Exception as exc:  # noqa: BLE001 — one bad or odd file: look at each alone
+        if len(files) == 1:
+            return None, [(files[0], f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}")]
+    rows, bad = None, []
+    for f in files:
+        one, lost = _readable(spark, [f])
+        bad += lost
+        if one is not None:
+            rows = one if rows is None else rows.unionByName(one)
+    return rows, bad
+
 
 def load_new_files(spark: SparkSession, raw_root: str, bronze_path: str, checkpoint: str, *,
-                   max_files_per_trigger: int | None = 5000, timeout_s: float | None = None,
+                   max_files_per_trigger: int = 5000, timeout_s: float | None = None,
                    archive_dir: str | None = None) -> dict:
     """Load every raw file not loaded before; returns the progress counters.
 
     ``availableNow`` honours ``max_files_per_trigger``: a large backlog (a rebuild) is split
-    into bounded micro-batches instead of one giant batch. The file source lists ``raw_root`` on
-    every trigger; with ``archive_dir`` processed files are moved there after their batch
-    commits (``cleanSource=archive``), which keeps that listing small on a large raw area. A
-    rebuild then reads both folders.
+    into bounded micro-batches instead of one giant batch (a batch's file names, at most that many,
+    reach the driver). The file source lists ``raw_root`` on every trigger; with ``archive_dir``
+    processed files are moved there after their batch commits (``cleanSource=archive``), which keeps
+    that listing small on a large raw area. A rebuild then reads both folders.
     """
-    reader = (spark.readStream.schema(OBSERVATION_SCHEMA)
-              .option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = (spark.readStream.format("binaryFile")
+              .schema("path string, modificationTime timestamp, length long, content binary")
+              .option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", max_files_per_trigger))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    src = reader.parquet(raw_root)
-    q = (cast_projection(src).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint)
-         .partitionBy(*BRONZE_PARTITIONS)
-         .trigger(availableNow=True)
-         .start(bronze_path))
+    counts = {"batches": 0, "files": 0, "bad_files": 0}
+
+    def load(batch: DataFrame, number: int) -> None:
+        files = sorted((r.path for r in batch.select("path").collect()), key=lambda p: (_by_run(p), p))
+        groups = [list(g) for _, g in groupby(files, key=_by_run)]
+        bad = []
+        for k in range(0, len(groups), RUNS_PER_WRITE):
+            rows = None
+            for group in groups[k:k + RUNS_PER_WRITE]:
+                own, lost = _readable(spark, group)
+                bad += lost
+                if own is not None:
+                    rows = own if rows is None else rows.unionByName(own)
+            if rows is not None:
+                (rows.hint("rebalance", *BRONZE_PARTITIONS).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "static").partitionBy(*BRONZE_PARTITIONS)
+                 .parquet(f"{bronze_path.rstrip('/')}/load={number:09d}-{k // RUNS_PER_WRITE:04d}"))
+        if bad:
+            (spark.createDataFrame(bad, "file string, message string").coalesce(1).write.mode("overwrite")
+             .json(f"{bronze_path.rstrip('/')}/_bad_files/batch={number:09d}"))
+        counts["batches"] += 1
+        counts["files"] += len(files)
+        counts["bad_files"] += len(bad)
+
+    # only the names are read: the content column is pruned
+    q = (reader.load(raw_root).select(F.col("path")).writeStream.foreachBatch(load)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
         q.stop()
         raise TimeoutError(f"bronze load did not finish within {timeout_s}s")
     if q.exception() is not None:
         raise q.exception()
-    progress = q.recentProgress
-    return {"batches": len(progress),
-            "rows": sum(int(p.get("numInputRows", 0)) for p in progress)}
+    return counts

@@ -19,7 +19,7 @@ def test_load_is_exactly_once_and_rebuild_matches(spark, sf_dir):
     write_raw_days(v1.filter(F.dayofmonth("obs_date") > 10), raw, "20240202T000000")
     load_new_files(spark, raw, bronze, ck)
     stats = load_new_files(spark, raw, bronze, ck)       # nothing new
-    assert stats["rows"] == 0
+    assert stats["files"] == 0
     assert 0 < first < n and B.read_bronze(spark, bronze).count() == n
     rebuilt, ck2 = scratch_dir(spark, "t-rebuilt"), scratch_dir(spark, "t-ck2")
     load_new_files(spark, raw, rebuilt, ck2)
@@ -54,3 +54,46 @@ def test_compaction_keeps_rows(spark, sf_dir):
     B.compact_bronze(spark, src, dst)
     assert B.read_bronze(spark, dst).exceptAll(B.read_bronze(spark, src)).count() == 0
     assert B.read_bronze(spark, dst).count() == v1.count()
+
+
+def test_load_tolerates_drift_and_records_bad_files(spark):
+    """Text dates, a missing and an extra column, and a file that is no Parquet, through the real load."""
+    raw, bronze, ck = scratch_dir(spark, "t-drift"), scratch_dir(spark, "t-drift-b"), scratch_dir(spark, "t-drift-c")
+    row = "SELECT 'G' AS group_id, 'X' AS instrument, 'S' AS attribute, {date} AS date, '1' AS value, " \
+          "{day} AS obs_date, TIMESTAMP '2024-02-01 00:00:00' AS ingested_at"
+    good = spark.sql(row.format(date="DATE '2024-01-02'", day="DATE '2024-01-02'"))
+    good.write.parquet(f"{raw}/run=A")
+    spark.sql(row.format(date="'2024-01-03'", day="'2024-01-03'")).withColumn("note", F.lit("legacy")).write.parquet(f"{raw}/run=B")
+    spark.sql(row.format(date="'n/a'", day="'2024-01-04'")).drop("ingested_at").write.parquet(f"{raw}/run=C")
+    spark.sql(row.format(date="DATE '2024-01-05'", day="DATE '2024-01-05'")).write.mode("append").parquet(f"{raw}/run=C")
+    import os
+    with open(f"{raw.removeprefix('file://')}/broken.parquet", "w") as f:
+        f.write("no parquet")
+    assert os.path.exists(raw.removeprefix("file://"))
+    counts = load_new_files(spark, raw, bronze, ck)
+    assert counts["bad_files"] == 1
+    got = sorted((str(r.date), str(r.obs_date), r.ingested_at is None) for r in B.read_bronze(spark, bronze).collect())
+    assert got == [("2024-01-02", "2024-01-02", False), ("2024-01-03", "2024-01-03", False),
+                   ("2024-01-05", "2024-01-05", False), ("None", "2024-01-04", True)]
+    assert spark.read.json(f"{bronze}/_bad_files").first().file.endswith("broken.parquet")
+    assert load_new_files(spark, raw, bronze, ck)["files"] == 0
+
+
+def test_compaction_of_a_loaded_table_is_what_readers_see(spark):
+    raw, bronze, ck = scratch_dir(spark, "t-cmp"), scratch_dir(spark, "t-cmp-b"), scratch_dir(spark, "t-cmp-c")
+    rows = lambda n: spark.range(n, n + 50).selectExpr(
+        "'G' AS group_id", "cast(id AS string) AS instrument", "'S' AS attribute", "DATE '2024-01-02' AS date",
+        "'1' AS value", "DATE '2024-01-02' AS obs_date", "TIMESTAMP '2024-02-01 00:00:00' AS ingested_at")
+    for k in range(3):
+        write_raw_days(rows(50 * k), raw, f"R{k}")
+        load_new_files(spark, raw, bronze, ck)
+    before = B.read_bronze(spark, bronze)
+    assert before.count() == 150 and len(before.inputFiles()) >= 3
+    B.compact_bronze(spark, bronze)
+    after = B.read_bronze(spark, bronze)
+    assert len(after.inputFiles()) == 1 and after.exceptAll(before).count() == 0 and after.count() == 150
+    write_raw_days(rows(150), raw, "R3")                    # later loads add to the compacted table
+    load_new_files(spark, raw, bronze, ck)
+    assert B.read_bronze(spark, bronze).count() == 200
+    assert B.compact_bronze(spark, bronze) and B.read_bronze(spark, bronze).count() == 200
+    assert B.compact_bronze(spark, bronze) is None
