@@ -102,12 +102,27 @@ SELECT group_id, name, description FROM (
            c_name AS name, c_mktsegment AS description FROM customer)
   WHERE group_id <> '') WHERE rn = 1""")
 def listing_dedupe_q(spark, sf_dir):
+    return S.dedupe_listing(_live_listing(spark, sf_dir))
+
+
+def _live_listing(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer")
-    listing = c.select(F.col("c_custkey").alias("pos"),
+    return c.select(F.col("c_custkey").alias("pos"),
                        F.when(F.col("c_custkey") % 11 == 0, F.lit(""))
                         .otherwise(F.concat(F.lit("G"), (F.col("c_custkey") % 97).cast("string"))).alias("group_id"),
                        F.col("c_name").alias("group_name"), F.col("c_mktsegment").alias("description"))
-    return S.dedupe_listing(listing)
+
+
+@query("s4_live_fallback", """
+SELECT group_id, name, description FROM (
+  SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY pos) AS rn FROM (
+    SELECT c_custkey AS pos,
+           CASE WHEN c_custkey % 11 = 0 THEN '' ELSE 'G' || CAST(c_custkey % 97 AS VARCHAR) END AS group_id,
+           c_name AS name, c_mktsegment AS description FROM customer)
+  WHERE group_id <> '') WHERE rn = 1 AND (contains(lower(group_id), 'g1') OR contains(lower(name), 'g1'))""")
+def live_fallback_q(spark, sf_dir):
+    """No snapshot yet: the live listing answers, then the search filter."""
+    return S.list_groups(spark, scratch_dir(spark, "no-snapshot"), lambda: _live_listing(spark, sf_dir), "G1")
 
 
 @query("p10_multi_literal", A.with_views("v3c") + f"""

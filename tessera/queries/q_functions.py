@@ -83,17 +83,20 @@ def raw_path_q(spark, sf_dir):
 
 
 def _classify_sql(msg: str) -> tuple[str, str, str]:
-    """DuckDB CASE expressions (category, strategy, wait_s) built from the same rule table."""
-    from tessera.functions.classify import FAILURE_FALLBACK, FAILURE_RULES
-    s = f"lower(coalesce({msg}, ''))"
-    parts = []
-    for cat, strat, wait, keys in FAILURE_RULES:
-        cond = " OR ".join(f"contains({s}, '{k}')" for k in keys)
-        parts.append((cond, cat, strat, wait))
-    cat = "CASE " + " ".join(f"WHEN {c} THEN '{a}'" for c, a, _, _ in parts) + f" ELSE '{FAILURE_FALLBACK[0]}' END"
-    strat = "CASE " + " ".join(f"WHEN {c} THEN '{b}'" for c, _, b, _ in parts) + f" ELSE '{FAILURE_FALLBACK[1]}' END"
-    wait = "CASE " + " ".join(f"WHEN {c} THEN {w}" for c, _, _, w in parts) + f" ELSE {FAILURE_FALLBACK[2]} END"
-    return cat, strat, f"CAST({wait} AS INTEGER)"
+    """DuckDB expressions (category, strategy, wait_s), written out by hand: the expected rules are
+    stated here a second time, not taken from the implementation's table."""
+    m = f"lower(coalesce({msg}, ''))"
+    rate = f"regexp_matches({m}, '429|rate limit|too many requests|quota')"
+    auth = f"regexp_matches({m}, '401|403|unauthor|invalid_token|token expired')"
+    empty = f"regexp_matches({m}, '204|no content|empty|0 rows')"
+    slow = f"regexp_matches({m}, 'timeouterror|timed out|timeout|connection reset|ssl')"
+    invalid = f"regexp_matches({m}, 'validation')"
+    category = (f"CASE WHEN {rate} THEN 'rate_limit' WHEN {auth} THEN 'auth_error' WHEN {empty} THEN 'empty_payload' "
+                f"WHEN {slow} THEN 'timeout' WHEN {invalid} THEN 'validation_failed' ELSE 'unknown' END")
+    strategy = (f"CASE WHEN {rate} THEN 'long_backoff' WHEN {auth} THEN 'sleep_and_retry' WHEN {empty} THEN 'skip' "
+                f"WHEN {slow} THEN 'long_backoff' WHEN {invalid} THEN 'retry' ELSE 'std_backoff' END")
+    wait = f"CASE WHEN {rate} THEN 180 WHEN {auth} THEN 60 WHEN {empty} THEN 0 WHEN {slow} THEN 90 WHEN {invalid} THEN 15 ELSE 30 END"
+    return category, strategy, f"CAST({wait} AS INTEGER)"
 
 
 CLASSIFY_SQL = _classify_sql("message")
