@@ -6,9 +6,10 @@ once however often the job runs and whatever executors are lost. ``availableNow`
 everything new and stops, which fits a scheduled run. Rebuilding bronze from raw is the same job
 with a fresh checkpoint and target.
 
-The stream carries file *names*; each batch reads its files by their own schema, run by run, and
-casts afterwards (:func:`tessera.sinks.bronze.cast_projection`). So a writer that stored dates as
-text, left a column out or added one does not fail the load. A file that cannot be read at all is
+The stream carries file *names*. A batch reads all its files with the bronze schema in one scan
+(missing columns are NULL, extra ones ignored). If that fails, because a writer stored other types
+or a file is broken, the batch is read again run by run with the files' own schemas and cast
+afterwards (:func:`tessera.sinks.bronze.cast_projection`); a file that cannot be read at all is
 recorded under ``_bad_files`` and does not stop the others.
 """
 from __future__ import annotations
@@ -17,7 +18,7 @@ from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.schemas import BRONZE_PARTITIONS
+from tessera.schemas import BRONZE_PARTITIONS, OBSERVATION_SCHEMA
 from tessera.sinks.bronze import cast_projection
 
 RUNS_PER_WRITE = 40         # file groups read by one plan
@@ -63,8 +64,19 @@ def load_new_files(spark: SparkSession, raw_root: str, bronze_path: str, checkpo
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     counts = {"batches": 0, "files": 0, "bad_files": 0}
 
+    def write(rows: DataFrame, number: int, part: int) -> None:
+        (rows.hint("rebalance", *BRONZE_PARTITIONS).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy(*BRONZE_PARTITIONS)
+         .parquet(f"{bronze_path.rstrip('/')}/load={number:09d}-{part:04d}"))
+
     def load(batch: DataFrame, number: int) -> None:
         files = sorted((r.path for r in batch.select("path").collect()), key=lambda p: (_by_run(p), p))
+        counts["batches"] += 1
+        counts["files"] += len(files)
+        try:
+            return write(spark.read.schema(OBSERVATION_SCHEMA).parquet(*files), number, 0)
+        except Exception:  # noqa: BLE001 — drift or a broken file: read by the files' own schemas
+            pass
         groups = [list(g) for _, g in groupby(files, key=_by_run)]
         bad = []
         for k in range(0, len(groups), RUNS_PER_WRITE):
@@ -75,14 +87,10 @@ def load_new_files(spark: SparkSession, raw_root: str, bronze_path: str, checkpo
                 if own is not None:
                     rows = own if rows is None else rows.unionByName(own)
             if rows is not None:
-                (rows.hint("rebalance", *BRONZE_PARTITIONS).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "static").partitionBy(*BRONZE_PARTITIONS)
-                 .parquet(f"{bronze_path.rstrip('/')}/load={number:09d}-{k // RUNS_PER_WRITE:04d}"))
+                write(rows, number, k // RUNS_PER_WRITE)
         if bad:
             (spark.createDataFrame(bad, "file string, message string").coalesce(1).write.mode("overwrite")
              .json(f"{bronze_path.rstrip('/')}/_bad_files/batch={number:09d}"))
-        counts["batches"] += 1
-        counts["files"] += len(files)
         counts["bad_files"] += len(bad)
 
     # only the names are read: the content column is pruned
