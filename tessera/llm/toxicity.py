@@ -2,7 +2,7 @@
 
 Features are the n-grams (n = 3 to 6 characters, here UTF-8 bytes, A-Z as a-z) of a document's
 distinct words with a space on both sides, hashed to ``DIMS`` places; a feature's value is the
-number of distinct words that hold it. Every feature is scaled by its naive Bayes log-count ratio
+number of times that its distinct words hold it. Every feature is scaled by its naive Bayes log-count ratio
 ``r = log((pos + a) / (rho * neg + a))`` (``rho`` levels the classes' total counts, so an unseen
 n-gram has r = 0), features with ``|r|`` under ``LEAST_RATIO`` are left out, and a logistic
 regression with an L2 penalty is fitted on the scaled features.
@@ -13,6 +13,8 @@ every whole text.
 """
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -32,30 +34,32 @@ TABLE_BITS = 20
 
 
 def word_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """n-grams of words given by byte ranges: (feature place, number of the word), repeats removed."""
+    """n-grams of words given by byte ranges: per size (feature place, number of the word), both in
+    the order of the words."""
     size = ends - starts + 2
     first = np.cumsum(size) - size
     total = int(size.sum())
     if not total:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return []
     word = np.repeat(np.arange(len(starts)), size)
     inside = np.arange(total) - first[word]
-    take = starts[word] + inside - 1
-    edge = (inside == 0) | (inside == size[word] - 1)
-    raw = tv.LOWER[data[np.where(edge, 0, take)]]
+    left = size[word] - inside                      # bytes from here to the word's end
+    edge = (inside == 0) | (left == 1)
+    raw = tv.LOWER[data[np.where(edge, 0, starts[word] + inside - 1)]]
     raw[edge] = 32
     v = tv.BYTE_TABLE[raw]
-    left = size[word] - inside                      # bytes from here to the word's end
-    places, words = [], []
     h = np.zeros(total, np.uint64)
+    out = []
     for n in range(1, max(SIZES) + 1):
-        h[:total - n + 1] = h[:total - n + 1] * tv._STEP + v[n - 1:]
+        m = total - n + 1
+        if m <= 0:
+            break
+        h[:m] *= tv._STEP
+        h[:m] += v[n - 1:]
         if n in SIZES:
             at = np.flatnonzero(left >= n)
-            places.append((tv.mix(h[at] + np.uint64(n)) >> np.uint64(64 - BITS)).astype(np.int64))
-            words.append(word[at])
-    key = np.unique(np.concatenate(words) << BITS | np.concatenate(places))
-    return key & (DIMS - 1), key >> BITS
+            out.append(((tv.mix(h[at] + np.uint64(n)) >> np.uint64(64 - BITS)).astype(np.int64), word[at]))
+    return out
 
 
 def distinct_words(data: np.ndarray, offsets: np.ndarray):
@@ -69,13 +73,16 @@ def distinct_words(data: np.ndarray, offsets: np.ndarray):
 
 
 def doc_features(data: np.ndarray, offsets: np.ndarray):
-    """Feature counts of each text: (doc, place) of every distinct word's n-grams, with repeats."""
+    """Feature counts of each text: (doc, place) of every distinct word's n-grams."""
     doc, word, starts, ends = distinct_words(data, offsets)
-    place, of = word_grams(data, starts, ends)
-    first = np.searchsorted(of, np.arange(len(starts) + 1))
-    n = np.diff(first)[word]
-    at = np.repeat(first[word] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    return np.repeat(doc, n), place[at]
+    docs, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for place, of in word_grams(data, starts, ends):
+        first = np.searchsorted(of, np.arange(len(starts) + 1))
+        n = np.diff(first)[word]
+        at = np.repeat(first[word] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        docs.append(np.repeat(doc, n))
+        places.append(place[at])
+    return np.concatenate(docs), np.concatenate(places)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn, per_class: int = PER_CLASS,
@@ -191,6 +198,9 @@ def fit(sample: DataFrame) -> tuple[np.ndarray, float]:
     return (w * ratio).astype(np.float32), b
 
 
+_tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}      # of this Python worker, for the last model
+
+
 def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text",
           out: str = "score", keep: tuple[str, ...] | None = None) -> DataFrame:
     """Add the toxicity score (0 to 1) of every whole text (with the columns ``keep``).
@@ -199,12 +209,15 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text",
     """
     from pyspark.sql import types as T
     shared = docs.sparkSession.sparkContext.broadcast(weights)
+    model = uuid.uuid4().hex
     keep = [c for c in keep or docs.columns if c != out]
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField(out, T.DoubleType())])
 
     def scored(batches):
-        key = np.zeros(1 << TABLE_BITS, np.uint64)          # direct-mapped table word -> weight
-        val = np.zeros(1 << TABLE_BITS, np.float64)
+        if model not in _tables:                            # direct-mapped table word -> weight
+            _tables.clear()
+            _tables[model] = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS)
+        key, val = _tables[model]
         for batch in batches:
             for part in tv.bounded_slices(batch, text):
                 data, offsets = tv.utf8(part.column(text))
@@ -215,8 +228,9 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text",
                 if len(miss):
                     new, at, back = np.unique(h[miss], return_index=True, return_inverse=True)
                     at = miss[at]
-                    place, of = word_grams(data, starts[at] + int(offsets[0]), ends[at] + int(offsets[0]))
-                    got = np.bincount(of, shared.value[place], minlength=len(at))
+                    got = np.zeros(len(at))
+                    for place, of in word_grams(data, starts[at] + int(offsets[0]), ends[at] + int(offsets[0])):
+                        got += np.bincount(of, shared.value[place], minlength=len(at))
                     own[miss] = got[back]
                     key[slot[at]], val[slot[at]] = new, got
                 doc = np.repeat(np.arange(part.num_rows), np.diff(before))
