@@ -35,7 +35,8 @@ TREES, DEPTH, LEAST = 20, 8, 3
 SKETCH = 128                # min-hashes in the sketch, two bits each
 LOOSE = 0.55
 REGION = 2048
-BLOCK = 1 << 20
+BLOCK = 1 << 20             # shingles in a block at most (a single larger set is a block)
+SPREAD = 8192
 MULTIPLIERS = np.random.default_rng(75).integers(1, 2 ** 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LANES = np.uint64(0x5555555555555555)
 NEED = int(np.ceil(SKETCH * (LOOSE + (1 - LOOSE) / 4)))
@@ -249,8 +250,11 @@ def exact_links(sets: list[np.ndarray]) -> np.ndarray:
 
 def confirmed_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """(a, b): spanning links inside loose ``groups(node, component, n)``, confirmed on full sets."""
-    sizes = groups.groupBy("component").agg(F.sum("n").alias("_all"))
-    blocks = F.ceil(F.col("_all") / BLOCK).cast("int")
+    sizes = groups.groupBy("component").agg(F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_members"))
+    # no block above BLOCK shingles; groups of many members are dealt further, by the root of their
+    # size, so that a large group's pairs of blocks spread over tasks
+    spread = F.least(F.ceil(F.sqrt(F.col("_all") / SPREAD)), F.ceil(F.col("_members") / 64))
+    blocks = F.greatest(F.ceil(F.col("_all") / BLOCK), spread).cast("int")
     member = (groups.join(sizes, "component").withColumn("_blocks", blocks)
               .withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
               # a node meets every block of its group: one row per pair of blocks that holds its own
