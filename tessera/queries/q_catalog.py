@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import catalog as C
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.plans import tiers
 from tessera.plans.curated import ALL_CURATED, tier_rows
 from tessera.queries.q_flatten import land_price_pages

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.plans import ingest
 from tessera.plans.process import process_pairs
 from tessera.queries.common import event_span

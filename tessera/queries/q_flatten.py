@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators.flatten import discover_attributes, flatten_pages
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.plans import extract
 from tessera.registry import query
 from tessera.session import scratch_dir

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera import functions as TF
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.queries.common import SPAN_SQL, event_span
 from tessera.registry import query
 from tessera.session import read_table

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import ledger, outcomes
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.queries.q_functions import CLASSIFY_SQL
 from tessera.registry import query
 from tessera.schemas import ATTEMPT_SCHEMA

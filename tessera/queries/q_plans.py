@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import ledger
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.plans import ingest
 from tessera.queries.common import DEFAULT_WINDOW_DAYS, SPAN_SQL, event_span
 from tessera.registry import query

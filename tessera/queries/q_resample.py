@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from tessera.operators import resample
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.queries.common import event_span
 from tessera.registry import query
 

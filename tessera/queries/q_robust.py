@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators.flatten import flatten_pages
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.plans import jobs
 from tessera.plans.process import process_pairs
 from tessera.queries.q_files import _X4_SQL, OBS_OUT, RUN2, V1_OUT_SQL, _groups_plan

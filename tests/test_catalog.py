@@ -42,3 +42,11 @@ def test_attach_catalog_missing_is_blank(spark):
     lk = spark.createDataFrame([("I1", "S", "D", "N")], "instrument_id string, series string, dataset string, name string")
     rows = {r.instrument_id: (r.series, r.dataset, r.instrument_name) for r in C.attach_catalog(obs, lk).collect()}
     assert rows == {"I1": ("S", "D", "N"), "I9": ("", "", "")}
+
+
+def test_sorted_fetch_is_in_order(spark, sf_dir):
+    from tessera.registry import QUERIES, load_all
+    load_all()
+    rows = QUERIES["t1_sorted_fetch"](spark, sf_dir).collect()
+    keys = [(r.tier, r.series, r.dataset, r.date, r.instrument_id) for r in rows]
+    assert keys == sorted(keys) and len(set(keys)) > 10

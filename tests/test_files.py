@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tessera.plans import analogues as A
+from tessera.queries import analogues as A
 from tessera.session import scratch_dir
 from tessera.sinks import bronze as B
 from tessera.sinks.raw import write_raw_days
