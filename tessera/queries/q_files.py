@@ -141,7 +141,7 @@ def _processed(spark, sf_dir):
 
 @query("x4_process_pairs", X4_SQL)
 def process_q(spark, sf_dir):
-    return _processed(spark, sf_dir)[0].drop("volume_path")
+    return _processed(spark, sf_dir)[0].drop("volume_path", "manifest_warning")
 
 
 @query("x6_bronze_load", _X4_SQL + """
