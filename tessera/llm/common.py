@@ -8,8 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tessera.session import read_table, scratch_dir
 
 
+BATCH_ROWS = 2_000          # documents in one Arrow batch: bounds what a task holds
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches than the default of 10,000 rows, which suits numbers, not documents."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Columns of one input table (read through Spark only: the path may be any Spark store)."""
+    _bounded_batches(spark)
     return read_table(spark, sf_dir, name).select(*columns)
 
 
@@ -20,6 +31,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     twice and fixes values that depend on task order (such as ``spread``). The folder is scratch
     space below ``spark.checkpoint.dir`` and belongs to the session.
     """
+    _bounded_batches(df.sparkSession)
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -27,6 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def rows(spark: SparkSession, values: list, schema: str) -> DataFrame:
     """A small plan-sized table from driver values, as a literal in the plan (no RDD, no file)."""
+    _bounded_batches(spark)
     parsed = F.from_json(F.lit(json.dumps(values)), f"array<struct<{schema}>>")
     return spark.range(1).select(F.inline(parsed))
 

@@ -71,7 +71,7 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def bounded_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20):
+def bounded_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20):
     """Cut a batch into slices whose texts hold at most ``max_bytes`` together (or one text)."""
     if batch.num_rows == 0:
         return
