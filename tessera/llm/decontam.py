@@ -1,18 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters and digits (bytes other than ASCII marks and white space) of the
 lower-cased text, compared by 64-bit hashes; an item's seeds are word 3-grams.
 
-1. Count every item 3-gram over the whole corpus (one pass; only 3-grams that a bitmap of the items'
-   3-grams lets through leave a task, already added up).
-2. Seeds: of every ``SEED_WINDOW`` consecutive 3-grams of an item, the one the corpus holds least
-   often. So every stretch of an item keeps a seed, however often the item was copied; frequent
-   3-grams are passed over wherever a rarer one is near.
-3. Passages: a second pass finds seeds in the documents and emits the words around them, once per
-   cluster of seeds. A passage meets the items of its seeds in a join.
-4. Alignment: Smith-Waterman over words (match 2, mismatch and gap -1) of item and passage. The
+1. Seeds: every 3-gram of an item. None is left out for being frequent or because a neighbour is
+   rarer: the 3-grams that an edited copy keeps are often the more frequent ones (other copies hold
+   them too), those that it breaks the rarest.
+2. Passages: one pass finds seeds in the documents (through a bitmap) and emits the words around
+   them, once per cluster of seeds. A passage meets the items of its seeds in a join.
+3. Alignment: Smith-Waterman over words (match 2, mismatch and gap -1) of item and passage. The
    score divided by the item's best possible score is the similarity; from ``MIN_SCORE`` on it is a
-   leak. Dropped, changed and added words cost, they do not break the match.
+   leak. Dropped, changed and added words cost, they do not break the match. Pairs of which too few
+   item words occur in the passage for that score are not aligned; this bound loses nothing.
 
 Bitmaps have a fixed size, so they can be sent to every task whatever the benchmark's size; what
 passes one is checked by the joins. Items with equal words are aligned once. Items of fewer than
@@ -24,13 +23,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm import textvec as tv
 from tessera.llm.common import written
 
 GRAM = 3
-SEED_WINDOW = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 BITMAP_BITS = 24
@@ -65,7 +63,7 @@ def item_words(items: DataFrame) -> DataFrame:
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """(item, at, gram) of ``items(item, words)``."""
+    """(item, gram) of ``items(item, words)``."""
 
     def rows(batches):
         for batch in batches:
@@ -73,10 +71,9 @@ def item_grams(items: DataFrame) -> DataFrame:
                 h = np.frombuffer(batch.column("words")[k].as_py(), np.uint64)
                 g = tv.combine(h, GRAM).view(np.int64)
                 yield pa.RecordBatch.from_pydict({
-                    "item": pa.array([batch.column("item")[k].as_py()] * len(g), pa.int64()),
-                    "at": pa.array(np.arange(len(g)), pa.int32()), "gram": pa.array(g, pa.int64())})
+                    "item": pa.array([batch.column("item")[k].as_py()] * len(g), pa.int64()), "gram": pa.array(g, pa.int64())})
 
-    return items.select("item", "words").mapInArrow(rows, "item long, at int, gram long")
+    return items.select("item", "words").mapInArrow(rows, "item long, gram long")
 
 
 def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
@@ -100,44 +97,6 @@ def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def gram_counts(docs: DataFrame, bits, text: str) -> DataFrame:
-    """(gram, n): occurrences over all documents of the 3-grams that pass the bitmap."""
-
-    def rows(batches):
-        found: list[np.ndarray] = []
-        held = 0
-
-        def counted():
-            g, n = np.unique(np.concatenate(found), return_counts=True)
-            found.clear()
-            return pa.RecordBatch.from_pydict({"gram": pa.array(g.view(np.int64)), "n": pa.array(n, pa.int64())})
-
-        for batch in batches:
-            for part in tv.bounded_slices(batch, text):
-                g, _, _ = tv.word_ngrams(*words(part.column(text)), GRAM)
-                found.append(g[passes(bits.value, g)])
-                held += len(found[-1])
-                if held > 1 << 20:
-                    held = 0
-                    yield counted()
-        if held:
-            yield counted()
-
-    return docs.select(text).mapInArrow(rows, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def seeds(grams: DataFrame, counts: DataFrame) -> DataFrame:
-    """(item, gram): of every SEED_WINDOW consecutive 3-grams of an item the rarest."""
-    w = W.partitionBy("item").orderBy("at").rowsBetween(0, SEED_WINDOW - 1)
-    rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("gram"))
-    size = F.count(F.lit(1)).over(W.partitionBy("item"))
-    return (grams.join(counts, "gram", "left")
-            .select("item", F.min(rarity).over(w)["gram"].alias("gram"), "at", size.alias("size"))
-            # a window that would pass the item's end is no window, unless the item has no whole one
-            .where((F.col("at") + SEED_WINDOW <= F.col("size")) | (F.col("at") == 0))
-            .select("item", "gram").distinct())
-
-
 def passages(docs: DataFrame, bits, margin: int, text: str, doc_id: str) -> DataFrame:
     """(doc_id, tie, start, grams, words): words around the clusters of seeds in every document.
 
@@ -219,16 +178,14 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, text:
     known = written(item_words(items.select("item_id", "text")), "items")
     distinct = known.groupBy("item").agg(F.first("words").alias("words"))
     longest = (known.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
-    grams = written(item_grams(distinct), "item-grams")
-    shared = spark.sparkContext.broadcast(bitmap(grams, "gram"))
-    chosen = written(seeds(grams, gram_counts(docs, shared, text)), "seeds")
-    shared_seeds = spark.sparkContext.broadcast(bitmap(chosen, "gram"))
+    seeds = written(item_grams(distinct).distinct(), "seeds")
+    shared_seeds = spark.sparkContext.broadcast(bitmap(seeds, "gram"))
     margin = longest + longest // 2 + GRAM
     found = written(passages(docs, shared_seeds, margin, text, doc_id), "passages")
     # equal passages (copies) are aligned once: they are told apart by the hash of their words
     found = found.withColumn("passage", F.xxhash64("words"))
     pairs = (found.select("passage", "grams").dropDuplicates(["passage"])
-             .select("passage", F.explode("grams").alias("gram")).join(chosen, "gram")
+             .select("passage", F.explode("grams").alias("gram")).join(seeds, "gram")
              .select("passage", "item").distinct())
     texts = found.groupBy("passage").agg(F.first("words").alias("p_words"))
 
@@ -236,8 +193,10 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, text:
         for batch in batches:
             out = []
             for p, i in zip(batch.column("p_words").to_pylist(), batch.column("words").to_pylist()):
-                item = np.frombuffer(i, np.uint64)
-                score, first, end = align(item, np.frombuffer(p, np.uint64))
+                item, passage = np.frombuffer(i, np.uint64), np.frombuffer(p, np.uint64)
+                # an alignment matches no more item words than the passage holds
+                enough = np.isin(item, passage).sum() / len(item) >= min_score
+                score, first, end = align(item, passage) if enough else (0, 0, 0)
                 out.append((score / (MATCH * len(item)), first, end))
             yield pa.RecordBatch.from_pydict({
                 "passage": batch.column("passage"), "item": batch.column("item"),

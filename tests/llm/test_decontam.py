@@ -78,6 +78,25 @@ def test_long_cluster_is_cut_without_loss(spark, monkeypatch):
     assert [(r.doc_id, r.item_id, r.score) for r in got] == [(1, 7, 1.0)]
 
 
+@pytest.mark.parametrize("every", [4, 5, 6])
+def test_evenly_edited_copies_equal_brute_force(spark, every):
+    """Every n-th word changed, beside many intact copies of the same items: all pairs by plain_score."""
+    rng = random.Random(every)
+    items = {i: [f"w{rng.randint(0, 300)}" for _ in range(rng.randint(15, 40))] for i in range(25)}
+    filler = lambda n: [f"w{rng.randint(0, 300)}" for _ in range(n)]
+    docs = []
+    for i, words in items.items():
+        docs += [(100 * i + k, filler(10) + words + filler(10)) for k in range(rng.randint(0, 4))]
+        shift = rng.randrange(every)
+        edited = [f"new{k}" if k % every == shift else w for k, w in enumerate(words)]
+        docs.append((100 * i + 50, filler(10) + edited + filler(10)))
+    want = {(d, i) for d, words in docs for i, item in items.items() if plain_score(item, words) >= len(item)}
+    assert {(100 * i + 50, i) for i in items} <= want
+    got = decontam.leaks(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string"),
+                         spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
 def test_hostile_rows(spark, docs, rows, empty):
     items = spark.createDataFrame([(1, rows[2][1]), (2, None), (3, "same id, other text")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, items).collect()}
