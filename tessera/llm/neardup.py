@@ -4,12 +4,11 @@ Documents are sets of distinct 5-word shingles; two are linked when 100 * inters
 
 1. Sets. Documents with equal sets are one *node* from here on (a hash of the set), so a group of
    exact copies of any size costs one row. A node gets ``TREES * DEPTH`` min-hashes.
-2. Forest. Each tree orders all nodes by its own ``DEPTH`` min-hashes (its label). Nodes that share
-   at least the first ``LEAST`` values are neighbours with a long common prefix: a region. A region
-   is compared as a whole; one of more than ``REGION`` nodes goes deeper, value by value, until its
-   parts are small (adaptive depth), and every part still meets the end of the part before it.
-   Inside a region all pairs are compared by a 2-bit sketch of 128 min-hashes in memory; only a
-   spanning star of the *loose* links (estimate at or above ``LOOSE``) leaves the task.
+2. Forest. Each tree orders all nodes by its own min-hashes. Nodes that share the first ``LEAST``
+   values are a region, and every region is compared whole, whatever its size: all pairs by a 2-bit
+   sketch of 128 min-hashes in memory; only a spanning star of the *loose* links (estimate at or
+   above ``LOOSE``) leaves the task. A region of more than ``REGION`` nodes is dealt into blocks,
+   one task per pair of blocks. (Going deeper in the tree instead would lose pairs.)
    Two sets at similarity 0.75 share no region in any tree with probability (1 - 0.75 ** LEAST) **
    TREES = 1.7e-5; the sketch misses one with about 1e-5.
 3. Loose groups: connected components of the loose links (``components``).
@@ -34,7 +33,7 @@ SIMILAR = 75                # per cent of the union
 TREES, DEPTH, LEAST = 20, 8, 3
 SKETCH = 128                # min-hashes in the sketch, two bits each
 LOOSE = 0.55
-REGION = 2048
+REGION = 2048               # nodes compared in one go; larger regions are dealt into blocks of half of it
 BLOCK = 1 << 20             # shingles in a block at most (a single larger set is a block)
 SPREAD = 8192
 MULTIPLIERS = np.random.default_rng(75).integers(1, 2 ** 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -79,26 +78,29 @@ def documents_and_nodes(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
             .mapInArrow(rows, "doc_id long, tie long, n_shingles long, node long, sig binary"))
 
 
-def forest(nodes: DataFrame) -> DataFrame:
-    """(tree, label, node, n, sketch): every node once per tree."""
+def forest(nodes: DataFrame, only=None) -> DataFrame:
+    """(region, node, n, sketch): every node once per tree. ``region`` is a hash of the tree and the
+    first LEAST min-hashes; with ``only``, the regions that pass this bitmap."""
     def rows(batches):
         lanes = np.arange(SKETCH // 4, dtype=np.uint64)
         for batch in batches:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
                 m = part.num_rows
-                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(m, TREES, DEPTH * 4)
-                low = sig.reshape(m, TREES * DEPTH, 4)[:, :SKETCH, 3] & 3
-                sketch = (low.reshape(m, 4, SKETCH // 4).astype(np.uint64) << (2 * lanes)).sum(2, dtype=np.uint64)
+                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), ">u4").reshape(m, TREES, DEPTH).astype(np.uint64)
+                low = sig.reshape(m, TREES * DEPTH)[:, :SKETCH] & np.uint64(3)
+                sketch = (low.reshape(m, 4, SKETCH // 4) << (2 * lanes)).sum(2, dtype=np.uint64)
                 node, n = part.column("node"), part.column("n")
                 sketches = pa.array([s.tobytes() for s in sketch], pa.binary())
                 for t in range(TREES):
-                    yield pa.RecordBatch.from_pydict({
-                        "tree": pa.array(np.full(m, t), pa.int32()),
-                        "label": pa.array([x.tobytes() for x in np.ascontiguousarray(sig[:, t])], pa.binary()),
-                        "node": node, "n": n, "sketch": sketches})
+                    region = tv.mix(np.full(m, t + 1, np.uint64))
+                    for d in range(LEAST):
+                        region = tv.mix((region ^ sig[:, t, d]) * tv._STEP)
+                    out = pa.RecordBatch.from_pydict({
+                        "region": pa.array(region.view(np.int64), pa.int64()), "node": node, "n": n, "sketch": sketches})
+                    yield out if only is None else out.filter(pa.array(passes(only.value, region)))
 
-    return nodes.mapInArrow(rows, "tree int, label binary, node long, n long, sketch binary")
+    return nodes.mapInArrow(rows, "region long, node long, n long, sketch binary")
 
 
 def _loose(sketch: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -120,74 +122,107 @@ def _loose(sketch: np.ndarray, n: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _regions(label: np.ndarray, lo: int, hi: int, depth: int):
-    """Ranges of a sorted region to compare: whole if small, else split by the next value."""
-    if hi - lo <= REGION or depth == DEPTH:
-        for a in range(lo, hi, REGION):                 # equal labels: windows that overlap by one
-            yield max(lo, a - 1), min(hi, a + REGION)
-        return
-    value = label[lo:hi, 4 * depth:4 * depth + 4]
-    cut = lo + 1 + np.flatnonzero((value[1:] != value[:-1]).any(1))
-    edges = [lo, *cut.tolist(), hi]
-    for a, b in zip(edges, edges[1:]):
-        yield from _regions(label, a, b, depth + 1)
-        if a > lo:                                      # neighbours across the split
-            yield max(lo, a - 32), min(hi, a + 32)
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), SKETCH // 32)
 
 
-def loose_links(trees: DataFrame) -> DataFrame:
-    """(a, b): spanning links of nodes that look similar in some region of some tree."""
+def region_links(trees: DataFrame) -> DataFrame:
+    """(a, b, region, size): spanning links of nodes that look similar in a region of at most REGION
+    nodes, and a row with the size of every larger region (a and b are null)."""
     # All of a region in one sorted run: regions are streamed, never gathered as a group.
-    sorted_ = (trees.withColumn("prefix", F.substring("label", 1, 4 * LEAST))
-               .repartition("tree", "prefix").sortWithinPartitions("tree", "prefix", "label", "node"))
+    sorted_ = trees.repartition("region").sortWithinPartitions("region", "node")
 
     def rows(batches):
-        held = None
-
-        def links(tree, label, node, n, sketch, final):
-            """Links of the complete regions; returns them and the row where the open one starts."""
-            key = np.concatenate([tree.view(np.uint8).reshape(len(tree), 4), label[:, :4 * LEAST]], axis=1)
-            cut = 1 + np.flatnonzero((key[1:] != key[:-1]).any(1))
-            edges = np.concatenate([[0], cut, [len(node)]])
-            if not final and len(node) - edges[-2] <= 8 * REGION:
-                edges = edges[:-1]                      # a region of the next batch, unless it is vast
-            first, size = edges[:-1], np.diff(edges)
+        held, large, passed = None, None, 0             # rows of the open region, or its key and size
+
+        def links(region, node, n, sketch, final):
+            """Links of the complete regions, the larger regions, and the row where the open one starts."""
+            nonlocal large, passed
+            edges = np.concatenate([[0], 1 + np.flatnonzero(region[1:] != region[:-1]), [len(node)]])
+            first, size, sizes = edges[:-1], np.diff(edges), []
+            if large is not None:
+                if len(node) and region[0] == large:
+                    passed += int(size[0])
+                    first, size = first[1:], size[1:]
+                if len(size) or final:                  # another region follows
+                    sizes.append((large, passed))
+                    large = None
+            rest = len(node)
+            if not final and len(size):
+                if size[-1] > REGION:
+                    large, passed = int(region[-1]), int(size[-1])
+                else:
+                    rest = int(first[-1])
+                first, size = first[:-1], size[:-1]
+            sizes += [(int(region[f]), int(s)) for f, s in zip(first[size > REGION], size[size > REGION])]
             two = first[size == 2]
             x = sketch[two] ^ sketch[two + 1]
             agree = SKETCH - np.bitwise_count((x | (x >> np.uint64(1))) & _LANES).sum(1)
             lo, hi = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
             ok = two[(agree >= NEED) & (100 * lo >= SIMILAR * hi)]
             a, b = [node[ok]], [node[ok + 1]]
-            for f, s in zip(first[size > 2].tolist(), size[size > 2].tolist()):
-                for u, v in _regions(label, f, f + s, LEAST):
-                    if v - u > 1:
-                        root = _loose(sketch[u:v], n[u:v])
-                        moved = np.flatnonzero(root != np.arange(v - u))
-                        a.append(node[u:v][moved])
-                        b.append(node[u:v][root[moved]])
-            return np.concatenate(a), np.concatenate(b), int(edges[-1])
-
-        def out(a, b):
-            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            whole = (size > 2) & (size <= REGION)
+            for f, s in zip(first[whole].tolist(), size[whole].tolist()):
+                root = _loose(sketch[f:f + s], n[f:f + s])
+                moved = np.flatnonzero(root != np.arange(s))
+                a.append(node[f:f + s][moved])
+                b.append(node[f:f + s][root[moved]])
+            return np.concatenate(a), np.concatenate(b), sizes, rest
+
+        def out(a, b, sizes):
+            none = [None] * len(a)
+            return pa.RecordBatch.from_pydict({
+                "a": pa.array([*a.tolist(), *[None] * len(sizes)], pa.int64()),
+                "b": pa.array([*b.tolist(), *[None] * len(sizes)], pa.int64()),
+                "region": pa.array(none + [r for r, _ in sizes], pa.int64()),
+                "size": pa.array(none + [s for _, s in sizes], pa.int64())})
 
         for batch in batches:
-            m = batch.num_rows
-            if not m:
+            if not batch.num_rows:
                 continue
-            now = [batch.column("tree").to_numpy(),
-                   np.frombuffer(b"".join(batch.column("label").to_pylist()), np.uint8).reshape(m, 4 * DEPTH),
-                   batch.column("node").to_numpy(), batch.column("n").to_numpy(),
-                   np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(m, SKETCH // 32)]
+            now = [batch.column("region").to_numpy(), batch.column("node").to_numpy(), batch.column("n").to_numpy(),
+                   _sketches(batch.column("sketch"))]
             held = now if held is None else [np.concatenate(p) for p in zip(held, now)]
-            a, b, rest = links(*held, final=False)
-            # the last row done stays as the neighbour of what follows in a region that was cut
-            held = [p[rest:] for p in held] if rest < len(held[2]) else [p[-1:] for p in held]
-            yield out(a, b)
-        if held is not None and len(held[2]):
-            a, b, _ = links(*held, final=True)
-            yield out(a, b)
+            a, b, sizes, rest = links(*held, final=False)
+            held = [p[rest:] for p in held]
+            yield out(a, b, sizes)
+        if held is not None:
+            a, b, sizes, _ = links(*held, final=True)
+            yield out(a, b, sizes)
 
-    return sorted_.select("tree", "label", "node", "n", "sketch").mapInArrow(rows, "a long, b long")
+    return sorted_.mapInArrow(rows, "a long, b long, region long, size long")
+
+
+def block_links(trees: DataFrame, large: DataFrame) -> DataFrame:
+    """(a, b): spanning links of nodes that look similar in the ``large(region, size)`` regions, all pairs
+    compared: the nodes are dealt into blocks, one task per pair of blocks."""
+    member = (trees.join(large, "region")
+              .withColumn("_blocks", F.ceil(F.col("size") / (REGION // 2)).cast("int"))
+              .withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+              # the pair of a block with itself is part of each of its other pairs
+              .where(F.col("_other") != F.col("_own"))
+              .select("region", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
+                      "node", "n", "sketch"))
+
+    def linked(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_numpy()
+        root = _loose(_sketches(table.column("sketch")), table.column("n").to_numpy())
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": pa.array(node[moved], pa.int64()), "b": pa.array(node[root[moved]], pa.int64())})
+
+    return member.groupBy("region", "i", "j").applyInArrow(linked, "a long, b long")
+
+
+def loose_links(nodes: DataFrame) -> DataFrame:
+    """(a, b): spanning links of ``nodes(node, n, sig)`` that look similar in some region of some tree."""
+    found = written(region_links(forest(nodes)), "region-links")
+    links = found.where("region is null").select("a", "b")
+    large = found.where("region is not null").select("region", "size")
+    if large.isEmpty():
+        return links
+    only = nodes.sparkSession.sparkContext.broadcast(bitmap(large, "region"))
+    return links.unionByName(block_links(forest(nodes, only), large))
 
 
 def sets_of(texts: DataFrame, bits) -> DataFrame:
@@ -289,7 +324,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         F.min("doc_id").alias("least_id"), F.min("tie").alias("tie"), F.max("n_shingles").alias("n"),
         F.first("sig").alias("sig"))
     nodes = written(nodes, "nodes")
-    loose = written(components(loose_links(forest(nodes.select("node", "n", "sig"))))
+    loose = written(components(loose_links(nodes.select("node", "n", "sig")))
                     .join(nodes.select("node", "tie", "n"), "node"), "loose-groups")
     shared = spark.sparkContext.broadcast(bitmap(loose, "tie"))        # fixed size
     texts = docs.select(F.xxhash64(text).alias("tie"), F.col(text).alias("text")).where(F.col(text).isNotNull())

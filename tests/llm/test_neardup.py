@@ -83,6 +83,35 @@ def test_families_equal_brute_force(spark, family, monkeypatch, block, region):
     assert got(spark.createDataFrame(family, "doc_id long, text string")) == brute(family)
 
 
+def test_large_region_is_compared_whole(spark):
+    """5,000 nodes share all min-hashes of one tree; pairs that look alike share nothing in another."""
+    rng = np.random.default_rng(3)
+    sig = rng.integers(0, 2 ** 32, (5000, neardup.TREES * neardup.DEPTH), dtype=np.uint32)
+    sig[:, :neardup.DEPTH] = 7
+    pairs = [(k, 4999 - k) for k in range(0, 1000, 50)]
+    for a, b in pairs:
+        sig[b, neardup.DEPTH:] = sig[a, neardup.DEPTH:] ^ 4         # other values, the same sketch
+    nodes = spark.createDataFrame([(k, 100, s.astype(">u4").tobytes()) for k, s in enumerate(sig)],
+                                  "node long, n long, sig binary").repartition(3)
+    got = neardup.loose_links(nodes).collect()
+    assert {tuple(sorted(r)) for r in got} == set(pairs)
+
+
+def test_pairs_at_the_threshold_under_one_template(spark, monkeypatch):
+    """2,000 documents share a template; the pairs among them are at similarity 0.75 exactly."""
+    monkeypatch.setattr(neardup, "REGION", 64)
+    rng = random.Random(11)
+    template = [f"t{i}" for i in range(44)]
+    new = lambda n: [f"u{rng.randint(0, 10 ** 12)}" for _ in range(n)]
+    rows = []
+    for k in range(0, 1000, 2):
+        words = template + new(30)
+        rows += [(k, " ".join(words)), (k + 1, " ".join(words[:64] + new(10)))]
+    rows += [(k, " ".join(template + new(30))) for k in range(1000, 2000)]
+    want = [(k, 70, k - k % 2 if k < 1000 else k, k % 2 == 0 or k >= 1000) for k in range(2000)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(want, key=repr)
+
+
 def test_exact_links_equal_brute_force(family):
     sets = [np.array(sorted(hash(x) & 0xFFFFFFFFFFFFFFFF for x in shingles(t)), np.uint64) for _, t in family]
     root = neardup.exact_links(sets)
