@@ -11,7 +11,8 @@ them the composite density
 content root. The smallest density on the path from it to ``body`` is the threshold: inside the
 root, link-dominated containers below the threshold are left out. Elements that are no article
 text by their kind (scripts, forms, navigation, ...) or by what their class, id or role says
-(advert, comments, sidebar, ...) are cut before anything is measured. If the root lies inside an
+(advert, comments, sidebar, ...) are cut before anything is measured. A class, id or role alone
+does not cut what looks like the article's wrapper (``_settle``): the density decides. If the root lies inside an
 ``article`` or ``main`` element, or holds exactly one that has most of its text, that element is
 taken, so short paragraphs and the heading stay.
 """
@@ -50,36 +51,76 @@ _HINT = re.compile(
     r"search|login|signup|copyright|legal|disclaimer|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
 
 
+# Words that make a name part a description of the layout: has-sidebar, no-sidebar, layout_sidebar_left.
+_LAYOUT = re.compile(r"(?:^|[_-])(?:has|with|without|no|layout)[_-]", re.I)
+
+
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "cut", "hinted", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag, parent, cut):
-        self.tag, self.parent, self.cut, self.parts = tag, parent, cut, []
+    def __init__(self, tag, parent, cut, hinted=False):
+        self.tag, self.parent, self.cut, self.hinted, self.parts = tag, parent, cut, hinted, []
 
 
-def _is_cut(tag: str, attributes: str, inside_article: bool) -> bool:
+def _is_cut(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """(cut by kind or as hidden, hinted by a name)."""
     if tag in CUT:
-        return True
+        return True, False
     if tag == "header":
-        return not inside_article
+        return not inside_article, False
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    hinted = False
     for name, a, b, c in _HINT_ATTR.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name == "style":
             if re.search(r"display\s*:\s*none", value, re.I):
-                return True
-        elif value and _HINT.search(value.replace(".", " ")):
-            return True
-    return False
+                return True, False
+        elif value and _HINT.search(value := value.replace(".", " ")):
+            hinted = hinted or bool(_HINT.search(" ".join(w for w in value.split() if not _LAYOUT.search(w))))
+    return False, hinted
+
+
+def _settle(root: _Node) -> None:
+    """Cut the hinted elements, except those of which two of these hold: most of the page's text outside
+    links lies in it; it holds an article, main or h1; no article or main with text lies beside it."""
+    order, stack = [], [(root, None, False)]
+    text, heads, area, inside = {}, {}, {}, {}
+    while stack:                                            # page order, with the nearest hinted ancestor
+        node, near, link = stack.pop()
+        order.append(node)
+        area[node], inside[node] = near, link
+        link = link or node.tag == "a"
+        near = node if node.hinted else near
+        stack.extend((p, near, link) for p in reversed(node.parts) if not isinstance(p, str) and not p.cut)
+    articles: dict = {}
+    for node in reversed(order):
+        linked = inside[node] or node.tag == "a"
+        own = sum(0 if linked else len(p.strip()) for p in node.parts if isinstance(p, str))
+        below = [p for p in node.parts if not isinstance(p, str) and not p.cut]
+        text[node] = own + sum(text[p] for p in below)
+        heads[node] = any(heads[p] or p.tag in ("article", "main", "h1") for p in below)
+        if node.tag in ("article", "main") and text[node]:
+            articles[area[node]] = articles.get(area[node], 0) + 1
+    stack = [(root, articles.get(None, 0), 0)]
+    while stack:                                            # known: articles in the kept areas around
+        node, known, above = stack.pop()
+        if node.hinted:
+            reasons = (2 * text[node] > text[root]) + heads[node] + (known <= above)
+            if reasons < 2:
+                node.cut = True
+                continue
+            known += articles.get(node, 0)
+        above += node.tag in ("article", "main") and text[node] > 0
+        stack.extend((p, known, above) for p in node.parts if not isinstance(p, str) and not p.cut)
 
 
 def parse(page: str) -> _Node:
     """The page's tree; ``parts`` of a node are texts and child nodes in page order."""
     root = _Node("#root", None, False)
-    open_, articles = [root], 0
+    open_, articles, hints = [root], 0, False
     at = 0
 
     def pop_to(depth: int) -> None:
@@ -94,6 +135,8 @@ def parse(page: str) -> _Node:
         if end > at:
             open_[-1].parts.append(page[at:end])
         if not m:
+            if hints:
+                _settle(root)
             return root
         at = m.end()
         name = m[2] or m[5]
@@ -140,7 +183,8 @@ def parse(page: str) -> _Node:
                 depth -= 1
             if last:
                 pop_to(last)
-        node = _Node(tag, open_[-1], _is_cut(tag, attributes, articles > 0))
+        node = _Node(tag, open_[-1], *_is_cut(tag, attributes, articles > 0))
+        hints = hints or node.hinted
         open_[-1].parts.append(node)
         if tag in VOID or attributes.endswith("/") and tag in ("path", "circle", "rect"):
             continue

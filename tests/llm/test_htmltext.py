@@ -52,6 +52,18 @@ def test_pages(name):
     assert main_text(page) == want
 
 
+WRAPPERS = ["content has-sidebar", "no-sidebar", "with-comments", "layout_sidebar_left", "entry-content legal"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_wrappers_with_hint_words_stay(name):
+    inner = f'<p>{LONG}</p><p>{LONG}</p><div class="sidebar"><p>{LONG}</p></div>'
+    side = f'<div class="related"><article><p>{LONG[:40]}</p></article></div><div id="comments"><p>{LONG}</p></div>'
+    assert main_text(f'<body><div class="{name}"><h1>T</h1>{inner}</div></body>') == f"T\n{LONG}\n{LONG}"
+    assert main_text(f'<body><main><h1>T</h1><div class="{name}">{inner}</div></main></body>') == f"T\n{LONG}\n{LONG}"
+    assert main_text(f'<body><div class="{name}"><article><h1>T</h1>{inner}</article>{side}</div></body>') == f"T\n{LONG}\n{LONG}"
+
+
 def test_density_is_the_papers_formula():
     page = "<body><div><p>0123456789</p><p>01234<a href=x>56789</a></p></div></body>"
     order = htmltext._measure(htmltext.parse(page))
