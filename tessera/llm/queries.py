@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import dac, decontam, htmltext, langid, linededup, neardup, packing, sharding, topk, toxicity
+from tessera.llm import dac, decontam, divergence, htmltext, langid, linededup, neardup, packing, sharding, topk, toxicity
 from tessera.llm.common import table, text_or_empty
 from tessera.session import scratch_dir
 
@@ -109,3 +109,12 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its most typical terms."""
+    return divergence.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+ORACLE["op13_source_divergence"] = divergence.ORACLE
