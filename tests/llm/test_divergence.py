@@ -17,14 +17,14 @@ def ascii_lower(t):
     return re.sub("[A-Z]", lambda m: m[0].lower(), t)
 
 
-def brute(rows, top=200):
+def brute(rows, least=3, top=200):
     """Rows of the audit, term by term."""
     docs = [(TERM.findall(ascii_lower(t or "")), lang or "", src or "") for t, lang, src in rows]
     out = []
     for lang in {d[1] for d in docs}:
         own = [d for d in docs if d[1] == lang]
         seen = Counter(t for d in own for t in set(d[0]))
-        kept = {t for t, n in seen.items() if n >= 3}
+        kept = {t for t, n in seen.items() if n >= least}
         count = defaultdict(Counter)
         for words, _, src in own:
             count[src].update(w for w in words if w in kept)
@@ -39,22 +39,22 @@ def brute(rows, top=200):
     return sorted(out)
 
 
-@pytest.mark.parametrize("sources, cells, terms", [(256, 1 << 20, 1 << 12), (2, 10, 3)])
-def test_equals_brute_force(spark, docs, monkeypatch, sources, cells, terms):
+@pytest.mark.parametrize("sources, cells, terms, least", [(256, 1 << 20, 1 << 12, 3), (2, 10, 3, 3), (256, 50, 9, 5)])
+def test_equals_brute_force(spark, docs, monkeypatch, sources, cells, terms, least):
     monkeypatch.setattr(divergence, "SOURCES", sources)
     monkeypatch.setattr(divergence, "CELLS", cells)
     monkeypatch.setattr(divergence, "TERMS", terms)
     monkeypatch.setattr(divergence, "SLICE", 2000)
     more = spark.createDataFrame(MORE, "text string, lang string, source string")
     rows = docs.select("text", "lang", "source").unionByName(more)
-    got = divergence.audit(docs.unionByName(more, allowMissingColumns=True))
+    got = divergence.audit(docs.unionByName(more, allowMissingColumns=True), min_docs=least)
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
-    assert sorted(map(tuple, got.collect())) == brute([tuple(r) for r in rows.collect()])
+    assert sorted(map(tuple, got.collect())) == brute([tuple(r) for r in rows.collect()], least)
 
 
 def test_empty_and_clashing_names(spark, empty):
     assert divergence.audit(empty).count() == 0
-    names = ["n", "n_docs", "docs", "chunk", "term", "total", "terms", "_t", "p", "q", "item", "value", "rank", "part"]
+    names = ["n", "n_docs", "docs", "chunk", "term", "total", "terms", "_t", "p", "q", "item", "value", "rank", "part", "gid", "lang_", "times", "own", "first", "last", "_found"]
     clash = spark.createDataFrame([("a b", "en", "s") + ("x",) * len(names)] * 3,
                                   ", ".join(f"{c} string" for c in ["text", "lang", "source", *names]))
     assert divergence.audit(clash).count() == 0            # one source, no more than its language
@@ -64,7 +64,7 @@ def test_large_counts_are_exact():
     import pandas as pd
     rows = [("a", 0, None, None, 9 * 10 ** 12, 2), ("b", 0, None, None, 5 * 10 ** 12, 2),
             ("a", 0, "t", 8 * 10 ** 12, None, None), ("a", 0, "u", 10 ** 12, None, None), ("b", 0, "t", 5 * 10 ** 12, None, None)]
-    frame = pd.DataFrame(rows, columns=["source", "block", "term", "n", "total", "terms"])
+    frame = pd.DataFrame(rows, columns=["gid", "block", "term", "n", "total", "terms"])
     i, j, s, seen = divergence._block_sums(frame, 0, 0)
     p = lambda n, t: 1 + 10 ** 9 * (n + 1) // (t + 2)
     share = {"a": [p(8 * 10 ** 12, 9 * 10 ** 12), p(10 ** 12, 9 * 10 ** 12)], "b": [p(5 * 10 ** 12, 5 * 10 ** 12), p(0, 5 * 10 ** 12)]}
