@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import dac, decontam, divergence, htmltext, langid, linededup, neardup, packing, sharding, topk, toxicity
+from tessera.llm import align, dac, decontam, divergence, htmltext, langid, linededup, neardup, packing, sharding, topk, toxicity
 from tessera.llm.common import table, text_or_empty
 from tessera.session import scratch_dir
 
@@ -118,3 +118,9 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op13_source_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of the byte-level and the piece tokenizer on every document."""
+    return align.aligned(table(spark, sf_dir, "documents", "doc_id", "text"))
