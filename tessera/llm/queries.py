@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessera.llm import align, dac, decontam, divergence, htmltext, langid, linededup, neardup, packing, sharding, topk, toxicity
+from tessera.llm import align, dac, decontam, divergence, htmltext, langid, linededup, neardup, packing, sharding, tgm, topk, toxicity
 from tessera.llm.common import table, text_or_empty
 from tessera.session import scratch_dir
 
@@ -124,3 +124,9 @@ ORACLE["op13_source_divergence"] = divergence.ORACLE
 def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignment of the byte-level and the piece tokenizer on every document."""
     return align.aligned(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 4-word shingle sets at 0.85."""
+    return tgm.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
