@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,9 @@ from tessera.llm import textvec as tv
 from tessera.llm.common import written
 from tessera.llm.tokens import _byte_alphabet, tokenizer_path
 
-SLICE = 4 << 20             # bytes of text in a slice
-KEPT = 400_000              # chunks that a worker keeps (speed only)
+SLICE = 2 << 20             # bytes of text in a slice
+KEPT = 200_000              # chunks that a worker keeps (speed only)
+BATCH = 10_000              # chunks encoded at once
 LONGEST = 200               # bytes of a chunk that is kept
 
 SLICES = ("slice long, doc_id array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<int>, "
@@ -40,6 +42,33 @@ OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best lon
        "groups_sha256 string")
 
 
+def _pool(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, length, joined bytes) of many byte strings."""
+    length = np.fromiter(map(len, values), np.int64, len(values))
+    return np.cumsum(length) - length, length, np.frombuffer(b"".join(values), np.uint8)
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Non-negative integers in 1, 2, 4 or 8 bytes each, as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<")).tobytes()
+
+
+def _wide(raw: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // max(count, 1)}").astype(np.int64) if count else np.zeros(0, np.int64)
+
+
+def _sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of n[k] values."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(n)
+    return total[ends] - total[ends - n]
+
+
+def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indices first[k] .. first[k] + size[k] of all k, joined."""
+    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
 def coalesce(a_start, a_end, b_start, b_end):
     """Groups and links of two tokenisations of the same bytes (both sorted by start, no empty token).
 
@@ -74,12 +103,16 @@ class Aligner:
         pre = spec["pre_tokenizer"]
         byte_level = pre["type"] == "ByteLevel" and not pre["add_prefix_space"] and spec["normalizer"] is None
         back = {c: b for b, c in _byte_alphabet().items()}
-        self.a_bytes = {i: bytes(back[c] for c in t) if all(c in back for c in t) else t.encode()
-                        for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        vocab = sorted(self.a.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
+        a_bytes = [b""] * (vocab[-1][1] + 1)
+        for t, i in vocab:
+            a_bytes[i] = bytes(back[c] for c in t) if all(c in back for c in t) else t.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(pieces)]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+                   for i, p in enumerate(pieces)]
+        self.token_a, self.token_b = _pool(a_bytes), _pool(b_bytes)
+        self.digits = _pool([b"%d," % i for i in range(max(len(a_bytes), len(b_bytes)))])
         # white space that a piece joins to something before it: such texts are not cut
         normal = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
         crosses = any(re.search("[^▁]▁", p) for p in normal)
@@ -89,61 +122,71 @@ class Aligner:
 
     def reset(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.rows: list[tuple] = []     # (A tokens, B tokens, groups, groups as text, links as A << 32 | B); None: bytes differ
-
-    def _encode_b(self, texts: list[str], lead: list[bool]) -> list[list[int]]:
-        """B ids of texts whose space before is B's own (lead), or that have none."""
-        found = self.b.encode([t if k else "a" + t for t, k in zip(texts, lead)], num_threads=1)
-        return [ids if k else ids[1:] for ids, k in zip(found, lead)]
+        self.counts = np.zeros((0, 4), np.int32)            # A tokens (-1: bytes differ), B tokens, groups, links
+        self.names: list[bytes] = []                        # groups as text
+        self.pairs = np.zeros(0, np.int64)                  # links of all rows, as A << 32 | B
 
-    def align(self, raw: list[bytes]) -> list[tuple | None]:
-        """Rows of whole texts or chunks (UTF-8, with their white space before)."""
+    def add(self, raw: list[bytes]) -> None:
+        """Append a row for each whole text or chunk (UTF-8, with its white space before)."""
         texts = [r.decode("utf-8") for r in raw]
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         lead = [t[:1] == " " for t in texts]
-        b = self._encode_b([t[1:] if k else t for t, k in zip(texts, lead)], lead)
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        equal = [b"".join([a_bytes[i] for i in x]) == r and b"".join([b_bytes[i] for i in y]) == r
-                 for r, x, y in zip(raw, a, b)]
-        of = np.flatnonzero(equal)
-        ids_a = np.array([i for k in of for i in a[k]], np.int64)
-        ids_b = np.array([i for k in of for i in b[k]], np.int64)
-        end_a = np.cumsum([len(a_bytes[i]) for i in ids_a.tolist()], dtype=np.int64)
-        end_b = np.cumsum([len(b_bytes[i]) for i in ids_b.tolist()], dtype=np.int64)
-        start_a, start_b = np.append(0, end_a)[:-1], np.append(0, end_b)[:-1]
-        group_a, group_b, link_a, link_b = coalesce(start_a, end_a, start_b, end_b)
-        pairs = (ids_a[link_a] << 32) | ids_b[link_b]
-        n_groups = int(group_a[-1]) + 1 if len(group_a) else 0
-        edge_a = np.searchsorted(group_a, np.arange(n_groups + 1)).tolist()
-        edge_b = np.searchsorted(group_b, np.arange(n_groups + 1)).tolist()
-        text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        groups = [",".join(text_a[edge_a[g]:edge_a[g + 1]]) + "|" + ",".join(text_b[edge_b[g]:edge_b[g + 1]])
-                  for g in range(n_groups)]
-        out: list[tuple | None] = [None] * len(raw)
-        at_a = at_b = 0
-        for k in of.tolist():
-            to_a, to_b = at_a + len(a[k]), at_b + len(b[k])
-            g0 = int(group_a[at_a]) if to_a > at_a else 0
-            g1 = int(group_a[to_a - 1]) + 1 if to_a > at_a else 0
-            l0, l1 = np.searchsorted(link_a, [at_a, to_a])
-            out[k] = (to_a - at_a, to_b - at_b, g1 - g0, ";".join(groups[g0:g1]).encode(), pairs[l0:l1])
-            at_a, at_b = to_a, to_b
-        return out
-
-    def lookup(self, chunks: list[bytes]) -> list[tuple | None]:
-        """Rows of distinct chunks, from the kept ones where possible."""
-        if len(self.rows) > KEPT:
+        of_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # the space before is B's own; without one, a letter stands in front and goes again
+        of_b = self.b.encode([t[1:] if k else "a" + t for t, k in zip(texts, lead)], num_threads=1)
+        of_b = [ids if k else ids[1:] for ids, k in zip(of_b, lead)]
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(raw)) for x in (of_a, of_b))
+        ids_a = np.fromiter(chain.from_iterable(of_a), np.int64, int(n_a.sum()))
+        ids_b = np.fromiter(chain.from_iterable(of_b), np.int64, int(n_b.sum()))
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        equal = np.ones(len(raw), bool)
+        for ids, n, token in ((ids_a, n_a, self.token_a), (ids_b, n_b, self.token_b)):
+            equal &= _sums(token[1][ids], n) == size
+        flat = np.frombuffer(b"".join(raw), np.uint8)
+        for ids, n, (at, length, data) in ((ids_a, n_a, self.token_a), (ids_b, n_b, self.token_b)):
+            own = ids[np.repeat(equal, n)]
+            wrong = data[_ragged(at[own], length[own])] != flat[np.repeat(equal, size)]
+            if wrong.any():
+                bad = np.searchsorted(np.cumsum(size[equal]), np.flatnonzero(wrong), side="right")
+                equal[np.flatnonzero(equal)[np.unique(bad)]] = False
+        ids_a, ids_b = ids_a[np.repeat(equal, n_a)], ids_b[np.repeat(equal, n_b)]
+        n_a, n_b = np.where(equal, n_a, 0), np.where(equal, n_b, 0)
+        end_a, end_b = np.cumsum(self.token_a[1][ids_a]), np.cumsum(self.token_b[1][ids_b])
+        group_a, group_b, link_a, link_b = coalesce(
+            end_a - self.token_a[1][ids_a], end_a, end_b - self.token_b[1][ids_b], end_b)
+        row_a = np.repeat(np.arange(len(raw)), n_a)
+        opens = np.ones(len(group_a), bool)
+        opens[1:] = group_a[1:] != group_a[:-1]
+        counts = np.stack([np.where(equal, n_a, -1), n_b, np.bincount(row_a[opens], minlength=len(raw)),
+                           np.bincount(row_a[link_a], minlength=len(raw))], 1)
+        # groups as text: A ids, B ids of a group, with a mark after each
+        key = np.concatenate([2 * group_a, 2 * group_b + 1])
+        order = np.argsort(key, kind="stable")
+        key, ids = key[order], np.concatenate([ids_a, ids_b])[order]
+        at, length, data = self.digits
+        text = data[_ragged(at[ids], length[ids])]
+        ends = np.cumsum(length[ids])
+        last = np.ones(len(key), bool)
+        last[:-1] = key[1:] != key[:-1]
+        text[ends[last] - 1] = np.where(key[last] % 2 == 0, ord("|"), ord(";"))
+        edge = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_a + n_b)])].tolist()
+        text = text.tobytes()
+        self.names += [text[x:y - 1] if y > x else b"" for x, y in zip(edge[:-1], edge[1:])]
+        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])
+        self.pairs = np.concatenate([self.pairs, (ids_a[link_a] << 32) | ids_b[link_b]])
+
+    def lookup(self, chunks: list[bytes]) -> np.ndarray:
+        """Rows of distinct chunks; only those not kept are encoded."""
+        if len(self.names) > KEPT or len(self.pairs) > 8 * KEPT:
             self.reset()
-        at = list(map(self.place.get, chunks))
-        new = [k for k, x in enumerate(at) if x is None]
-        found = self.align([chunks[k] for k in new]) if new else []
-        out = [self.rows[x] if x is not None else None for x in at]
-        for k, row in zip(new, found):
-            out[k] = row
-            if len(chunks[k]) <= LONGEST:
-                self.place[chunks[k]] = len(self.rows)
-                self.rows.append(row)
-        return out
+        row = np.fromiter((self.place.get(c, -1) for c in chunks), np.int64, len(chunks))
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            row[new] = len(self.names) + np.arange(len(new))
+            fresh = [chunks[k] for k in new.tolist()]
+            self.place.update((c, r) for c, r in zip(fresh, row[new].tolist()) if len(c) <= LONGEST)
+            for k in range(0, len(fresh), BATCH):
+                self.add(fresh[k:k + BATCH])
+        return row
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -181,11 +224,6 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple
     return chunks, before
 
 
-def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Indices first[k] .. first[k] + size[k] of all k, joined."""
-    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
-
-
 def slices(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """One row per slice of ``docs(doc_id, text)``, see SLICES."""
 
@@ -206,55 +244,46 @@ def slices(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 whole[k] = bool(al.odd.search(text)) or bool(re.search(r"[^\S \t\n\r\x0b\x0c][ \t\n\r\x0b\x0c]", text))
         chunks, before = chunks_of(data, offsets, whole)
         coded = chunks.dictionary_encode()
-        rows = al.lookup(coded.dictionary.to_pylist())
-        code = coded.indices.to_numpy().astype(np.int64)
+        row = al.lookup(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         doc = np.repeat(np.arange(m), np.diff(before))
-        differs = np.fromiter((r is None for r in rows), bool, len(rows))
-        # a chunk's bytes differ: what counts are the whole text's
-        again = np.unique(doc[differs[code]]) if differs.any() else np.zeros(0, np.int64)
         none = size == 0
+        # a chunk's bytes differ: what counts are the whole text's
+        again = np.unique(doc[al.counts[row, 0] < 0])
         again = again[~none[again] & ~whole[again]]
         if len(again):
-            more = al.align([b" " + part.column("text")[k].as_py().encode() for k in again.tolist()])
-            own = {k: r for k, r in zip(again.tolist(), more)}
-            none[[k for k, r in own.items() if r is None]] = True
             keep = ~np.isin(doc, again)
-            code = np.concatenate([code[keep], len(rows) + np.arange(len(again))])
+            row = np.concatenate([row[keep], len(al.names) + np.arange(len(again))])
             doc = np.concatenate([doc[keep], again])
+            al.add([b" " + part.column("text")[k].as_py().encode() for k in again.tolist()])
             order = np.argsort(doc, kind="stable")
-            code, doc = code[order], doc[order]
-            rows = rows + more
-        differs = np.fromiter((r is None for r in rows), bool, len(rows))
-        none[doc[differs[code]]] = True
+            row, doc = row[order], doc[order]
+        none[doc[al.counts[row, 0] < 0]] = True
         keep = ~none[doc]
-        code, doc = code[keep], doc[keep]
-        rows = [r or (0, 0, 0, b"", np.zeros(0, np.int64)) for r in rows]
-        counts = np.array([[r[0], r[1], r[2], len(r[4])] for r in rows], np.int64).reshape(-1, 4)
-        total = np.zeros((m, 4), np.int64)
+        row, doc = row[keep], doc[keep]
+        used, code = np.unique(row, return_inverse=True)    # the slice's chunks
+        counts = al.counts[used].astype(np.int64)
         edges = np.searchsorted(doc, np.arange(m + 1))
-        for c in range(4):
-            sums = np.concatenate([[0], np.cumsum(counts[code, c])])
-            total[:, c] = sums[edges[1:]] - sums[edges[:-1]]
-        names, codes = [r[3] for r in rows], code.tolist()
-        sha = ["" if none[k] else hashlib.sha256(b";".join([names[c] for c in codes[edges[k]:edges[k + 1]]])).hexdigest()
+        total = np.stack([_sums(counts[code, c], np.diff(edges)) for c in range(4)], 1)
+        names, codes, edge = [al.names[r] for r in used.tolist()], code.tolist(), edges.tolist()
+        sha = ["" if none[k] else hashlib.sha256(b";".join([names[c] for c in codes[edge[k]:edge[k + 1]]])).hexdigest()
                for k in range(m)]
         # links of a document: its distinct chunks, how often, and the pairs of each chunk
-        key, times = np.unique(doc * len(rows) + code, return_counts=True)
-        d, c = np.divmod(key, len(rows))
+        n = max(len(used), 1)
+        key, times = np.unique(doc * n + code, return_counts=True)
+        d, c = np.divmod(key, n)
         links = counts[:, 3]
-        pairs, index = np.unique(np.concatenate([r[4] for r in rows]), return_inverse=True)
-        first = np.cumsum(links) - links
-        held = np.unique(np.repeat(d, links[c]) * max(len(pairs), 1) + index[_ragged(first[c], links[c])])
-        n_docs = np.bincount(held % max(len(pairs), 1), minlength=len(pairs))
-        used = np.unique(c)                                 # only chunks of documents with tokens
-        place = np.zeros(len(rows), np.int64)
-        place[used] = np.arange(len(used))
+        first = (np.cumsum(al.counts[:, 3], dtype=np.int64) - al.counts[:, 3])[used]
+        pairs, index = np.unique(al.pairs[_ragged(first, links)], return_inverse=True)
+        start = np.cumsum(links) - links
+        p = max(len(pairs), 1)
+        held = np.unique(np.repeat(d, links[c]) * p + index[_ragged(start[c], links[c])])
+        n_docs = np.bincount(held % p, minlength=len(pairs))
         return {"doc_id": part.column("doc_id").to_pylist(), "n_a": total[:, 0], "n_b": total[:, 1],
                 "n_groups": total[:, 2], "n_links": total[:, 3], "sha": sha, "pairs": pairs, "pair_docs": n_docs,
                 "doc_first": np.searchsorted(d, np.arange(m + 1)).astype("<i4").tobytes(),
-                "doc_chunk": place[c].astype("<i4").tobytes(), "doc_times": times.astype("<i4").tobytes(),
-                "chunk_first": np.concatenate([[0], np.cumsum(links[used])]).astype("<i4").tobytes(),
-                "chunk_pair": index[_ragged(first[used], links[used])].astype("<i4").tobytes()}
+                "doc_chunk": _narrow(c), "doc_times": _narrow(times),
+                "chunk_first": np.append(start, links.sum()).astype("<i4").tobytes(),
+                "chunk_pair": _narrow(index)}
 
     def rows(batches):
         from pyspark import TaskContext
@@ -301,7 +330,9 @@ def aligned(docs: DataFrame, tokenizer_a: str | None = None, tokenizer_b: str |
         pos = right.column("pos").to_numpy()
         n[pos] = right.column("n").to_numpy()
         best[pos] = right.column("best").to_numpy(zero_copy_only=False)
-        of = {k: np.frombuffer(row[k], "<i4").astype(np.int64) for k in ("doc_first", "doc_chunk", "doc_times", "chunk_first", "chunk_pair")}
+        of = {k: np.frombuffer(row[k], "<i4") for k in ("doc_first", "chunk_first")}
+        for k, held in (("doc_chunk", "doc_first"), ("doc_times", "doc_first"), ("chunk_pair", "chunk_first")):
+            of[k] = _wide(row[k], int(of[held][-1]))
         out = {k: pa.array(row[k], pa.int64()) for k in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
         for name, value in (("n_best", best), ("count_sum", n)):
             by_pair = np.concatenate([[0], np.cumsum(value[of["chunk_pair"]])])
