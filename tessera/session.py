@@ -71,11 +71,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tessera/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a path: works for every store that Spark reads."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()), where
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Has a job committed this folder? (Spark's committer leaves ``_SUCCESS`` as its last step.)"""
-    jvm = spark.sparkContext._jvm
-    mark = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
+    fs, mark = file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return fs.exists(mark)
 
 
 def write_once(spark: SparkSession, path: str, build, *, partition_by=(), **options) -> str:

@@ -5,7 +5,7 @@ file carries all seven observation columns, so a recursive scan needs no path pa
 comes first so that reading back one run lists only that run's folders, however much history
 the raw area holds. The whole run is written by one job; the ``rebalance`` hint lets AQE split a
 hot (group, day) over several tasks and pack small ones together. A run's folder is written once:
-writing a complete run again is a no-op, so no file of it can reach bronze twice.
+writing a complete run again is a no-op, and its commit row (``commits.py``) lets the load take it once.
 """
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tessera.functions.dates import compact
 from tessera.schemas import OBSERVATION_COLUMNS, OBSERVATION_SCHEMA
 from tessera.session import write_once
+from tessera.sinks.commits import commit_run
 
 RAW_PARTITIONS = ["run", "group", "day"]
 
@@ -35,6 +36,7 @@ def write_raw_days(obs: DataFrame, raw_root: str, download_ts: str, *,
     write_once(obs.sparkSession, f"{raw_root.rstrip('/')}/run={download_ts}", rows,
                partition_by=RAW_PARTITIONS[1:], maxRecordsPerFile=max_records_per_file,
                partitionOverwriteMode="static")
+    commit_run(obs.sparkSession, raw_root, download_ts)
 
 
 RAW_SCHEMA = T.StructType(OBSERVATION_SCHEMA.fields + [

@@ -1,100 +1,138 @@
-"""Exactly-once load of raw files into bronze with Structured Streaming.
-
-The file source records every file it has taken in its checkpoint; a micro-batch writes its own
-``load=<batch>`` folder of bronze and replaces that folder when it is replayed. So a file is loaded
-once however often the job runs and whatever executors are lost. ``availableNow`` processes
-everything new and stops, which fits a scheduled run. Rebuilding bronze from raw is the same job
-with a fresh checkpoint and target.
-
-The stream carries file *names*. A batch reads all its files with the bronze schema in one scan
-(missing columns are NULL, extra ones ignored). If that fails, because a writer stored other types
-or a file is broken, the batch is read again run by run with the files' own schemas and cast
-afterwards (:func:`tessera.sinks.bronze.cast_projection`); a file that cannot be read at all is
-recorded under ``_bad_files`` and does not stop the others.
+"""Exactly-once load of committed raw runs into bronze with Structured Streaming.
+
+The stream follows the commit rows of the raw area (:mod:`tessera.sinks.commits`): a run is taken when
+it is committed, and only its own folder is listed, however much history there is. The checkpoint
+records the rows taken; a micro-batch writes its own ``load=<batch>-<part>`` folders of bronze and
+replaces them when it is replayed. So a run is loaded once however often the job runs, a run that
+crashed half-way is not loaded at all, and its rerun is loaded once. ``availableNow`` processes
+everything new and stops, which fits a scheduled run. Rebuilding bronze from raw is the same job with
+a fresh checkpoint and target.
+
+A batch reads all its runs with the bronze schema in one scan (missing columns are NULL, extra ones
+ignored). Only if Spark cannot read a file that way - another type, a broken file - the batch is read
+again run by run, and such a run by its files' own schemas, cast afterwards
+(:func:`tessera.sinks.bronze.cast_projection`). Files are read to the end before they are taken, so one
+with a sound footer and broken pages is found too; it is recorded under ``_bad_files`` and does not
+stop the others. Every other error (a lost executor, a full disk) fails the batch, which is then
+replayed by the next run of the job.
 """
 from __future__ import annotations
 
-from itertools import groupby
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.schemas import BRONZE_PARTITIONS, OBSERVATION_SCHEMA
+from tessera.session import file_system
 from tessera.sinks.bronze import cast_projection
+from tessera.sinks.commits import COMMIT_SCHEMA, commit_found, commit_root
 
-RUNS_PER_WRITE = 40         # file groups read by one plan
+# What Spark says when a file's types or bytes do not fit (conditions, and the readers' own words).
+_FILE_ERRORS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "PARQUET_COLUMN_DATA_TYPE_MISMATCH",
+                "CANNOT_MERGE_SCHEMAS", "UNABLE_TO_INFER_SCHEMA", "is not a Parquet file")
 
 
-def _by_run(path: str) -> str:
-    """Files of one raw run are written by one job and share a schema."""
-    return next((part for part in path.split("/") if part.startswith("run=")), path.rsplit("/", 1)[0])
+def _file_error(exc: Exception) -> bool:
+    text = str(exc)
+    return any(mark in text for mark in _FILE_ERRORS)
 
 
-def _readable(spark: SparkSession, files: list[str]) -> tuple[DataFrame | None, list[tuple[str, str]]]:
-    """The files' rows in bronze shape, and the files that no reader can open, with the reason."""
+def _sound(spark: SparkSession, files: list[str]) -> tuple[list[list[str]], list[tuple[str, str]]]:
+    """Files that can be read to the end, as groups with one schema, and those that cannot with the reason.
+    A group that fails is halved, so few bad files cost few reads."""
     try:
-        return cast_projection(spark.read.option("mergeSchema", "true").parquet(*files)), []
-    except Exception as exc:  # noqa: BLE001 — one bad or odd file: look at each alone
+        rows = cast_projection(spark.read.option("mergeSchema", "true").parquet(*files))
+        rows.write.format("noop").mode("overwrite").save()
+        return [files], []
+    except Exception as exc:  # noqa: BLE001 - only what is wrong with the files is handled here
+        if not _file_error(exc):
+            raise
         if len(files) == 1:
-            return None, [(files[0], f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}")]
-    rows, bad = None, []
-    for f in files:
-        one, lost = _readable(spark, [f])
-        bad += lost
-        if one is not None:
-            rows = one if rows is None else rows.unionByName(one)
-    return rows, bad
+            return [], [(files[0], f"{type(exc).__name__}: {str(exc).splitlines()[0][:300]}")]
+    half = len(files) // 2
+    good, bad = _sound(spark, files[:half])
+    more, lost = _sound(spark, files[half:])
+    return good + more, bad + lost
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    """Data files below a run's folder."""
+    fs, path = file_system(spark, folder)
+    found, out = fs.listFiles(path, True), []
+    while found.hasNext():
+        name = found.next().getPath()
+        if name.getName().endswith(".parquet") and not name.getName().startswith((".", "_")):
+            out.append(name.toString())
+    return sorted(out)
 
 
 def load_new_files(spark: SparkSession, raw_root: str, bronze_path: str, checkpoint: str, *,
-                   max_files_per_trigger: int = 5000, timeout_s: float | None = None,
-                   archive_dir: str | None = None) -> dict:
-    """Load every raw file not loaded before; returns the progress counters.
-
-    ``availableNow`` honours ``max_files_per_trigger``: a large backlog (a rebuild) is split
-    into bounded micro-batches instead of one giant batch (a batch's file names, at most that many,
-    reach the driver). The file source lists ``raw_root`` on every trigger; with ``archive_dir``
-    processed files are moved there after their batch commits (``cleanSource=archive``), which keeps
-    that listing small on a large raw area. A rebuild then reads both folders.
+                   max_runs_per_trigger: int = 50, timeout_s: float | None = None, adopt: bool = True) -> dict:
+    """Load every committed raw run not loaded before; returns the progress counters.
+
+    ``availableNow`` honours ``max_runs_per_trigger``: a large backlog (a rebuild) is split into bounded
+    micro-batches instead of one giant batch (a batch's run stamps, at most that many, reach the
+    driver). With ``adopt`` complete runs without a commit row get theirs first.
     """
-    reader = (spark.readStream.format("binaryFile")
-              .schema("path string, modificationTime timestamp, length long, content binary")
-              .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", max_files_per_trigger))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    counts = {"batches": 0, "files": 0, "bad_files": 0}
+    if adopt:
+        commit_found(spark, raw_root)
+    counts = {"batches": 0, "runs": 0, "files": 0, "bad_files": 0}
+    fs, log = file_system(spark, commit_root(raw_root))
+    fs.mkdirs(log)
+    raw, bronze = raw_root.rstrip("/"), bronze_path.rstrip("/")
 
     def write(rows: DataFrame, number: int, part: int) -> None:
         (rows.hint("rebalance", *BRONZE_PARTITIONS).write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy(*BRONZE_PARTITIONS)
-         .parquet(f"{bronze_path.rstrip('/')}/load={number:09d}-{part:04d}"))
+         .parquet(f"{bronze}/load={number:09d}-{part:04d}"))
+
+    def typed(folders: list[str]) -> DataFrame:
+        return spark.read.schema(OBSERVATION_SCHEMA).option("recursiveFileLookup", "true").parquet(*folders)
+
+    def attempt(rows: DataFrame, number: int, part: int) -> bool:
+        try:
+            write(rows, number, part)
+            return True
+        except Exception as exc:  # noqa: BLE001 - drift or a broken file; anything else fails the batch
+            if not _file_error(exc):
+                raise
+            return False
 
     def load(batch: DataFrame, number: int) -> None:
-        files = sorted((r.path for r in batch.select("path").collect()), key=lambda p: (_by_run(p), p))
+        runs = sorted(r.run for r in batch.collect())
+        folders = [f"{raw}/run={r}" for r in runs]
+        files = {f: _files(spark, f) for f in folders}
+        folders = [f for f in folders if files[f]]
         counts["batches"] += 1
-        counts["files"] += len(files)
-        try:
-            return write(spark.read.schema(OBSERVATION_SCHEMA).parquet(*files), number, 0)
-        except Exception:  # noqa: BLE001 — drift or a broken file: read by the files' own schemas
-            pass
-        groups = [list(g) for _, g in groupby(files, key=_by_run)]
+        counts["runs"] += len(runs)
+        counts["files"] += sum(map(len, files.values()))
+        # a batch that is replayed may take other parts than before: none of the first attempt stays
+        here, root = file_system(spark, bronze)
+        for s in (here.listStatus(root) if here.exists(root) else []):
+            if s.getPath().getName().startswith(f"load={number:09d}-"):
+                here.delete(s.getPath(), True)
+        if not folders or attempt(typed(folders), number, 0):
+            return
         bad = []
-        for k in range(0, len(groups), RUNS_PER_WRITE):
+        for part, folder in enumerate(folders, 1):
+            if attempt(typed([folder]), number, part):
+                continue
+            good, lost = _sound(spark, files[folder])
+            bad += lost
             rows = None
-            for group in groups[k:k + RUNS_PER_WRITE]:
-                own, lost = _readable(spark, group)
-                bad += lost
-                if own is not None:
-                    rows = own if rows is None else rows.unionByName(own)
+            for group in good:
+                own = cast_projection(spark.read.option("mergeSchema", "true").parquet(*group))
+                rows = own if rows is None else rows.unionByName(own)
             if rows is not None:
-                write(rows, number, k // RUNS_PER_WRITE)
+                write(rows, number, part)
+            else:
+                _drop(spark, f"{bronze}/load={number:09d}-{part:04d}")
+        _drop(spark, f"{bronze}/load={number:09d}-0000")
         if bad:
             (spark.createDataFrame(bad, "file string, message string").coalesce(1).write.mode("overwrite")
-             .json(f"{bronze_path.rstrip('/')}/_bad_files/batch={number:09d}"))
+             .json(f"{bronze}/_bad_files/batch={number:09d}"))
         counts["bad_files"] += len(bad)
 
-    # only the names are read: the content column is pruned
-    q = (reader.load(raw_root).select(F.col("path")).writeStream.foreachBatch(load)
+    q = (spark.readStream.schema(COMMIT_SCHEMA).option("maxFilesPerTrigger", max_runs_per_trigger)
+         .json(commit_root(raw_root)).writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
@@ -103,3 +141,9 @@ def load_new_files(spark: SparkSession, raw_root: str, bronze_path: str, checkpo
     if q.exception() is not None:
         raise q.exception()
     return counts
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    """Remove what a failed attempt left."""
+    fs, path = file_system(spark, folder)
+    fs.delete(path, True)
