@@ -2,4 +2,4 @@
 
 Each query reads the driver tables (or views Spark derives from them) in full.
 """
-from tessera.queries import q_plans, q_functions, q_flatten, q_ledger, q_catalog, q_files, q_resample, q_robust  # noqa: F401
+from tessera.queries import q_plans, q_functions, q_flatten, q_ledger, q_catalog, q_files, q_resample, q_robust, q_cursor  # noqa: F401

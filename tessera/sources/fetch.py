@@ -106,6 +106,59 @@ def fetch_pages(plan: DataFrame, fetch, *, pass_no: int = 1, tasks: int | None =
     return _spread(items, tasks, *keys).mapInPandas(run, FETCH_SCHEMA)
 
 
+PAGE_CAP = 200              # pages of one listing that are asked for by default
+
+
+def follow_pages(plan: DataFrame, fetch_page, *, page_cap: int = PAGE_CAP, pass_no: int = 1, tasks: int | None = None,
+                 ingested_at: str | None = None, request: dict | None = None) -> DataFrame:
+    """Listings that come page by page: ``fetch_page(item, cursor, pass_no, **request) -> (page, next)``.
+
+    For every row of ``plan`` (``group_id``, ``ymd`` and whatever else the call needs; ``item`` is that row
+    as a dict) a task asks for the first page (cursor None), then follows ``next`` until there is none.
+    A cursor is followed once (listings may point back), and after ``page_cap`` pages no further call
+    is made. Pages are handed on one by one, so a task holds one page. What was found stays: a call that
+    fails ends its listing with an attempt record (``ok = false``, ``page_no`` = the page that is
+    missing), and one that the cap cut short with a record ``page_cap`` (``ok = true``). A listing without
+    any page is an empty payload. Same columns as :func:`fetch_pages`; land with :func:`land_fetched`.
+    """
+    import pandas as pd
+
+    params = dict(request or {})
+    names = [f.split()[0] for f in FETCH_SCHEMA.split(", ")]
+
+    def listing(item: dict):
+        g, d = item["group_id"], item["ymd"]
+        cursor, seen, n = None, set(), 0
+        while n < page_cap:
+            try:
+                page, following = fetch_page(item, cursor, pass_no, **params)
+                text = None if page is None else _landable(page, group_id=g, obs_date=d, page_no=n,
+                                                           ingested_at=ingested_at, request="full")
+            except Exception as exc:  # noqa: BLE001 - the listing ends here, with a record
+                msg = f"{type(exc).__name__}: {exc}"
+                yield g, d, None, n, None, False, "empty_payload: 0 rows returned" if n == 0 and _no_content(msg) else msg
+                return
+            if text is not None:
+                yield g, d, None, n, text, True, None
+                n += 1
+            if following is None or following == "" or following in seen:
+                break
+            seen.add(following)
+            cursor = following
+        else:
+            yield g, d, None, n, None, True, f"page_cap: stopped after {n} pages"
+        if n == 0:
+            yield g, d, None, None, None, False, "empty_payload: 0 rows returned"
+
+    def run(batches):
+        for pdf in batches:
+            for item in pdf.to_dict("records"):
+                for row in listing(item):
+                    yield pd.DataFrame([row], columns=names).astype({"chunk_no": "Int32", "page_no": "Int32"})
+
+    return _spread(plan, tasks, "group_id", "ymd").mapInPandas(run, FETCH_SCHEMA)
+
+
 def land_fetched(spark: SparkSession, path: str, build) -> str:
     """Write the fetched rows of ``build()`` once below ``path``, partitioned by outcome (``kind``:
     page or miss). A folder that is complete is not fetched again."""
@@ -131,7 +184,8 @@ def landed_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def landed_misses(spark: SparkSession, path: str) -> DataFrame:
-    """(group_id, obs_date, chunk_no, ok, message) of the work items without pages."""
+    """(group_id, obs_date, chunk_no, ok, message) of the work items without pages, and of listings that
+    ended early."""
     return _landed(spark, path, "miss").select("group_id", "obs_date", "chunk_no", "ok", "message")
 
 

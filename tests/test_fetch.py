@@ -67,3 +67,47 @@ def test_bad_page_text_is_a_failed_attempt_and_numbers_keep_their_text(spark):
     assert set(miss) == {"A", "C"} and miss["A"].startswith("JSONDecodeError")
     values = sorted((r.value or "") for r in flatten_pages(landed_pages(spark, path)).collect())
     assert values == ["", "1.0", "1.0", "1e-07", "2.5"]
+
+
+def _listing(item, cursor, pass_no, **request):
+    """Fixture listings: A loops, B fails on its third page, C has 201 pages, D is empty, E 204s, F's first call fails."""
+    g, k = item["group_id"], int(cursor or 0)
+    page = {"instruments": [{"instrument_name": f"{g}{k}", "attributes": [
+        {"attribute_id": "S", "time_series": [[item["ymd"], item["mark"]]]}]}]}
+    if g == "A":
+        return page, str((k + 1) % 3)                      # 0, 1, 2, then back to the first
+    if g == "B":
+        if k == 2:
+            raise ConnectionError("connection reset by peer")
+        return page, k + 1
+    if g == "C":
+        assert k < 200, "page 201 was asked for"
+        return page, k + 1 if k < 200 else None
+    if g == "D":
+        return None, None
+    if g == "E":
+        raise RuntimeError("HTTP 204 No Content")
+    if g == "F":
+        return "no json", None
+    return page, "" if k == 1 else 1                        # G: two pages
+
+
+def test_listings_are_followed_capped_and_keep_what_they_found(spark):
+    from tessera.sources.fetch import follow_pages
+    plan = spark.createDataFrame([(g, "20240102", "7") for g in "ABCDEFG"], "group_id string, ymd string, mark string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(*a, **k):
+        calls.add(1)
+        return _listing(*a, **k)
+
+    path = land_fetched(spark, scratch_dir(spark, "t-follow"), lambda: follow_pages(plan, counted))
+    # A asks for its first page once more (its cursor is new), C makes exactly 200 calls
+    assert calls.value == 4 + 3 + 200 + 1 + 1 + 1 + 2
+    pages = {r["group_id"]: r["count"] for r in landed_pages(spark, path).groupBy("group_id").count().collect()}
+    assert pages == {"A": 4, "B": 2, "C": 200, "G": 2}
+    ended = {r.group_id: (r.ok, r.message.split(":")[0]) for r in landed_misses(spark, path).collect()}
+    assert ended == {"B": (False, "ConnectionError"), "C": (True, "page_cap"), "D": (False, "empty_payload"),
+                     "E": (False, "empty_payload"), "F": (False, "JSONDecodeError")}
+    rows = flatten_pages(landed_pages(spark, path)).filter("group_id = 'B'")
+    assert sorted((r.instrument, r.value) for r in rows.collect()) == [("B0", "7"), ("B1", "7")]
