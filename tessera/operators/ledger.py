@@ -70,11 +70,14 @@ def latest_by_key(df: DataFrame, keys, order_cols) -> DataFrame:
 RUN = "run"      # run stamp of a manifest row (with the pass at its end)
 
 
-def current(manifest: DataFrame) -> DataFrame:
-    """Current manifest: newest ``ingested_at`` per (group, day), ties by run stamp, then path."""
+def current(manifest: DataFrame, keep_run: bool = False) -> DataFrame:
+    """Current manifest: newest ``ingested_at`` per (group, day), ties by run stamp, then path. The
+    current rows of current rows and newer ones are the current rows of all (see ``sinks.manifest``);
+    ``keep_run`` keeps the stamp for that."""
     run = F.col(RUN) if RUN in manifest.columns else F.lit(None).cast("string")
     rows = manifest.select(*MANIFEST_COLUMNS, run.alias("_run"))
-    return latest_by_key(rows, MANIFEST_KEY, [F.col("ingested_at"), F.col("_run"), F.col("volume_path")]).drop("_run")
+    best = latest_by_key(rows, MANIFEST_KEY, [F.col("ingested_at"), F.col("_run"), F.col("volume_path")])
+    return best.withColumnRenamed("_run", RUN) if keep_run else best.drop("_run")
 
 
 OBSERVATION_KEY = ["group_id", "instrument", "attribute", "date"]

@@ -32,7 +32,7 @@ from tessera.plans.extract import attribute_chunks, extract_group_days, light_ex
 from tessera.plans.process import process_pairs
 from tessera.schemas import MANIFEST_SCHEMA
 from tessera.session import write_once
-from tessera.sinks.manifest import read_manifest
+from tessera.sinks.manifest import FOLD_AFTER, fold_manifest, read_live_manifest
 from tessera.sources.fetch import (DAILY_REQUEST, fetch_instrument_pages, fetch_pages, land_fetched,
                                    landed_misses, landed_pages)
 from tessera.streaming.load import load_new_files
@@ -55,7 +55,7 @@ def _manifest_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """The manifest; only a folder that does not exist yet means "nothing ingested" (other
     errors surface, answering D13)."""
     try:
-        return read_manifest(spark, path)
+        return read_live_manifest(spark, path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise
@@ -150,6 +150,8 @@ def run_pairs(spark: SparkSession, plan: DataFrame, fetch, *, root: str, run_ts:
                    .select("group_id", "obs_date", "ymd")
     if load and not dry_run and log.filter("ok").limit(1).count() > 0:
         load_new_files(spark, p["raw"], p["bronze"], p["checkpoint"])
+    if not dry_run:
+        fold_manifest(spark, p["manifest"], min_runs=FOLD_AFTER)
     return run_report(spark, plan, log, run_ts=run_ts, dry_run=dry_run, where=p)
 
 

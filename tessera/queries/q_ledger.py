@@ -163,3 +163,14 @@ def upsert_q(spark, sf_dir):
     append_manifest(A.manifest(spark, sf_dir), path)
     append_manifest(_new_manifest_rows(spark, sf_dir), path)
     return read_current_manifest(spark, path).select("group_id", "obs_date", "row_count", "status", "volume_path")
+
+
+@query("k4_folded_manifest", _K4_SQL)
+def folded_q(spark, sf_dir):
+    """The same upsert through a snapshot: the first run is folded, the second is the tail."""
+    from tessera.sinks.manifest import append_manifest, fold_manifest, read_current_manifest
+    path = scratch_dir(spark, "manifest")
+    append_manifest(A.manifest(spark, sf_dir), path, "R1")
+    fold_manifest(spark, path)
+    append_manifest(_new_manifest_rows(spark, sf_dir), path, "R2")
+    return read_current_manifest(spark, path).select("group_id", "obs_date", "row_count", "status", "volume_path")
