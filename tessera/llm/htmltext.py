@@ -12,7 +12,10 @@ content root. The smallest density on the path from it to ``body`` is the thresh
 root, link-dominated containers below the threshold are left out. Elements that are no article
 text by their kind (scripts, forms, navigation, ...) or by what their class, id or role says
 (advert, comments, sidebar, ...) are cut before anything is measured. A class, id or role alone
-does not cut what looks like the article's wrapper (``_settle``): the density decides. If the root lies inside an
+does not cut what looks like the article's wrapper (``_settle``): the density decides. Inside an
+article only whole names such as ``comments`` or ``ad`` cut, and an article in an article goes when it
+has no heading (a reader's comment). Attributes are parsed: values are never searched for names. Reading
+a page takes linear time, unclosed tags and quotes included (such a tag is text). If the root lies inside an
 ``article`` or ``main`` element, or holds exactly one that has most of its text, that element is
 taken, so short paragraphs and the heading stay.
 """
@@ -25,10 +28,10 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
-_HINT_ATTR = re.compile(r"""\b(class|id|role|aria-label|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+_MARK = re.compile(r"<(?:(/?)([A-Za-z][^\s/>]*)|!--|!\[CDATA\[|[!?])")
+_STEP = re.compile(r">|=\s*[\"']")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?|["'][^"']*["']?""")
+_NAMES = frozenset("class id role aria-label hidden aria-hidden style".split())
 
 RAW = frozenset("script style textarea title xmp iframe noembed noframes template svg math".split())
 CUT = frozenset("head nav footer aside form script style noscript template svg math iframe object embed "
@@ -55,6 +58,14 @@ _HINT = re.compile(
 _LAYOUT = re.compile(r"(?:^|[_-])(?:has|with|without|no|layout)[_-]", re.I)
 
 
+# Inside an article only these, as whole names, mark something else; an id only on a container.
+_STRONG = re.compile(
+    r"(?:ads?(?:[-_]\w+)*|advert\w*|adsense|sponsor\w*|promo\w*|comments?(?:[-_]\w+)*|disqus\w*|shar(?:e|ing)(?:[-_]\w+)*|social-share|"
+    r"related(?:[-_]\w+)*|recommend\w*|newsletter|subscri\w+|cookies?(?:[-_]\w+)*|consent|popup|modal|overlay|notice|alert|"
+    r"paywall|widget|sidebar|side-bar|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|footer)", re.I)
+_STRONG_ID = re.compile(r"(?:ads?(?:[-_]\w+)*|advert\w*|comments?(?:[-_]\w+)*|disqus\w*|shar(?:e|ing)(?:[-_]\w+)*)", re.I)
+
+
 class _Node:
     __slots__ = ("tag", "parent", "parts", "cut", "hinted", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
@@ -71,13 +82,18 @@ def _is_cut(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool
     if not attributes or tag in ("html", "body", "article", "main"):
         return False, False
     hinted = False
-    for name, a, b, c in _HINT_ATTR.findall(attributes):
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
+        if name not in _NAMES:
+            continue
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True, False
         if name == "style":
             if re.search(r"display\s*:\s*none", value, re.I):
                 return True, False
+        elif inside_article:
+            mark = _STRONG_ID if name == "id" else _STRONG
+            hinted = hinted or (name != "id" or tag in CONTAINER) and any(mark.fullmatch(w) for w in value.split())
         elif value and _HINT.search(value := value.replace(".", " ")):
             hinted = hinted or bool(_HINT.search(" ".join(w for w in value.split() if not _LAYOUT.search(w))))
     return False, hinted
@@ -127,26 +143,56 @@ def parse(page: str) -> _Node:
         nonlocal articles
         for node in open_[depth:]:
             articles -= node.tag in ("article", "main")
+            count[node.tag] -= 1
         del open_[depth:]
 
+    last_end = page.rfind(">")
+    quoted = True                                           # until a quote is found that nothing closes
+    count: dict[str, int] = {}                              # open elements by tag
+    nested: list[_Node] = []                                # articles in an article
+
+    def tag_end(start: int) -> int:
+        """Where the tag ends whose name ends at ``start``: the first ``>`` outside quoted values."""
+        nonlocal quoted
+        place = start
+        while quoted:
+            step = _STEP.search(page, place)
+            if step and step[0] == ">":
+                return step.start()
+            close = page.find(step[0][-1], step.end()) if step else -1
+            if close < 0:
+                quoted = False
+            place = close + 1
+        return page.find(">", start)
+
     while True:
-        m = _TOKEN.search(page, at)
+        m = _MARK.search(page, at)
         end = m.start() if m else len(page)
         if end > at:
             open_[-1].parts.append(page[at:end])
         if not m:
+            for node in nested:                             # a comment on the article around it
+                if not _has_heading(node):
+                    node.cut = True
             if hints:
                 _settle(root)
             return root
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
-            if m[0].startswith("<![CDATA["):
-                open_[-1].parts.append(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+        if not m[2]:                                        # a comment, CDATA or a declaration
+            mark = {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0], ">")
+            end = page.find(mark, m.end())
+            if m[0] == "<![CDATA[":
+                open_[-1].parts.append(page[m.end():end if end >= 0 else len(page)].replace("&", "&amp;"))
+            at = end + len(mark) if end >= 0 else len(page)
+            continue
+        end = tag_end(m.end()) if m.end() <= last_end else -1
+        if end < 0:                                         # never ends: text
+            open_[-1].parts.append(m[0])
+            at = m.end()
             continue
-        tag, attributes = name.lower(), m[3] or m[6] or ""
-        if m[1] or m[4]:                                    # an end tag
-            limit = len(open_) - 1
+        at = end + 1
+        tag, attributes = m[2].lower(), page[m.end():end]
+        if m[1]:                                            # an end tag
+            limit = len(open_) - 1 if count.get(tag) else 0
             while limit > 0 and open_[limit].tag != tag:
                 if tag not in BLOCK and open_[limit].tag in BLOCK:
                     limit = 0
@@ -157,7 +203,7 @@ def parse(page: str) -> _Node:
             elif tag == "p":
                 open_[-1].parts.append(_Node("p", open_[-1], False))
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in open_):
+        if tag in ("html", "body") and count.get(tag):
             continue
         if tag == "body":                                   # ends an unclosed head
             for depth, node in enumerate(open_):
@@ -192,10 +238,23 @@ def parse(page: str) -> _Node:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
             continue
+        if tag == "article" and count.get("article"):
+            nested.append(node)
         open_.append(node)
+        count[tag] = count.get(tag, 0) + 1
         articles += tag in ("article", "main")
 
 
+def _has_heading(node: _Node) -> bool:
+    stack = [node]
+    while stack:
+        node = stack.pop()
+        if node.tag in ("h1", "h2", "h3", "hgroup"):
+            return True
+        stack.extend(p for p in node.parts if not isinstance(p, str) and not p.cut and p.tag != "article")
+    return False
+
+
 def _clean(text: str) -> str:
     return " ".join(entities.unescape(text).split())
 
@@ -321,7 +380,10 @@ def _blocks(root: _Node, threshold: float) -> list[str]:
 
 def extract(pages: DataFrame, html: str = "html", out: tuple[str, str] = ("text", "n_chars"),
             keep: tuple[str, ...] | None = None) -> DataFrame:
-    """Add the main text and its length in code points to every row (with the columns ``keep``)."""
+    """Add the main text and its length in code points to every row (with the columns ``keep``).
+
+    A null or empty page has the empty text; repeated rows are rows of their own; an empty table gives none.
+    Columns of ``pages`` named like the new ones are replaced."""
     keep = [c for c in keep or pages.columns if c not in out]
     schema = T.StructType([*pages.select(*keep).schema.fields, T.StructField(out[0], T.StringType()),
                            T.StructField(out[1], T.LongType())])

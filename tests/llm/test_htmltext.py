@@ -89,3 +89,32 @@ def test_dataframe(spark):
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got.collect()) == [
         (0, "", 0), (1, LONG, len(LONG)), (1, LONG, len(LONG)), (2, "", 0), (3, "é日", 2)]
     assert htmltext.extract(df.where(F.lit(False))).count() == 0
+
+
+SENTENCE = "A sentence of the article that is long enough to count as its text, with several words in it. " * 3
+
+
+@pytest.mark.parametrize("tag", [
+    '<p title="The hidden cost">{}</p>', '<p data-hidden="false">{}</p>', '<p data-id="share-1">{}</p>',
+    '<p><a href="/x?id=menu">{}</a></p>', '<h2 id="legal">{}</h2>', '<section id="social">{}</section>',
+    '<p id="search-results">{}</p>', "<p data-x='class=\"ad\"'>{}</p>", '<p title="a > b, style=display:none">{}</p>'])
+def test_words_inside_attribute_values_cut_nothing(tag):
+    page = f"<html><body><article><h1>Head</h1><p>{SENTENCE}</p>{tag.format('kept words')}<p>{SENTENCE}</p></article></body></html>"
+    assert "kept words" in htmltext.main_text(page).split("\n")
+
+
+def test_comments_and_adverts_inside_the_article_go():
+    page = (f"<body><article><h1>Head</h1><p>{SENTENCE}</p><div class='ad'>buy</div><div id=comments><p>first!</p></div>"
+            f"<p>{SENTENCE}</p><article class=x><p>a reader's words</p></article><article><h2>Part</h2><p>own part</p></article></article>")
+    assert htmltext.main_text(page).split("\n") == ["Head", SENTENCE.strip(), SENTENCE.strip(), "Part", "own part"]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a x=\"> ", "<a x='> <b y=\"", '<a x=">" ', "</p ", "<!-", "<div>", "<b></i>", "<p><i>"])
+def test_hostile_markup_takes_linear_time(unit):
+    import time
+    spent = []
+    for size in (60_000, 240_000):
+        start = time.process_time()
+        htmltext.main_text(unit * (size // len(unit)))
+        spent.append(time.process_time() - start)
+    assert spent[1] < 10 * max(spent[0], 0.2)
