@@ -7,14 +7,15 @@ union. Documents with equal sets (128-bit hash) are one *node*.
    with one key and about one size form a group: near copies meet, a document like no other is alone.
    A group of more than ``MEMBERS`` nodes or ``TOKENS`` tokens is dealt into several.
 2. Matrix. Tokens have one global order (those that many nodes keep come last). Of each set the first
-   15 % are stored; a group's row entry is the union of its members': token, the most tokens of a member
-   that follow it (itself included), smallest and largest set.
+   15 % count, and of these those that other sets may have too; a group's entries are the union of its
+   members': token, the most tokens of a member that follow it (itself included), the smallest set.
 3. Bound. Two sets at the limit share a first token, and all that they share follows it in both. So two
    groups can only hold a link if they have a common entry with min(following) * 185 >= 85 * (smallest +
-   smallest) in sizes that can link; the smaller set's entry lies in its first 8 %. Other pairs of groups
-   are never opened. No pair at the limit is lost: the bound holds for its own first common token.
-4. Open. The full sets of a qualifying pair of groups meet in one task (bounded by the group limits). A
-   member takes part if its overlap with the other group's whole token union allows a link; the rest are
+   smallest); the smaller set's entry lies in its first 8 %. The same holds for two members of one group.
+   Other pairs of groups are never opened. No pair at the limit is lost: the bound holds for its own first
+   common token.
+4. Open. The full sets of a qualifying pair of groups - of the members with a qualifying entry - meet in
+   one task (bounded by the group limits). A member takes part if its overlap with the other group's whole token union allows a link; the rest are
    compared exactly through an inverted index. Spanning links leave the task.
 5. ``components`` of the links.
 
@@ -23,6 +24,8 @@ of groups only decide how much is opened, never what is linked. Tokens are 64-bi
 """
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -107,50 +110,59 @@ def prefixes(docs: DataFrame, text: str, frequent) -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInArrow(rows, "hi long, lo long, prefix binary")
 
 
-def matrix(members: DataFrame) -> DataFrame:
-    """(token, group, rest, least, most) of ``members(group, n, prefix)``: each group's token union, with
-    the most tokens of a member from the token on, and the smallest and largest set that holds it.
+def shared_tokens(first: DataFrame) -> DataFrame:
+    """(token, group, node, n, rest) of the tokens of ``first(group, node, n, prefix)`` that several nodes
+    may hold; ``rest``: how many of the set's tokens follow, the token included.
+
+    Most tokens are in one prefix only. Those that are not are found on a half of the hash; a bitmap of
+    fixed size lets through all of them, and some others."""
+
+    def halves(batches):
+        for batch in batches:
+            token = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.int64)
+            yield pa.RecordBatch.from_pydict({"t": pa.array((token >> 32).astype(np.int32))})
 
-    A group's rows lie together but for batch borders, where it may get two entries for a token."""
+    half = first.select("prefix").mapInArrow(halves, "t int").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    more = half.where(F.col("n") > 1).select(F.shiftleft(F.col("t").cast("long"), 32).alias("t"))
+    bits = first.sparkSession.sparkContext.broadcast(bitmap(more, "t"))
 
     def rows(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
             prefix = batch.column("prefix").to_pylist()
             size = np.array([len(p) // 8 for p in prefix], np.int64)
             token = np.frombuffer(b"".join(prefix), np.int64)
             row = np.repeat(np.arange(len(size)), size)
             n = batch.column("n").to_numpy()[row]
             rest = n - (np.arange(len(token)) - (np.cumsum(size) - size)[row])
-            group = batch.column("group").to_numpy()[row]
-            order = np.lexsort((token, group))
-            token, group, rest, n = token[order], group[order], rest[order], n[order]
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1])
-            at = np.flatnonzero(new)
+            keep = np.flatnonzero(passes(bits.value, token.view(np.uint64)))
             yield pa.RecordBatch.from_pydict({
-                "token": pa.array(token[at]), "group": pa.array(group[at]),
-                "rest": pa.array(np.maximum.reduceat(rest, at).astype(np.int32)),
-                "least": pa.array(np.minimum.reduceat(n, at).astype(np.int32)),
-                "most": pa.array(np.maximum.reduceat(n, at).astype(np.int32))})
+                "token": pa.array(token[keep]), "group": pa.array(batch.column("group").to_numpy()[row[keep]]),
+                "node": pa.array(batch.column("node").to_numpy()[row[keep]]),
+                "n": pa.array(n[keep]), "rest": pa.array(rest[keep])})
 
-    together = members.select("group", "n", "prefix").repartition("group").sortWithinPartitions("group")
-    return together.mapInArrow(rows, "token long, group long, rest int, least int, most int")
+    return first.select("group", "node", "n", "prefix").mapInArrow(
+        rows, "token long, group long, node long, n long, rest long")
+
+
+def matrix(tokens: DataFrame) -> DataFrame:
+    """(token, group, rest, least, members) of ``shared_tokens``: each group's token union, with the most
+    tokens of a member from the token on, the smallest set and the number of members that hold it."""
+    return tokens.groupBy("token", "group").agg(
+        F.max("rest").alias("rest"), F.min("n").alias("least"), F.count(F.lit(1)).alias("members"))
 
 
 def qualifying(entries: DataFrame) -> DataFrame:
-    """(g, h): pairs of different groups whose common entries allow a link, g < h."""
+    """(g, h, token): pairs of groups with a common entry that allows a link, g <= h (g = h: inside one)."""
     both = 100 + SIMILAR
     # the smaller set's first common token leaves it room for the whole overlap of two sets of its size
-    short = entries.where(F.col("rest").cast("long") * both >= 2 * SIMILAR * F.col("least").cast("long")).select(
-        "token", F.col("group").alias("g"), F.col("rest").alias("r"), F.col("least").alias("l"), F.col("most").alias("m"))
-    able = ((F.col("g") != F.col("group"))
-            & (F.least("r", "rest").cast("long") * both >= SIMILAR * (F.col("l").cast("long") + F.col("least")))
-            & (SIMILAR * F.col("l").cast("long") <= 100 * F.col("most").cast("long"))
-            & (SIMILAR * F.col("least").cast("long") <= 100 * F.col("m").cast("long")))
-    return (short.join(entries, "token").where(able)
-            .select(F.least("g", "group").alias("g"), F.greatest("g", "group").alias("h")).distinct())
+    short = entries.where(F.col("rest") * both >= 2 * SIMILAR * F.col("least"))
+    own = short.where("members > 1").select(F.col("group").alias("g"), F.col("group").alias("h"), "token")
+    able = (F.col("g") != F.col("group")) & (
+        F.least("r", "rest") * both >= SIMILAR * (F.col("l") + F.col("least")))
+    short = short.select("token", F.col("group").alias("g"), F.col("rest").alias("r"), F.col("least").alias("l"))
+    pairs = (short.join(entries, "token").where(able)
+             .select(F.least("g", "group").alias("g"), F.greatest("g", "group").alias("h"), "token"))
+    return pairs.unionByName(own).distinct()
 
 
 def opened_links(own: list[np.ndarray], other: list[np.ndarray] | None) -> list[tuple[int, int]]:
@@ -205,11 +217,11 @@ def opened_links(own: list[np.ndarray], other: list[np.ndarray] | None) -> list[
     return out
 
 
-def opened(docs: DataFrame, text: str, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b): spanning links of the nodes of every pair of groups in ``pairs(g, h)`` (g = h: inside one)."""
+def opened(docs: DataFrame, text: str, members: DataFrame, places: DataFrame) -> DataFrame:
+    """(a, b): spanning links of the members that ``places(node, g, h, first)`` opens for each pair of groups
+    (g = h: inside one; ``first``: the member is in g)."""
     spark = docs.sparkSession
-    wanted = pairs.select(F.col("g").alias("group")).union(pairs.select("h")).distinct()
-    need = written(members.join(wanted, "group", "left_semi"), "opened-members")
+    need = written(members.join(places.select("node").distinct(), "node", "left_semi"), "opened-members")
     ties = spark.sparkContext.broadcast(bitmap(need, "tie"))           # fixed size
     texts = docs.select(F.xxhash64(text).alias("tie"), F.col(text).alias("text")).where(F.col(text).isNotNull())
 
@@ -225,9 +237,9 @@ def opened(docs: DataFrame, text: str, members: DataFrame, pairs: DataFrame) ->
                 "tokens": pa.array([s.tobytes() for s in some.values()], pa.binary())})
 
     sets = texts.mapInArrow(rows, "hi long, lo long, tokens binary").dropDuplicates(["hi", "lo"])
-    held = sets.join(need.select("hi", "lo", "node", "group"), ["hi", "lo"]).select("node", "group", "tokens")
-    sides = pairs.select("g", "h", F.explode(F.array_distinct(F.array("g", "h"))).alias("group"))
-    dealt = held.join(sides, "group").select("g", "h", (F.col("group") == F.col("g")).alias("first"), "node", "tokens")
+    # the small rows meet first: a set is moved once to its name and once to its pairs
+    places = places.join(need.select("hi", "lo", "node"), "node")
+    dealt = sets.join(places, ["hi", "lo"]).select("g", "h", "first", "node", "tokens")
 
     def linked(table: pa.Table) -> pa.Table:
         first = table.column("first").to_numpy()
@@ -244,6 +256,12 @@ def opened(docs: DataFrame, text: str, members: DataFrame, pairs: DataFrame) ->
     return dealt.groupBy("g", "h").applyInArrow(linked, "a long, b long")
 
 
+def _release(spark) -> None:
+    """Let Spark drop the shuffle files of finished stages now: it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
@@ -262,10 +280,17 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     frequent = spark.sparkContext.broadcast(bitmap(kept.where(F.col("nodes") >= SHARED), "token"))     # fixed size
     members = written(grouped(nodes, kept), "tgm-groups")
     first = prefixes(docs, text, frequent).groupBy("hi", "lo").agg(F.first("prefix").alias("prefix"))
-    entries = written(matrix(first.join(members, ["hi", "lo"])), "tgm-matrix")
-    alone = members.groupBy("group").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    pairs = written(qualifying(entries).unionByName(alone.select(F.col("group").alias("g"), F.col("group").alias("h"))), "tgm-pairs")
-    found = components(opened(docs, text, members, pairs))
+    first = written(first.join(members.drop("tie"), ["hi", "lo"]).drop("hi", "lo"), "tgm-prefixes")
+    tokens = written(shared_tokens(first), "tgm-tokens")
+    found = written(qualifying(written(matrix(tokens), "tgm-matrix")), "tgm-qualifying")
+    # a member can only be in a link of a qualifying pair of which it holds an entry
+    held = found.select("token", "g", "h", F.explode(F.array_distinct(F.array("g", "h"))).alias("group"))
+    places = written(tokens.join(held, ["token", "group"]).select(
+        "node", "g", "h", (F.col("group") == F.col("g")).alias("first")).distinct(), "tgm-places")
+    _release(spark)
+    links = written(opened(docs, text, members, places), "tgm-links")
+    _release(spark)
+    found = components(links)
     home = nodes.join(found, "node", "left").select("hi", "lo", "least_id", F.coalesce("component", "node").alias("component"))
     ids = home.groupBy("component").agg(F.min("least_id").alias("component_id"))
     home = home.join(ids, "component").select("hi", "lo", "component_id")

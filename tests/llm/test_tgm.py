@@ -87,8 +87,8 @@ def test_unlike_groups_are_not_opened(spark):
     for k, (_, t) in enumerate(rows):
         s = sorted(tokens(t), key=lambda x: (x[0][0] == "h" and x[3][0] == "h", hash(x)))
         count = len(s) - -(-85 * len(s) // 100) + 1
-        entries += [(hash(x), k, len(s) - p, len(s), len(s)) for p, x in enumerate(s[:count])]
-    frame = spark.createDataFrame(entries, "token long, group long, rest int, least int, most int")
+        entries += [(hash(x), k, len(s) - p, len(s), 1) for p, x in enumerate(s[:count])]
+    frame = spark.createDataFrame(entries, "token long, group long, rest long, least long, members long")
     assert tgm.qualifying(frame).count() == 0
 
 
