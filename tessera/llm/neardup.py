@@ -4,13 +4,17 @@ Documents are sets of distinct 5-word shingles; two are linked when 100 * inters
 
 1. Sets. Documents with equal sets are one *node* from here on (a hash of the set), so a group of
    exact copies of any size costs one row. A node gets ``TREES * DEPTH`` min-hashes.
-2. Forest. Each tree orders all nodes by its own min-hashes. Nodes that share the first ``LEAST``
-   values are a region, and every region is compared whole, whatever its size: all pairs by a 2-bit
-   sketch of 128 min-hashes in memory; only a spanning star of the *loose* links (estimate at or
-   above ``LOOSE``) leaves the task. A region of more than ``REGION`` nodes is dealt into blocks,
-   one task per pair of blocks. (Going deeper in the tree instead would lose pairs.)
-   Two sets at similarity 0.75 share no region in any tree with probability (1 - 0.75 ** LEAST) **
-   TREES = 1.7e-5; the sketch misses one with about 1e-5.
+2. Forest. Each of ``TREES`` orders sorts all nodes by a signature of its own, ``DEPTH`` min-hashes. Neighbours
+   in an order have a longest common prefix; a run whose neighbours share ``LEAST`` values or more is a region.
+   A region of at most ``REGION`` nodes is compared whole: all pairs by a 2-bit sketch of 128 min-hashes, and
+   only a spanning star of the *loose* links (estimate at or above ``LOOSE``) leaves the task. In a larger region
+   the depth adapts: it is cut where the common prefix is shorter than one value more, and so on until the parts are
+   small enough. A part that is too large at full depth is dealt into blocks, one task per pair of blocks.
+   A greater depth finds fewer pairs, so all nodes of regions that were cut stand in ``DEEP_TREES`` more orders
+   (other choices among the node's min-hashes), whose regions share ``DEEP`` values and are compared whole.
+   Two sets at similarity 0.75 share no region in any order with probability (1 - 0.75 ** LEAST) ** TREES = 1.7e-5
+   at the first depth and (1 - 0.75 ** DEEP) ** DEEP_TREES = 3e-8 at the second (about 1e-5 as its orders share
+   min-hashes); the sketch misses one with about 1e-5.
 3. Loose groups: connected components of the loose links (``components``).
 4. Links. The full sets of the members of loose groups are brought together by group and all pairs
    of a group are confirmed exactly, through an inverted index in the task. A group whose sets hold
@@ -31,13 +35,17 @@ from tessera.llm.decontam import bitmap, passes
 SHINGLE = 5
 SIMILAR = 75                # per cent of the union
 TREES, DEPTH, LEAST = 20, 8, 3
+DEEP_TREES, DEEP = 64, 5    # orders and depth for the nodes of large regions
 SKETCH = 128                # min-hashes in the sketch, two bits each
 LOOSE = 0.55
-REGION = 2048               # nodes compared in one go; larger regions are dealt into blocks of half of it
+REGION = 2048               # nodes compared in one go; larger regions are cut or dealt into blocks of half of it
 BLOCK = 1 << 20             # shingles in a block at most (a single larger set is a block)
 SPREAD = 8192
 MULTIPLIERS = np.random.default_rng(75).integers(1, 2 ** 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LANES = np.uint64(0x5555555555555555)
+# min-hashes of every order, first to last
+FIRST_ORDERS = np.arange(TREES * DEPTH).reshape(TREES, DEPTH)
+DEEP_ORDERS = np.array([np.random.default_rng([76, t]).permutation(TREES * DEPTH)[:DEEP] for t in range(DEEP_TREES)])
 NEED = int(np.ceil(SKETCH * (LOOSE + (1 - LOOSE) / 4)))
 
 
@@ -78,29 +86,40 @@ def documents_and_nodes(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
             .mapInArrow(rows, "doc_id long, tie long, n_shingles long, node long, sig binary"))
 
 
-def forest(nodes: DataFrame, only=None) -> DataFrame:
-    """(region, node, n, sketch): every node once per tree. ``region`` is a hash of the tree and the
-    first LEAST min-hashes; with ``only``, the regions that pass this bitmap."""
+def region_of(keys: np.ndarray) -> np.ndarray:
+    """Hash of (order, first values) rows."""
+    h = np.zeros(len(keys), np.uint64)
+    for c in range(keys.shape[1]):
+        h = tv.mix((h ^ keys[:, c].astype(np.uint64)) * tv._STEP + np.uint64(1))
+    return h
+
+
+def forest(nodes: DataFrame, orders: np.ndarray, depth: int, only=None) -> DataFrame:
+    """(region, key, node, n, sketch): every node once per order. ``key`` is the number of the order and the
+    node's signature in it (big-endian, so it sorts as the values do), ``region`` a hash of the order and the first
+    ``depth`` values; with ``only``, the regions that pass this bitmap."""
     def rows(batches):
         lanes = np.arange(SKETCH // 4, dtype=np.uint64)
         for batch in batches:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
                 m = part.num_rows
-                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), ">u4").reshape(m, TREES, DEPTH).astype(np.uint64)
-                low = sig.reshape(m, TREES * DEPTH)[:, :SKETCH] & np.uint64(3)
+                sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), ">u4").reshape(m, TREES * DEPTH)
+                low = sig[:, :SKETCH].astype(np.uint64) & np.uint64(3)
                 sketch = (low.reshape(m, 4, SKETCH // 4) << (2 * lanes)).sum(2, dtype=np.uint64)
                 node, n = part.column("node"), part.column("n")
                 sketches = pa.array([s.tobytes() for s in sketch], pa.binary())
-                for t in range(TREES):
-                    region = tv.mix(np.full(m, t + 1, np.uint64))
-                    for d in range(LEAST):
-                        region = tv.mix((region ^ sig[:, t, d]) * tv._STEP)
+                for t, places in enumerate(orders):
+                    key = np.empty((m, 1 + len(places)), ">u4")
+                    key[:, 0] = t
+                    key[:, 1:] = sig[:, places]
+                    region = region_of(key[:, :1 + depth])
                     out = pa.RecordBatch.from_pydict({
-                        "region": pa.array(region.view(np.int64), pa.int64()), "node": node, "n": n, "sketch": sketches})
+                        "region": pa.array(region.view(np.int64), pa.int64()),
+                        "key": pa.array([x.tobytes() for x in key], pa.binary()), "node": node, "n": n, "sketch": sketches})
                     yield out if only is None else out.filter(pa.array(passes(only.value, region)))
 
-    return nodes.mapInArrow(rows, "region long, node long, n long, sketch binary")
+    return nodes.mapInArrow(rows, "region long, key binary, node long, n long, sketch binary")
 
 
 def _loose(sketch: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -126,71 +145,154 @@ def _sketches(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), SKETCH // 32)
 
 
-def region_links(trees: DataFrame) -> DataFrame:
-    """(a, b, region, size): spanning links of nodes that look similar in a region of at most REGION
-    nodes, and a row with the size of every larger region (a and b are null)."""
-    # All of a region in one sorted run: regions are streamed, never gathered as a group.
-    sorted_ = trees.repartition("region").sortWithinPartitions("region", "node")
+class _Order:
+    """One task's part of the sorted orders, row by row: only the open region's rows are held, and of a region
+    that outgrows ``4 * REGION`` rows only its open part."""
+
+    def __init__(self, width: int, depth: int):
+        self.width, self.depth = width, depth           # values in a key; least common prefix of a region
+        self.held = None                                # keys, node, n, sketch
+        self.cut = (np.zeros(0), depth)                        # a region whose first part is done, and its depth now
+        self.skip, self.passed = None, 0                # a whole key with too many rows, and how many passed
+
+    def feed(self, now=None):
+        """(a, b, large regions, their sizes, nodes of cut regions) after these rows; None ends the order."""
+        self.a, self.b, self.large, self.deep = [], [], [], []
+        if now is not None:
+            self.held = now if self.held is None else [np.concatenate(p) for p in zip(self.held, now)]
+        if self.held is not None:
+            self._pass(now is None)
+            self._regions(now is None)
+        none = np.zeros(0, np.int64)
+        return (np.concatenate([none, *self.a]), np.concatenate([none, *self.b]), [r for r, _ in self.large],
+                [s for _, s in self.large], np.concatenate([none, *self.deep]))
+
+    def _drop(self, rows: int) -> None:
+        self.held = [p[rows:] for p in self.held]
+
+    def _pass(self, final: bool) -> None:
+        if self.skip is None:
+            return
+        other = np.flatnonzero((self.held[0] != self.skip).any(1))
+        count = int(other[0]) if len(other) else len(self.held[0])
+        self._mark(0, count)
+        self.passed += count
+        self._drop(count)
+        if len(self.held[0]) or final:
+            self.large.append((int(region_of(self.skip[None, :]).view(np.int64)[0]), self.passed))
+            self.skip = None
+
+    def _regions(self, final: bool) -> None:
+        keys = self.held[0]
+        m = len(keys)
+        if not m:
+            return
+        same = np.logical_and.accumulate(keys[1:] == keys[:-1], axis=1)
+        self.prefix = np.concatenate([[-1], same.sum(1) - 1])       # values shared with the row before; -1: other order
+        first = np.flatnonzero(self.prefix < self.depth)
+        first[0] = 0
+        size = np.diff(np.append(first, m))
+        if not final:
+            first, size, last = first[:-1], size[:-1], int(first[-1])
+        if len(first) and np.array_equal(keys[0, :1 + self.depth], self.cut[0]):
+            self._mark(0, int(size[0]))                 # the rest of a region that was cut before
+            self._split(0, int(size[0]), self.cut[1])
+            first, size = first[1:], size[1:]
+        self._pairs(first[size == 2])
+        for f, s in zip(first[size > 2].tolist(), size[size > 2].tolist()):
+            if s > REGION:
+                self._large(f, s)
+            else:
+                self._whole(f, s)
+        if final:
+            self.held = None
+        else:
+            if m - last > 4 * REGION:
+                last = self._outgrown(last, m)
+            self._drop(last)
+
+    def _large(self, f: int, s: int) -> None:
+        if self.depth < self.width:
+            self._mark(f, s)
+            self._split(f, s, self.depth + 1)
+        else:
+            self.large.append((int(region_of(self.held[0][f:f + 1]).view(np.int64)[0]), s))
+
+    def _outgrown(self, f: int, m: int) -> int:
+        """The open region has too many rows to hold: its closed parts are done; the row where the open one starts."""
+        name = self.held[0][f, :1 + self.depth].copy()
+        for depth in range(min(self.depth + 1, self.width), self.width + 1):
+            at = f + int(np.flatnonzero(self.prefix[f:m] < depth)[-1]) if (self.prefix[f:m] < depth).any() else f
+            if m - at <= 2 * REGION:
+                break
+        if at > f:
+            self._mark(f, at - f)
+            self._split(f, at - f, depth)
+        self.cut = (name, depth)
+        if m - at > 2 * REGION:                         # equal keys
+            self.skip, self.passed = self.held[0][at].copy(), m - at
+            self._mark(at, m - at)
+            return m
+        return at
+
+    def _mark(self, f: int, s: int) -> None:
+        if self.depth < self.width:
+            self.deep.append(self.held[1][f:f + s])
+
+    def _split(self, f: int, s: int, depth: int) -> None:
+        edges = np.concatenate([[f], f + 1 + np.flatnonzero(self.prefix[f + 1:f + s] < depth), [f + s]])
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if hi - lo > REGION:
+                if depth < self.width:
+                    self._split(lo, hi - lo, depth + 1)
+                else:
+                    self.large.append((int(region_of(self.held[0][lo:lo + 1]).view(np.int64)[0]), hi - lo))
+            elif hi - lo > 1:
+                self._whole(lo, hi - lo)
+
+    def _pairs(self, two: np.ndarray) -> None:
+        _, node, n, sketch = self.held
+        x = sketch[two] ^ sketch[two + 1]
+        agree = SKETCH - np.bitwise_count((x | (x >> np.uint64(1))) & _LANES).sum(1)
+        lo, hi = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
+        ok = two[(agree >= NEED) & (100 * lo >= SIMILAR * hi)]
+        self.a.append(node[ok])
+        self.b.append(node[ok + 1])
+
+    def _whole(self, f: int, s: int) -> None:
+        _, node, n, sketch = self.held
+        root = _loose(sketch[f:f + s], n[f:f + s])
+        moved = np.flatnonzero(root != np.arange(s))
+        self.a.append(node[f:f + s][moved])
+        self.b.append(node[f:f + s][root[moved]])
+
+
+def region_links(trees: DataFrame, width: int, depth: int) -> DataFrame:
+    """(a, b, region, size, deep) of ``forest`` orders of ``width`` values: spanning links (a, b) of nodes that look
+    similar in a region; the hash and size of every whole key that more than REGION nodes share; the nodes of
+    regions that were cut deeper than ``depth``. The other columns of a row are null."""
+    # a region lies in one sorted run: orders are streamed, a region is never gathered as a group
+    sorted_ = trees.repartition("region").sortWithinPartitions("key", "node")
 
     def rows(batches):
-        held, large, passed = None, None, 0             # rows of the open region, or its key and size
-
-        def links(region, node, n, sketch, final):
-            """Links of the complete regions, the larger regions, and the row where the open one starts."""
-            nonlocal large, passed
-            edges = np.concatenate([[0], 1 + np.flatnonzero(region[1:] != region[:-1]), [len(node)]])
-            first, size, sizes = edges[:-1], np.diff(edges), []
-            if large is not None:
-                if len(node) and region[0] == large:
-                    passed += int(size[0])
-                    first, size = first[1:], size[1:]
-                if len(size) or final:                  # another region follows
-                    sizes.append((large, passed))
-                    large = None
-            rest = len(node)
-            if not final and len(size):
-                if size[-1] > REGION:
-                    large, passed = int(region[-1]), int(size[-1])
-                else:
-                    rest = int(first[-1])
-                first, size = first[:-1], size[:-1]
-            sizes += [(int(region[f]), int(s)) for f, s in zip(first[size > REGION], size[size > REGION])]
-            two = first[size == 2]
-            x = sketch[two] ^ sketch[two + 1]
-            agree = SKETCH - np.bitwise_count((x | (x >> np.uint64(1))) & _LANES).sum(1)
-            lo, hi = np.minimum(n[two], n[two + 1]), np.maximum(n[two], n[two + 1])
-            ok = two[(agree >= NEED) & (100 * lo >= SIMILAR * hi)]
-            a, b = [node[ok]], [node[ok + 1]]
-            whole = (size > 2) & (size <= REGION)
-            for f, s in zip(first[whole].tolist(), size[whole].tolist()):
-                root = _loose(sketch[f:f + s], n[f:f + s])
-                moved = np.flatnonzero(root != np.arange(s))
-                a.append(node[f:f + s][moved])
-                b.append(node[f:f + s][root[moved]])
-            return np.concatenate(a), np.concatenate(b), sizes, rest
-
-        def out(a, b, sizes):
-            none = [None] * len(a)
+        order = _Order(width, depth)
+
+        def out(a, b, regions, sizes, deep):
+            counts = [len(a), len(regions), len(deep)]
+            fill = lambda k, values: pa.array(
+                [None] * sum(counts[:k]) + list(values) + [None] * sum(counts[k + 1:]), pa.int64())
             return pa.RecordBatch.from_pydict({
-                "a": pa.array([*a.tolist(), *[None] * len(sizes)], pa.int64()),
-                "b": pa.array([*b.tolist(), *[None] * len(sizes)], pa.int64()),
-                "region": pa.array(none + [r for r, _ in sizes], pa.int64()),
-                "size": pa.array(none + [s for _, s in sizes], pa.int64())})
+                "a": fill(0, a.tolist()), "b": fill(0, b.tolist()), "region": fill(1, regions), "size": fill(1, sizes),
+                "deep": fill(2, deep.tolist())})
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = [batch.column("region").to_numpy(), batch.column("node").to_numpy(), batch.column("n").to_numpy(),
-                   _sketches(batch.column("sketch"))]
-            held = now if held is None else [np.concatenate(p) for p in zip(held, now)]
-            a, b, sizes, rest = links(*held, final=False)
-            held = [p[rest:] for p in held]
-            yield out(a, b, sizes)
-        if held is not None:
-            a, b, sizes, _ = links(*held, final=True)
-            yield out(a, b, sizes)
+            if batch.num_rows:
+                keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(batch.num_rows, 1 + width)
+                yield out(*order.feed([keys, batch.column("node").to_numpy(), batch.column("n").to_numpy(),
+                                       _sketches(batch.column("sketch"))]))
+        yield out(*order.feed())
 
-    return sorted_.mapInArrow(rows, "a long, b long, region long, size long")
+    return sorted_.mapInArrow(rows, "a long, b long, region long, size long, deep long")
 
 
 def block_links(trees: DataFrame, large: DataFrame) -> DataFrame:
@@ -214,15 +316,25 @@ def block_links(trees: DataFrame, large: DataFrame) -> DataFrame:
     return member.groupBy("region", "i", "j").applyInArrow(linked, "a long, b long")
 
 
+def _order_links(nodes: DataFrame, orders: np.ndarray, depth: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """((a, b) of these orders, (node) of regions that were cut)."""
+    width = orders.shape[1]
+    found = written(region_links(forest(nodes, orders, depth), width, depth), name)
+    links = found.where("a is not null").select("a", "b")
+    large = found.where("region is not null").groupBy("region").agg(F.sum("size").alias("size"))
+    if not large.isEmpty():
+        only = nodes.sparkSession.sparkContext.broadcast(bitmap(large, "region"))      # fixed size
+        links = links.unionByName(block_links(forest(nodes, orders, width, only), large))
+    return links, found.where("deep is not null").select(F.col("deep").alias("node")).distinct()
+
+
 def loose_links(nodes: DataFrame) -> DataFrame:
-    """(a, b): spanning links of ``nodes(node, n, sig)`` that look similar in some region of some tree."""
-    found = written(region_links(forest(nodes)), "region-links")
-    links = found.where("region is null").select("a", "b")
-    large = found.where("region is not null").select("region", "size")
-    if large.isEmpty():
+    """(a, b): spanning links of ``nodes(node, n, sig)`` that look similar in some region of some order."""
+    links, deep = _order_links(nodes, FIRST_ORDERS, LEAST, "region-links")
+    if deep.isEmpty():
         return links
-    only = nodes.sparkSession.sparkContext.broadcast(bitmap(large, "region"))
-    return links.unionByName(block_links(forest(nodes, only), large))
+    again = written(nodes.join(deep, "node", "left_semi"), "deep-nodes")
+    return links.unionByName(_order_links(again, DEEP_ORDERS, DEEP, "deep-links")[0])
 
 
 def sets_of(texts: DataFrame, bits) -> DataFrame:
