@@ -52,24 +52,26 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], most: int, spread:
     known from a histogram). Ranks inside a (key, salt) group come from a window, the groups' first
     ranks from a running sum over their counts: both windows see about ``sqrt(most)`` rows a group.
     ``spread`` names a stored integer column that spreads equal rows; rows of a key are ranked by
-    salt, then by ``order``.
+    salt, then by ``order``. All columns stay; one called ``out`` is replaced. An empty table gives no rows.
     """
     from pyspark.sql import Window as W
     salts = max(1, int(most ** 0.5 + 0.999999))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    group = [*keys, "_salt"]
-    within = salted.withColumn("_in", F.row_number().over(
+    salt, inside, n, first = (fresh(df, c) for c in ("_salt", "_in", "_n", "_first"))
+    salted = df.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    group = [*keys, salt]
+    joined = [fresh(df, f"_k{i}") for i in range(len(group))]
+    within = salted.withColumn(inside, F.row_number().over(
         W.partitionBy(*group).orderBy(*order)).cast("long") - 1)
-    firsts = salted.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).select(
-        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(group)],
-        (F.coalesce(F.sum("_n").over(W.partitionBy(*keys).orderBy("_salt").rowsBetween(
-            W.unboundedPreceding, -1)), F.lit(0))).alias("_first"))
+    firsts = salted.groupBy(*group).agg(F.count(F.lit(1)).alias(n)).select(
+        *[F.col(c).alias(k) for c, k in zip(group, joined)],
+        (F.coalesce(F.sum(n).over(W.partitionBy(*keys).orderBy(salt).rowsBetween(
+            W.unboundedPreceding, -1)), F.lit(0))).alias(first))
     same = F.lit(True)
-    for i, c in enumerate(group):
-        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    for c, k in zip(group, joined):
+        same = same & F.col(c).eqNullSafe(F.col(k))
     return (within.join(firsts, same)
-            .withColumn(out, F.col("_first") + F.col("_in"))
-            .drop("_salt", "_in", "_first", *[f"_k{i}" for i in range(len(group))]))
+            .withColumn(out, F.col(first) + F.col(inside))
+            .drop(salt, inside, first, *joined))
 
 
 def fresh(df: DataFrame, base: str) -> str:

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm import textvec as tv
-from tessera.llm.common import written
+from tessera.llm.common import fresh, written
 
 GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -217,10 +217,13 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, text:
 
 def clean(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, text: str = "text",
           doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that hold a leak."""
-    from tessera.llm.common import fresh
+    """``docs`` without the documents that hold a leak.
+
+    Rows that repeat a leaking document's doc_id and text go with it; another text under that doc_id stays, as do
+    null and empty texts. An empty table of documents gives none, one of items leaves all.
+    """
+    tie, l_id, l_tie = (fresh(docs, c) for c in ("_tie", "_leak_id", "_leak_tie"))
     found = leaks(docs, items, min_score, text, doc_id).select(
-        F.col("doc_id").alias("_leak_id"), F.col("tie").alias("_leak_tie")).distinct()
-    tie = fresh(docs, "_tie")
+        F.col("doc_id").alias(l_id), F.col("tie").alias(l_tie)).distinct()
     return docs.withColumn(tie, F.xxhash64(text)).join(
-        found, F.col(doc_id).eqNullSafe(F.col("_leak_id")) & (F.col(tie) == F.col("_leak_tie")), "left_anti").drop(tie)
+        found, F.col(doc_id).eqNullSafe(F.col(l_id)) & (F.col(tie) == F.col(l_tie)), "left_anti").drop(tie)

@@ -68,12 +68,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     n_lines, n_removed, runs = names
     base = docs.drop(*[n for n in names if n in docs.columns])
+    tie, lines, solid, g_id, g_tie, g_ks = (
+        fresh(docs, c) for c in ("_tie", "_lines", "_solid", "_gone_id", "_gone_tie", "_gone_ks"))
     gone = removed_windows(window_occurrences(base, text, doc_id)).select(
-        F.col("doc_id").alias("_gone_id"), F.col("tie").alias("_gone_tie"), F.col("ks").alias("_gone_ks"))
-    tie, lines, solid = (fresh(base, c) for c in ("_tie", "_lines", "_solid"))
+        F.col("doc_id").alias(g_id), F.col("tie").alias(g_tie), F.col("ks").alias(g_ks))
     joined = base.withColumn(tie, F.xxhash64(text)).join(
-        gone, F.col(doc_id).eqNullSafe(F.col("_gone_id")) & (F.col(tie) == F.col("_gone_tie")), "left")
-    ks = F.col("_gone_ks")
+        gone, F.col(doc_id).eqNullSafe(F.col(g_id)) & (F.col(tie) == F.col(g_tie)), "left")
+    ks = F.col(g_ks)
     starts = F.filter(ks, lambda k, i: (i == 0) | (k > F.get(ks, i - 1) + WINDOW))
     ends = F.filter(ks, lambda k, i: (i == F.size(ks) - 1) | (F.get(ks, i + 1) > k + WINDOW))
     split = joined.withColumn(lines, _lines(F.col(text)))

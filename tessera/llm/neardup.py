@@ -458,10 +458,10 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     first = found.where("node is not null").groupBy("component_id").agg(
         F.min(F.struct(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).cast("int") * -1,
                        F.col("doc_id"), F.col("tie"))).alias("best"))
-    stay = first.select(F.col("best.doc_id").alias("_keep_id"), F.col("best.tie").alias("_keep_tie")).distinct()
-    tie = fresh(docs, "_tie")
+    tie, k_id, k_tie = (fresh(docs, c) for c in ("_tie", "_keep_id", "_keep_tie"))
+    stay = first.select(F.col("best.doc_id").alias(k_id), F.col("best.tie").alias(k_tie)).distinct()
     tied = docs.withColumn(tie, F.xxhash64(text))
     wordless = F.col(text).isNull() | ~F.col(text).rlike("[^ \\t-\\r]")
-    kept = tied.where(~wordless).join(stay, F.col(doc_id).cast("long").eqNullSafe(F.col("_keep_id"))
-                                      & (F.col(tie) == F.col("_keep_tie")), "left_semi")
+    kept = tied.where(~wordless).join(stay, F.col(doc_id).cast("long").eqNullSafe(F.col(k_id))
+                                      & (F.col(tie) == F.col(k_tie)), "left_semi")
     return kept.dropDuplicates([doc_id, tie]).drop(tie).unionByName(docs.where(wordless))

@@ -94,7 +94,7 @@ def shard(docs: DataFrame, key: str = "doc_id", shards: int = 40, vnodes: int =
     spark = docs.sparkSession
     points = ring(spark, shards, vnodes)
     owner = [s for _, s in points]
-    arc, spread = fresh(docs, "_arc"), fresh(docs, "_spread")
+    arc, spread, place = (fresh(docs, c) for c in ("_arc", "_spread", "_rank"))
     base = docs.drop("shard", "slot")
     stored = written(base.withColumn(arc, arc_of(F.xxhash64(F.col(key)), [p for p, _ in points]))
                      .withColumn(spread, F.monotonically_increasing_id()), "arcs")
@@ -102,11 +102,12 @@ def shard(docs: DataFrame, key: str = "doc_id", shards: int = 40, vnodes: int =
     found = {r[0]: r[1] for r in stored.groupBy(arc).count().collect()}
     counts = [found.get(i, 0) for i in range(len(points))]
     runs = plan_ring(counts, owner, quotas(sum(counts), shards, load))
-    names = ("_a", "_from", "_to", "shard", "_slot")
-    plan = rows(spark, [dict(zip(names, r)) for r in runs],
-                "_a int, _from long, _to long, shard int, _slot long")
-    placed = ranked(stored, [arc], list(order) or [spread], max(counts, default=0), spread, "_rank")
-    return (placed.join(F.broadcast(plan), (F.col(arc) == F.col("_a"))
-                        & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-            .withColumn("slot", F.col("_slot") + F.col("_rank") - F.col("_from"))
-            .drop(arc, spread, "_a", "_from", "_to", "_rank", "_slot"))
+    names = [*(fresh(docs, c) for c in ("_a", "_from", "_to", "_slot")), "shard"]
+    a, lo, hi, slot, _ = names
+    plan = rows(spark, [dict(zip(names, (r[0], r[1], r[2], r[4], r[3]))) for r in runs],
+                f"`{a}` int, `{lo}` long, `{hi}` long, `{slot}` long, shard int")
+    placed = ranked(stored, [arc], list(order) or [spread], max(counts, default=0), spread, place)
+    return (placed.join(F.broadcast(plan), (F.col(arc) == F.col(a))
+                        & (F.col(place) >= F.col(lo)) & (F.col(place) < F.col(hi)))
+            .withColumn("slot", F.col(slot) + F.col(place) - F.col(lo))
+            .drop(arc, spread, a, lo, hi, place, slot))
