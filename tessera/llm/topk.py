@@ -12,54 +12,81 @@ the vectors that may still be among its k best are proven to be few; exactly tho
 the block's integer vectors. A query that gets no proof reads all segments. So results are exact.
 
 Every block answers every query batch (blocks against blocks; the k best of each block are merged).
+
+Vectors with a component so large that 64-bit sums could overflow (``WIDE``) are no part of the segments.
+They stand beside them as whole numbers of any size, and every score that involves one is an exact Python
+integer. A score beyond 64 bits is reported as the nearest 64-bit integer.
 """
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessera.llm.common import written
 
 SCALE = 256
+MOST = 1.7976931348623157e308
 BLOCK = 4096                # vectors of a block
 QUERIES = 512               # queries of a batch
+WIDE = 2 ** 31              # largest component times width from which a vector is scored with unbounded integers
 CHECKS = (0.6, 0.8, 0.9, 0.95, 0.98)    # shares of a block's energy after which bounds are tried
 
 
 def impacts(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(row, vec_id, x): integer vectors, written once; ``row`` numbers the rows (repeats included).
+    """(row, vec_id, x, wide): integer vectors as doubles (exact), written once; ``row`` numbers the rows (repeats
+    included), ``wide`` says whether products of the vector may need more than 64 bits.
 
-    Vectors that are null, or hold a null, NaN or infinite component, are left out. Components whose
-    integer does not fit 32 bits are an error: they cannot be scored exactly here.
+    Vectors that are null, or hold a null, NaN or infinite component, are left out.
     """
     x = F.col(embedding)
     finite = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    ints = F.transform(x, lambda v: F.floor(v.cast("double") * SCALE).cast("int"))
+    # doubles of 2 ** 52 and more are whole; the clamp keeps the product of the largest doubles finite
+    scaled = lambda v: F.greatest(F.lit(-MOST), F.least(F.lit(MOST), v.cast("double") * SCALE))
+    ints = F.transform(F.transform(x, scaled), lambda v: F.when(
+        F.abs(v) < 2.0 ** 52, F.floor(v).cast("double")).otherwise(v))
+    top = F.array_max(F.transform("x", lambda v: F.abs(v)))
     return written(vectors.where(finite).select(
-        F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"),
-        ints.alias("x")), "impacts")
+        F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"), ints.alias("x"))
+        .withColumn("wide", F.coalesce(top * F.size("x") >= WIDE, F.lit(False))), "impacts")
 
 
-def _matrix(column) -> np.ndarray:
+def _matrix(column, kind=np.int32) -> np.ndarray:
     """Rows of integers; shorter vectors are filled with zeros."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     size = np.diff(lists.offsets.to_numpy())
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     width = int(size.max()) if len(size) else 0
-    out = np.zeros((len(size), width), np.int32)
+    out = np.zeros((len(size), width), kind)
     out[np.repeat(np.arange(len(size)), size), np.concatenate([np.arange(s) for s in size] or [size])] = flat
     return out
 
 
+def _parts(table: pa.Table) -> tuple[pa.Table, dict]:
+    """Rows for the index, and the columns that hold the wide ones."""
+    wide = table.column("wide").combine_chunks()
+    apart = table.filter(wide)
+    x = _matrix(apart.column("x"), np.float64)
+    return table.filter(pa.compute.invert(wide)), {
+        "w_width": pa.array([x.shape[1]], pa.int32()), "w_ids": pa.array([apart.column("vec_id").to_pylist()], pa.list_(pa.int64())),
+        "w_rows": pa.array([apart.column("row").to_numpy().astype(np.int64).tobytes()], pa.binary()),
+        "w": pa.array([x.tobytes()], pa.binary())}
+
+
+WIDE_SCHEMA = "w_width int, w_ids array<long>, w_rows binary, w binary"
 INDEX_SCHEMA = ("block int, n int, width int, rows binary, vec_ids array<long>, dims binary, impacts binary, "
-                "sizes binary, postings binary, vectors binary")
+                "sizes binary, postings binary, vectors binary, " + WIDE_SCHEMA)
 
 
 def build_index(ints: DataFrame, blocks: int) -> DataFrame:
     """One row per block: its posting segments in descending order of impact, and its vectors."""
 
     def index(table: pa.Table) -> pa.Table:
+        block = table.column("block").slice(0, 1)
+        table, apart = _parts(table)
         x = _matrix(table.column("x"))
         at, dim = np.nonzero(x)
         value = x[at, dim]
@@ -68,7 +95,7 @@ def build_index(ints: DataFrame, blocks: int) -> DataFrame:
         edge = np.concatenate([[True], (dim[1:] != dim[:-1]) | (value[1:] != value[:-1])]) if len(at) else np.zeros(0, bool)
         first = np.flatnonzero(edge)
         return pa.table({
-            "block": table.column("block").slice(0, 1), "n": pa.array([len(x)], pa.int32()),
+            "block": block, "n": pa.array([len(x)], pa.int32()),
             "width": pa.array([x.shape[1]], pa.int32()),
             "rows": pa.array([table.column("row").to_numpy().astype(np.int64).tobytes()], pa.binary()),
             "vec_ids": pa.array([table.column("vec_id").to_pylist()], pa.list_(pa.int64())),
@@ -76,7 +103,7 @@ def build_index(ints: DataFrame, blocks: int) -> DataFrame:
             "impacts": pa.array([value[first].astype(np.int32).tobytes()], pa.binary()),
             "sizes": pa.array([np.diff(np.append(first, len(at))).astype(np.int32).tobytes()], pa.binary()),
             "postings": pa.array([at.astype(np.int32).tobytes()], pa.binary()),
-            "vectors": pa.array([x.tobytes()], pa.binary())})
+            "vectors": pa.array([x.tobytes()], pa.binary()), **apart})
 
     dealt = ints.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
     return dealt.groupBy("block").applyInArrow(index, INDEX_SCHEMA)
@@ -85,16 +112,37 @@ def build_index(ints: DataFrame, blocks: int) -> DataFrame:
 def query_batches(queries: DataFrame, batches: int) -> DataFrame:
     """One row per batch of ``queries(row, vec_id, x)``."""
     def batch(table: pa.Table) -> pa.Table:
+        number = table.column("batch").slice(0, 1)
+        table, apart = _parts(table)
         x = _matrix(table.column("x"))
         return pa.table({
-            "batch": table.column("batch").slice(0, 1), "q_width": pa.array([x.shape[1]], pa.int32()),
+            "batch": number, "q_width": pa.array([x.shape[1]], pa.int32()),
             "q_rows": pa.array([table.column("row").to_numpy().astype(np.int64).tobytes()], pa.binary()),
             "q_ids": pa.array([table.column("vec_id").to_pylist()], pa.list_(pa.int64())),
-            "q": pa.array([x.tobytes()], pa.binary())})
+            "q": pa.array([x.tobytes()], pa.binary()), **{f"q_{c}": v for c, v in apart.items()}})
 
     dealt = queries.withColumn("batch", F.pmod(F.xxhash64("row"), F.lit(batches)).cast("int"))
     return dealt.groupBy("batch").applyInArrow(
-        batch, "batch int, q_width int, q_rows binary, q_ids array<long>, q binary")
+        batch, "batch int, q_width int, q_rows binary, q_ids array<long>, q binary, "
+               "q_w_width int, q_w_ids array<long>, q_w_rows binary, q_w binary")
+
+
+def _wide_best(queries: tuple, candidates: tuple, k: int):
+    """(query row, query id, row, vec_id, score) of each query's k best candidates, by unbounded integers.
+
+    ``queries`` and ``candidates`` are (rows, ids, vectors)."""
+    (q_rows, q_ids, q), (rows, ids, x) = queries, candidates
+    if not len(q_rows) or not len(rows):
+        return
+    width = min(q.shape[1], x.shape[1])
+    whole = np.frompyfunc(int, 1, 1)
+    x = whole(x[:, :width]) if width else np.zeros((len(rows), 0), object)
+    for row, vec_id, v in zip(q_rows.tolist(), q_ids, whole(q[:, :width]) if width else np.zeros((len(q_rows), 0), object)):
+        score = (x * v).sum(1).tolist() if width else [0] * len(rows)
+        score = [max(-2 ** 63, min(2 ** 63 - 1, s)) for s in score]
+        best = heapq.nsmallest(k, ((-s, i is None, i or 0, r) for s, i, r in zip(score, ids, rows.tolist()) if r != row))
+        for s, none, i, r in best:
+            yield row, vec_id, r, None if none else i, -s
 
 
 def search_block(block: dict, q: np.ndarray, own: np.ndarray, k: int):
@@ -169,7 +217,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id",
     ``vec_id``) its k best other rows, all if fewer.
 
     Score: integer inner product; components that only one of two vectors has count as zero. Ties go
-    to the smaller vec_id, null ids last. A repeated vec_id is a query per row, and the other rows
+    to the smaller vec_id, null ids last (scores beyond 64 bits count as the nearest 64-bit integer, so they
+    tie and go to the smaller vec_id). A repeated vec_id is a query per row, and the other rows
     with that id are candidates. Rows without a usable vector take no part; an empty table gives none.
     """
     ints = impacts(vectors, vec_id, embedding)
@@ -206,6 +255,15 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id",
                     out["row"] += rows[at].tolist()
                     out["vec_id"] += [ids[a] for a in at]
                     out["score"] += score.tolist()
+                vectors = lambda c, kind, width: np.frombuffer(r[c], kind).reshape(-1, width) if width else np.zeros(
+                    (len(r[{"vectors": "vec_ids", "q": "q_ids", "w": "w_ids", "q_w": "q_w_ids"}[c]]), 0), kind)
+                wide = (np.frombuffer(r["w_rows"], np.int64), r["w_ids"], vectors("w", np.float64, r["w_width"]))
+                q_wide = (np.frombuffer(r["q_w_rows"], np.int64), r["q_w_ids"], vectors("q_w", np.float64, r["q_w_width"]))
+                usual = (rows, ids, vectors("vectors", np.int32, r["width"]))
+                for a, b in (((q_rows, r["q_ids"], q), wide), (q_wide, usual), (q_wide, wide)):
+                    for found in _wide_best(a, b, k):
+                        for c, v in zip(("q_row", "query_id", "row", "vec_id", "score"), found):
+                            out[c].append(v)
                 yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
     best = pairs.mapInArrow(search, "q_row long, query_id long, row long, vec_id long, score long")

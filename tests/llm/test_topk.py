@@ -68,3 +68,28 @@ def test_early_stop_is_exact(skew):
         full[query] = -10 ** 15
         want = np.lexsort((np.arange(900), -full))[:5]
         assert best.tolist() == want.tolist() and score.tolist() == full[want].tolist()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_components_of_any_finite_size(spark, monkeypatch, kind):
+    """Components from 2 ** 22 to the largest float: exact integers, clipped to 64 bits."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES", 7)
+    rng = random.Random(9)
+    f32 = lambda x: float(np.float32(x))
+    rows = [(i, [f32(rng.gauss(0, 1)) for _ in range(6)]) for i in range(60)]
+    rows += [(100 + i, [f32(rng.choice([-1, 1]) * rng.random() * 10 ** rng.choice([6, 7, 8, 9, 12])) for _ in range(6)]) for i in range(30)]
+    rows += [(200 + i, [f32(rng.choice([1e30, 3e38, -1e20, 0.5])) for _ in range(6)]) for i in range(12)]
+    rows += [(300, [f32(2 ** 23)] * 6), (301, [f32(-2 ** 31)] * 6), (305, []), (None, [1e7] * 6)]
+    if kind == "double":
+        rows += [(400, [1.7e308, 1.0]), (405, [-1e300, 0.25])]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    got = Counter(map(tuple, topk.top_k(df, F.col("vec_id") % 5 == 0, 5).collect()))
+    use = [(v, [math.floor(x * 256) if abs(x * 256) < math.inf else int(math.copysign(topk.MOST, x)) for x in e]) for v, e in rows]
+    want = Counter()
+    for i, (v, q) in enumerate(use):
+        if v is not None and v % 5 == 0:
+            clip = lambda s: max(-2 ** 63, min(2 ** 63 - 1, s))
+            best = sorted((-clip(sum(a * b for a, b in zip(q, x))), u is None, u or 0) for j, (u, x) in enumerate(use) if j != i)
+            want.update((v, r + 1, None if none else u, -s) for r, (s, none, u) in enumerate(best[:5]))
+    assert got == want
