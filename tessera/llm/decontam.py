@@ -3,9 +3,11 @@
 Words are runs of letters and digits (bytes other than ASCII marks and white space) of the
 lower-cased text, compared by 64-bit hashes; an item's seeds are word 3-grams.
 
-1. Seeds: every 3-gram of an item. None is left out for being frequent or because a neighbour is
-   rarer: the 3-grams that an edited copy keeps are often the more frequent ones (other copies hold
-   them too), those that it breaks the rarest.
+1. Seeds: the rare 3-grams of an item. A first pass counts in how many documents each occurs. Those of at most
+   ``RARE_LEAST`` documents, or one in ``RARE_SHARE``, are seeds; of the others those that, among ``WINDOW``
+   consecutive 3-grams of the item, occur at most ``NEAR_RAREST`` times as often as the rarest one that occurs at
+   all. So phrases that everyone uses are no seeds beside rarer ones, an item that a third of the corpus copies
+   keeps its 3-grams, and 3-grams that no document holds (an edited copy breaks some) decide nothing.
 2. Passages: one pass finds seeds in the documents (through a bitmap) and emits the words around
    them, once per cluster of seeds. A passage meets the items of its seeds in a join.
 3. Alignment: Smith-Waterman over words (match 2, mismatch and gap -1) of item and passage. The
@@ -23,12 +25,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessera.llm import textvec as tv
 from tessera.llm.common import fresh, written
 
 GRAM = 3
+WINDOW = 4                  # consecutive 3-grams of an item among which the rarest stay
+RARE_LEAST, RARE_SHARE = 100, 1000      # documents that hold a rare 3-gram: at most 100, or one in 1,000
+NEAR_RAREST = 2.0
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SCORE = 0.5
 BITMAP_BITS = 24
@@ -63,7 +68,7 @@ def item_words(items: DataFrame) -> DataFrame:
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """(item, gram) of ``items(item, words)``."""
+    """(item, at, gram) of ``items(item, words)``: the 3-gram that starts at each word."""
 
     def rows(batches):
         for batch in batches:
@@ -71,9 +76,42 @@ def item_grams(items: DataFrame) -> DataFrame:
                 h = np.frombuffer(batch.column("words")[k].as_py(), np.uint64)
                 g = tv.combine(h, GRAM).view(np.int64)
                 yield pa.RecordBatch.from_pydict({
-                    "item": pa.array([batch.column("item")[k].as_py()] * len(g), pa.int64()), "gram": pa.array(g, pa.int64())})
+                    "item": pa.array([batch.column("item")[k].as_py()] * len(g), pa.int64()),
+                    "at": pa.array(np.arange(len(g))), "gram": pa.array(g, pa.int64())})
 
-    return items.select("item", "words").mapInArrow(rows, "item long, gram long")
+    return items.select("item", "words").mapInArrow(rows, "item long, at long, gram long")
+
+
+def gram_counts(docs: DataFrame, grams: DataFrame, text: str) -> DataFrame:
+    """(gram, n): in how many documents each of ``grams(gram)`` occurs; those that occur in none are left out."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(grams, "gram"))     # fixed size
+
+    def rows(batches):
+        for batch in batches:
+            for part in tv.bounded_slices(batch, "text"):
+                h, before = words(part.column("text"))
+                g, at, _ = tv.word_ngrams(h, before, GRAM)
+                hit = np.flatnonzero(passes(bits.value, g))
+                doc = np.searchsorted(before, at[hit], side="right") - 1
+                order = np.lexsort((g[hit], doc))
+                doc, gram = doc[order], g[hit][order]
+                new = np.ones(len(gram), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1])       # once a document
+                gram, n = np.unique(gram[new], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"gram": pa.array(gram.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+
+    return (docs.select(F.col(text).alias("text")).mapInArrow(rows, "gram long, n long")
+            .groupBy("gram").agg(F.sum("n").alias("n")).join(grams.select("gram").distinct(), "gram", "left_semi"))
+
+
+def rare_seeds(grams: DataFrame, counts: DataFrame, documents: int) -> DataFrame:
+    """(item, gram): the seeds among ``grams(item, at, gram)``. The windows see the 3-grams of one item."""
+    rare = max(RARE_LEAST, documents // RARE_SHARE)
+    inside = W.partitionBy("item").orderBy("at")
+    counted = (grams.join(counts, "gram", "left")
+               .withColumn("least", F.min("n").over(inside.rowsBetween(0, WINDOW - 1)))
+               .withColumn("least", F.max("least").over(inside.rowsBetween(1 - WINDOW, 0))))
+    return counted.where((F.col("n") <= rare) | (F.col("n") <= NEAR_RAREST * F.col("least"))).select("item", "gram").distinct()
 
 
 def bitmap(hashes: DataFrame, column: str) -> np.ndarray:
@@ -178,7 +216,9 @@ def leaks(docs: DataFrame, items: DataFrame, min_score: float = MIN_SCORE, text:
     known = written(item_words(items.select("item_id", "text")), "items")
     distinct = known.groupBy("item").agg(F.first("words").alias("words"))
     longest = (known.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
-    seeds = written(item_grams(distinct).distinct(), "seeds")
+    grams = written(item_grams(distinct), "item-grams")
+    counts = gram_counts(docs, grams, text)
+    seeds = written(rare_seeds(grams, counts, docs.count()), "seeds")
     shared_seeds = spark.sparkContext.broadcast(bitmap(seeds, "gram"))
     margin = longest + longest // 2 + GRAM
     found = written(passages(docs, shared_seeds, margin, text, doc_id), "passages")

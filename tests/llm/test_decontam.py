@@ -109,3 +109,36 @@ def test_hostile_rows(spark, docs, rows, empty):
     assert decontam.leaks(empty, items).count() == 0
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.leaks(docs, none).count() == 0 and decontam.clean(docs, none).count() == len(rows)
+
+
+def test_seeds_are_the_rare_grams(spark, monkeypatch):
+    """Counts against sets; a phrase that most documents use is no seed beside rarer 3-grams, and every exact
+    or edited copy by plain_score is still found, those of an item that most documents copy too."""
+    monkeypatch.setattr(decontam, "RARE_LEAST", 5)
+    rng = random.Random(4)
+    fresh = lambda n: [f"w{rng.randint(0, 10 ** 6)}" for _ in range(n)]
+    phrase = "on the other hand it".split()          # 3 of its 3-grams: every window of 4 holds a rarer one
+    items = {i: fresh(8) + phrase + fresh(8) for i in range(12)}
+    hot = fresh(24)
+    items[12] = hot
+    docs = [(k, fresh(10) + phrase + fresh(10)) for k in range(120)]
+    docs += [(200 + k, fresh(5) + hot + fresh(5)) for k in range(100)]
+    for i, words in items.items():
+        docs.append((400 + i, fresh(20) + words))
+        docs.append((500 + i, fresh(9) + [f"new{k}" if k % 6 == i % 6 else w for k, w in enumerate(words)] + fresh(9)))
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    grams = decontam.item_grams(decontam.item_words(bench)).cache()
+    counts = decontam.gram_counts(df, grams, "text")
+    in_docs = [{tuple(w[k:k + 3]) for k in range(len(w) - 2)} for _, w in docs]
+    want = {}
+    for words in items.values():
+        for k in range(len(words) - 2):
+            want[tuple(words[k:k + 3])] = sum(tuple(words[k:k + 3]) in s for s in in_docs)
+    assert sorted(r.n for r in counts.collect()) == sorted(n for n in want.values() if n)
+    seeds = decontam.rare_seeds(grams, counts, len(docs))
+    middle = {r.gram for r in grams.where("at = 9").collect()}            # inside the phrase; one gram of the hot item
+    kept = {r.gram for r in seeds.collect()}
+    assert len(middle - kept) == 1 and len(middle & kept) == 1
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(df, bench).collect()}
+    assert found == {(d, i) for d, words in docs for i, item in items.items() if plain_score(item, words) >= len(item)}
