@@ -3,7 +3,7 @@
 The source calls the vendor once per (group, day) with every attribute, and when that comes back
 empty, once per chunk of 10 attributes. Here both kinds of response are landed pages tagged
 ``request = 'full' | 'chunk:<n>'``; the choice "full rows if any, else the chunks" becomes one
-anti join on the pair key, evaluated for all pairs at once.
+anti join of the chunk pages on the pair key, evaluated for all pairs at once.
 """
 from __future__ import annotations
 
@@ -26,12 +26,13 @@ def attribute_chunks(attributes: DataFrame, chunk_size: int = 10) -> DataFrame:
 
 def choose_pages(pages: DataFrame) -> DataFrame:
     """X1 on pages: the ``full`` pages (untagged pages count as full), and the ``chunk:`` pages of
-    pairs whose full pages hold no usable point. One flag per page decides; rows are never joined."""
+    pairs whose full pages hold no usable point. One flag per page decides. Only chunk pages meet the answered
+    pairs in a join; the full pages, nearly all of the data, go straight through."""
     request = F.coalesce(F.col("request"), F.lit("full"))
-    answered = (pages.filter((request == "full") & has_usable_point()).select(*PAIR).distinct()
-                .withColumn("_answered", F.lit(True)))
-    marked = pages.filter((request == "full") | request.startswith("chunk:")).join(answered, PAIR, "left")
-    return marked.filter((request == "full") | F.col("_answered").isNull()).drop("_answered")
+    full = pages.filter(request == "full")
+    answered = full.filter(has_usable_point()).select(*PAIR).distinct()
+    chunks = pages.filter(request.startswith("chunk:")).join(answered, PAIR, "left_anti")
+    return full.unionByName(chunks.select(*pages.columns))
 
 
 def extract_group_days(pages: DataFrame, *, keep_rejects: bool = False) -> DataFrame:
@@ -55,12 +56,10 @@ def light_extract(pages: DataFrame, search_ids: DataFrame | None = None) -> Data
     is done on the strict instrument key before light names (which keep blanks) are used.
     """
     request = F.coalesce(F.col("request"), F.lit("full"))
-    in_chunks = (pages.filter(request.startswith("chunk:")).select(*PAIR).distinct()
-                 .withColumn("_chunked", F.lit(True)))
+    chunks = pages.filter(request.startswith("chunk:"))
     # chunk responses; a pair that has none (a vendor page without a tag) is read from its full pages
-    chunked = (pages.join(in_chunks, PAIR, "left")
-               .filter(request.startswith("chunk:") | (F.col("_chunked").isNull() & (request == "full")))
-               .drop("_chunked"))
+    rest = pages.filter(request == "full").join(chunks.select(*PAIR).distinct(), PAIR, "left_anti")
+    chunked = chunks.unionByName(rest.select(*pages.columns))
     if search_ids is not None:
         keyed = chunked.select("*", F.explode("instruments").alias("_i"))
         key = truthy_first(F.col("_i.instrument_id"), F.col("_i.instrument_name"))

@@ -88,3 +88,23 @@ def test_null_partition_key_is_rejected(spark):
     pg.pop("obs_date")
     out = sorted((r.rejected, r.value) for r in flatten_pages(pages_df(spark, [pg]), keep_rejects=True).collect())
     assert out == [(False, "2"), (True, "1")]
+
+
+def test_only_chunk_pages_meet_the_join(spark):
+    """Full pages stay whatever their pair; chunk pages only of unanswered pairs (null keys are never answered)."""
+    from tessera.plans.extract import choose_pages, light_extract
+    def one(value):
+        return [{"instrument_name": "A", "attributes": [{"attribute_id": "S", "time_series": [["20240103", value]]}]}]
+    made = [page(one("f1"), "20240101"), page([], "20240102"), page(one("f3"), "20240103")]
+    for day, request, value in [("20240101", "chunk:0", "c1"), ("20240102", "chunk:0", "c2"), ("20240102", "chunk:1", "c3")]:
+        made.append({**page(one(value), day), "request": request})
+    made += [{**page(one("f4"), "20240104"), "request": None}, {**page(one("o"), "20240105"), "request": "other"}]
+    p = pages_df(spark, made)
+    chosen = choose_pages(p)
+    assert chosen.columns == p.columns
+    assert sorted(r.value for r in flatten_pages(chosen).collect()) == ["c2", "c3", "f1", "f3", "f4"]
+    assert sorted(r.value for r in light_extract(p).collect()) == ["c1", "c2", "c3", "f3", "f4"]
+    plan = chosen._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    full, chunks = (plan.children().apply(i).toString() for i in (0, 1))
+    assert "Join" not in full and "Aggregate" not in full and "Join" in chunks
