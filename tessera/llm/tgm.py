@@ -15,7 +15,8 @@ union. Documents with equal sets (128-bit hash) are one *node*.
    Other pairs of groups are never opened. No pair at the limit is lost: the bound holds for its own first
    common token.
 4. Open. The full sets of a qualifying pair of groups - of the members with a qualifying entry - meet in
-   one task (bounded by the group limits). A member takes part if its overlap with the other group's whole token union allows a link; the rest are
+   the task of one of the two, its home (bounded by the group limits and ``ROOM``), so a group is sent there
+   once for all the pairs it is home of. A member takes part if its overlap with the other group's whole token union allows a link; the rest are
    compared exactly through an inverted index. Spanning links leave the task.
 5. ``components`` of the links.
 
@@ -41,6 +42,7 @@ LOW = 16                    # smallest tokens that decide the group
 SHARED = 4                  # nodes that keep a token before it counts as frequent
 MEMBERS = 512               # nodes of a group, about
 TOKENS = 1 << 18            # tokens of a group, about (a larger set is a group)
+ROOM = 1 << 20              # tokens of other groups that meet a group in one task, about
 _SECOND = np.uint64(0x94D049BB133111EB)
 
 
@@ -217,6 +219,59 @@ def opened_links(own: list[np.ndarray], other: list[np.ndarray] | None) -> list[
     return out
 
 
+def planes(tokens: np.ndarray) -> bytes:
+    """A sorted set as the byte planes of its differences: the high planes are nearly all zeros, which the
+    shuffle's compression takes away."""
+    return np.diff(tokens, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def homes(places: DataFrame, need: DataFrame) -> DataFrame:
+    """(hi, lo, node, home, part, own, away) of ``places(node, g, h, first)``: where a member's set goes.
+
+    Of a pair of groups the one with more pairs is the home. Its members (``own``) are sent once for all of
+    its pairs (``away``: the other groups), those of the other group once to each home. A home whose other groups
+    hold more than ``ROOM`` tokens has several parts; a group is whole in one. A group is its own away group
+    where it qualifies with itself."""
+    pairs = places.where("g <> h").select("g", "h").distinct()
+    degree = pairs.select(F.explode(F.array("g", "h")).alias("group")).groupBy("group").agg(
+        F.count(F.lit(1)).alias("pairs"))
+    sided = (pairs.join(degree.select(F.col("group").alias("g"), F.col("pairs").alias("of_g")), "g")
+             .join(degree.select(F.col("group").alias("h"), F.col("pairs").alias("of_h")), "h")
+             .select("g", "h", F.when(F.col("of_g") >= F.col("of_h"), F.col("g")).otherwise(F.col("h")).alias("home")))
+    sent = (places.join(need.select("node", "hi", "lo", "n"), "node").join(sided, ["g", "h"], "left")
+            .withColumn("home", F.coalesce("home", "g"))
+            .withColumn("own", F.when(F.col("first"), F.col("g")).otherwise(F.col("h")) == F.col("home"))
+            .withColumn("away", F.when(F.col("home") == F.col("g"), F.col("h")).otherwise(F.col("g"))))
+    parts = sent.where(~F.col("own")).groupBy("home").agg(F.ceil(F.sum("n") / ROOM).alias("parts"))
+    return (sent.join(parts, "home", "left")
+            .withColumn("part", F.pmod(F.xxhash64("away"), F.coalesce("parts", F.lit(1))))
+            .groupBy("hi", "lo", "node", "home", "part", "own").agg(F.collect_set("away").alias("away")))
+
+
+def home_links(table: pa.Table) -> pa.Table:
+    """(a, b): spanning links of a home's members with those of each of its other groups (one part of them)."""
+    node = table.column("node").to_numpy()
+    home = table.column("home")[0].as_py()
+    sets = [from_planes(t) for t in table.column("tokens").to_pylist()]
+    own, away = {}, {}
+    for k, (mine, groups) in enumerate(zip(table.column("own").to_pylist(), table.column("away").to_pylist())):
+        for g in groups:
+            (own if mine else away).setdefault(g, []).append(k)
+    a, b = [], []
+    for g, mine in own.items():
+        theirs = away.get(g, [])
+        both = mine + theirs
+        if len(both) > 1 and (theirs or g == home):
+            for i, j in opened_links([sets[k] for k in mine], [sets[k] for k in theirs] if g != home else None):
+                a.append(int(node[both[i]]))
+                b.append(int(node[both[j]]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def opened(docs: DataFrame, text: str, members: DataFrame, places: DataFrame) -> DataFrame:
     """(a, b): spanning links of the members that ``places(node, g, h, first)`` opens for each pair of groups
     (g = h: inside one; ``first``: the member is in g)."""
@@ -234,26 +289,13 @@ def opened(docs: DataFrame, text: str, members: DataFrame, places: DataFrame) ->
             some = {identity(s): s for s in sets if len(s)}
             yield pa.RecordBatch.from_pydict({
                 "hi": pa.array([h for h, _ in some], pa.int64()), "lo": pa.array([x for _, x in some], pa.int64()),
-                "tokens": pa.array([s.tobytes() for s in some.values()], pa.binary())})
+                "tokens": pa.array([planes(s) for s in some.values()], pa.binary())})
 
     sets = texts.mapInArrow(rows, "hi long, lo long, tokens binary").dropDuplicates(["hi", "lo"])
-    # the small rows meet first: a set is moved once to its name and once to its pairs
-    places = places.join(need.select("hi", "lo", "node"), "node")
-    dealt = sets.join(places, ["hi", "lo"]).select("g", "h", "first", "node", "tokens")
-
-    def linked(table: pa.Table) -> pa.Table:
-        first = table.column("first").to_numpy()
-        order = np.argsort(~first, kind="stable")
-        node = table.column("node").to_numpy()[order]
-        tokens = table.column("tokens").to_pylist()
-        sets = [np.frombuffer(tokens[k], np.uint64) for k in order.tolist()]
-        same = table.column("g")[0].as_py() == table.column("h")[0].as_py()
-        cut = int(first.sum())
-        found = opened_links(sets if same else sets[:cut], None if same else sets[cut:]) if len(sets) > 1 and cut else []
-        return pa.table({"a": pa.array([int(node[i]) for i, _ in found], pa.int64()),
-                         "b": pa.array([int(node[j]) for _, j in found], pa.int64())})
-
-    return dealt.groupBy("g", "h").applyInArrow(linked, "a long, b long")
+    # the small rows meet first: a set is moved once to its name and once to each of its homes
+    goes = written(homes(places, need), "opened-homes")
+    dealt = sets.join(goes, ["hi", "lo"]).select("home", "part", "own", "away", "node", "tokens")
+    return dealt.groupBy("home", "part").applyInArrow(home_links, "a long, b long")
 
 
 def _release(spark) -> None:

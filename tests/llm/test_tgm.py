@@ -70,8 +70,9 @@ def test_hostile_rows(docs, rows):
     assert got(docs) == brute(rows)
 
 
-@pytest.mark.parametrize("members, size, shared", [(512, 1 << 18, 4), (5, 400, 2)])
-def test_families_equal_brute_force(spark, family, monkeypatch, members, size, shared):
+@pytest.mark.parametrize("members, size, shared, room", [(512, 1 << 18, 4, 1 << 20), (5, 400, 2, 900)])
+def test_families_equal_brute_force(spark, family, monkeypatch, members, size, shared, room):
+    monkeypatch.setattr(tgm, "ROOM", room)
     monkeypatch.setattr(tgm, "MEMBERS", members)
     monkeypatch.setattr(tgm, "TOKENS", size)
     monkeypatch.setattr(tgm, "SHARED", shared)
@@ -102,5 +103,25 @@ def test_opened_links_equal_brute_force(family):
         assert {i for i, _ in found} <= linked and (not linked or found)
 
 
+def test_byte_planes_are_a_round_trip():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 700):
+        some = np.unique(rng.integers(0, 2 ** 64, n, np.uint64, endpoint=False))
+        assert (tgm.from_planes(tgm.planes(some)) == some).all() and len(tgm.planes(some)) == 8 * len(some)
+    edge = np.array([0, 1, 2 ** 64 - 1], np.uint64)
+    assert (tgm.from_planes(tgm.planes(edge)) == edge).all()
+
+
+def test_a_member_goes_once_to_a_home(spark):
+    """A hub group with three partners: its member is sent once a part, the partners' once; all pairs meet."""
+    rows = [(n, min(0, g), max(0, g), g == 0) for g in (1, 2, 3) for n in (100, 10 + g)]
+    places = spark.createDataFrame([(n, g, h, n == 100) for n, g, h, _ in rows] + [(100, 0, 0, True)],
+                                   "node long, g long, h long, first boolean")
+    need = spark.createDataFrame([(n, n, n, 5) for n in (100, 11, 12, 13)], "node long, hi long, lo long, n long")
+    got = tgm.homes(places, need).collect()
+    assert sorted((r.node, r.home, r.own, sorted(r.away)) for r in got) == [
+        (11, 0, False, [1]), (12, 0, False, [2]), (13, 0, False, [3]), (100, 0, True, [0, 1, 2, 3])]
+
+
 def test_empty(empty):
     assert tgm.jaccard_components(empty).count() == 0
