@@ -9,7 +9,8 @@ A run is a short driver loop over *passes* (at most three), never over data:
    a rejected row (impossible date) is a failed attempt: it is never reported with fewer rows;
 3. classify the misses and plan the next pass (``operators.outcomes.retry_plan``); only
    actionable pairs are fetched again, after the longest wait of that pass;
-4. load new raw files into bronze exactly once (``streaming.load``) if anything succeeded;
+4. load new raw files into bronze exactly once (``streaming.load``) if anything succeeded, and merge small
+   loads where that saves enough files (``sinks.bronze.compact_waste``);
 5. write the run report and return its summary row (counters from the last attempt of every pair).
 
 Folders (all below ``root``, which must be shared by the cluster): ``landed/run=…/pass=…``,
@@ -32,6 +33,7 @@ from tessera.plans.extract import attribute_chunks, extract_group_days, light_ex
 from tessera.plans.process import process_pairs
 from tessera.schemas import MANIFEST_SCHEMA
 from tessera.session import write_once
+from tessera.sinks.bronze import COMPACT_AFTER, compact_waste
 from tessera.sinks.manifest import FOLD_AFTER, fold_manifest, read_live_manifest
 from tessera.sources.fetch import (DAILY_REQUEST, fetch_instrument_pages, fetch_pages, land_fetched,
                                    landed_misses, landed_pages)
@@ -150,6 +152,7 @@ def run_pairs(spark: SparkSession, plan: DataFrame, fetch, *, root: str, run_ts:
                    .select("group_id", "obs_date", "ymd")
     if load and not dry_run and log.filter("ok").limit(1).count() > 0:
         load_new_files(spark, p["raw"], p["bronze"], p["checkpoint"])
+        compact_waste(spark, p["bronze"], min_loads=COMPACT_AFTER)
     if not dry_run:
         fold_manifest(spark, p["manifest"], min_runs=FOLD_AFTER)
     return run_report(spark, plan, log, run_ts=run_ts, dry_run=dry_run, where=p)

@@ -82,6 +82,25 @@ def partition_read_q(spark, sf_dir):
     return B.read_bronze(spark, _bronze_v1(spark, sf_dir), start="2024-01-08", end="2024-01-19").select(*OBS_OUT)
 
 
+def loaded_in_runs(spark, sf_dir):
+    """Bronze of five loads: the days up to the 20th, then four small ones by day of month."""
+    root, bronze, ck = (scratch_dir(spark, "raw"), scratch_dir(spark, "bronze"), scratch_dir(spark, "bronze-ckpt"))
+    v1, day = A.observations(spark, sf_dir), F.dayofmonth("obs_date")
+    for k in range(5):
+        part = v1.where(day <= 20) if k == 0 else v1.where((day > 20) & (day % 4 == k - 1))
+        write_raw_days(part, root, f"2024020{k + 1}T000000")
+        load_new_files(spark, root, bronze, ck)
+    return bronze
+
+
+@query("k3_partial_compaction", V1_OUT_SQL)
+def partial_compaction_q(spark, sf_dir):
+    """All rows once after only the small loads were merged (fan and waste bound chosen for the fixture)."""
+    bronze = loaded_in_runs(spark, sf_dir)
+    B.compact_waste(spark, bronze, fan=1, waste=0.0)
+    return B.read_bronze(spark, bronze).select(*OBS_OUT)
+
+
 @query("s7_table_read", A.with_views("v1") + """
 SELECT group_id, COUNT(*) AS n_rows, max(obs_date) AS max_obs_date FROM v1 GROUP BY group_id""")
 def table_read_q(spark, sf_dir):

@@ -5,6 +5,10 @@ whole folders are skipped. The streaming load writes one ``load=<batch>`` folder
 compaction writes ``load=<first>..<last>``, one folder that stands for the loads it was made from.
 Readers take a folder only if it is committed, and leave out loads that a committed compaction
 covers: a compaction becomes visible, and its inputs invisible, in one step.
+
+:func:`compact_waste` merges neighbouring loads only where that saves enough files, and leaves a load
+alone that is much larger than all that came after it, so a row is rewritten a logarithmic number of
+times however many loads follow.
 """
 from __future__ import annotations
 
@@ -89,3 +93,67 @@ def compact_bronze(spark: SparkSession, path: str, dst: str | None = None) -> st
     out = f"{path.rstrip('/')}/load={min(b[0] for b in bounds)}..{max(b[-1] for b in bounds)}"
     write_bronze(read_bronze(spark, path), out, mode="overwrite")
     return out
+
+
+TARGET_BYTES = 128 << 20    # size of a file that needs no compaction
+WASTE = 0.3                 # share of a span's files that compaction must save
+FAN = 4                     # a load larger than FAN times all newer loads of its span stays as it is
+COMPACT_AFTER = 20          # live load folders before a run compacts
+
+
+def file_sizes(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(load, partition, bytes), one row per data file: names and lengths only, no file is opened."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(folders)
+            .select(F.regexp_extract("path", r"/load=([^/]+)/", 1).alias("load"),
+                    F.regexp_extract("path", r"/load=[^/]+/(.*)/[^/]+$", 1).alias("partition"),
+                    F.col("length").alias("bytes")))
+
+
+def spans(sizes: list[tuple[str, int]], fan: int = FAN) -> list[list[str]]:
+    """Spans of neighbouring loads of like size, oldest first. ``sizes``: (load, bytes) in load order, one entry
+    per micro-batch. From the newest back, a load joins the span unless it is larger than ``fan`` times
+    all newer loads there; then it starts the next span."""
+    out, total = [], 0
+    for load, size in reversed(sizes):
+        if out and size <= fan * total:
+            out[-1].append(load)
+            total += size
+        else:
+            out.append([load])
+            total = size
+    return [s[::-1] for s in reversed(out)]
+
+
+def compact_waste(spark: SparkSession, path: str, *, waste: float = WASTE, target: int = TARGET_BYTES,
+                  fan: int = FAN, min_loads: int = 2) -> list[str]:
+    """Merge spans of loads whose small files are worth it; returns the new folders.
+
+    A span (see :func:`spans`) is rewritten if its partitions could do with ``1 - waste`` of its files,
+    ``ceil(bytes / target)`` each; every other load keeps its files. Nothing is done below ``min_loads`` live
+    folders. A crash leaves an uncommitted folder that no reader takes and the next call writes anew.
+    """
+    folders = live_folders(spark, path)
+    if folders is None or len(folders) < max(2, min_loads):
+        return []
+    files = file_sizes(spark, folders)
+    order = sorted((f.rsplit("load=", 1)[1] for f in folders), key=lambda n: n.split(".."))
+    size = {r[0]: r[1] for r in files.groupBy("load").agg(F.sum("bytes")).collect()}     # one row per load
+    wide = [s for s in spans([(n, size.get(n, 0)) for n in order], fan) if len(s) > 1]
+    if not wide:
+        return []
+    span_of = F.create_map(*[F.lit(x) for i, s in enumerate(wide) for n in s for x in (n, i)])
+    gain = (files.withColumn("span", span_of[F.col("load")]).where("span is not null")
+            .groupBy("span", "partition").agg(F.count(F.lit(1)).alias("now"), F.sum("bytes").alias("bytes"))
+            .groupBy("span").agg(F.sum("now").alias("now"), F.sum(F.greatest(
+                F.lit(1), F.ceil(F.col("bytes") / target))).alias("then")))
+    out = []
+    for r in sorted(gain.where(F.col("now") - F.col("then") >= waste * F.col("now")).collect()):
+        merged = wide[r.span]
+        bounds = [n.split("..") for n in merged]
+        to = f"{path.rstrip('/')}/load={bounds[0][0]}..{bounds[-1][-1]}"
+        rows = (spark.read.schema(OBSERVATION_SCHEMA).option("basePath", path)
+                .parquet(*[f"{path.rstrip('/')}/load={n}" for n in merged]))
+        write_bronze(rows, to, mode="overwrite")
+        out.append(to)
+    return out
