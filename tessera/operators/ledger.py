@@ -28,6 +28,31 @@ def pair_stats(obs: DataFrame, keys=("group_id", "obs_date"), *, approx: bool =
     return out.withColumn("message", stats_message("row_count", "instrument_count", "attribute_count"))
 
 
+SKETCH_BITS = 12            # 2^12 registers: relative standard error of about 1.6 %
+
+
+def pair_sketches(obs: DataFrame, keys=("group_id", "obs_date"), columns=("instrument", "attribute"), *,
+                  bits: int = SKETCH_BITS) -> DataFrame:
+    """A1 in mergeable form: per pair ``row_count`` and one distinct-count sketch per column.
+
+    A day's sketches (2^bits registers at most, far less for few values) are written once beside the
+    exact counts; :func:`merged_counts` then counts over any span of days from them, without the
+    observations. Null values are not counted; a pair with none but nulls has a sketch of nothing.
+    """
+    return obs.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count"), *[
+        F.hll_sketch_agg(c, bits).alias(f"{c}_sketch") for c in columns])
+
+
+def merged_counts(sketches: DataFrame, keys=("group_id",), columns=("instrument", "attribute")) -> DataFrame:
+    """A6 from :func:`pair_sketches`: rows and *estimated* distinct counts of each key over all the pairs given.
+
+    Merging loses nothing: the estimate is as exact as that of one pass over the observations. It is exact to
+    rounding for small counts, and beyond has the sketch's error; what must be exact is counted on the
+    observations. Row counts are exact."""
+    return sketches.groupBy(*keys).agg(F.sum("row_count").alias("row_count"), *[
+        F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")).alias(f"{c}_estimate") for c in columns])
+
+
 def ok_rows(manifest: DataFrame, statuses=("ok",)) -> DataFrame:
     """Manifest rows whose status counts as done."""
     return manifest.filter(F.col("status").isin(*statuses))

@@ -31,6 +31,27 @@ def distinct_counts_q(spark, sf_dir):
         F.countDistinct("attribute").alias("n_attributes"), F.countDistinct("date").alias("n_dates"))
 
 
+SKETCH_ERROR = 0.08         # five standard errors of the sketch
+
+
+@query("a6_merged_sketches", A.with_views("v1") + """
+SELECT group_id, COUNT(*) AS n_rows, COUNT(DISTINCT instrument) AS n_instruments, COUNT(DISTINCT attribute) AS n_attributes,
+       true AS instruments_fit, true AS attributes_fit
+FROM v1 GROUP BY group_id""")
+def merged_sketches_q(spark, sf_dir):
+    """Group counts from stored day sketches beside the exact ones, and whether the estimates are within the bound."""
+    v1, path = A.observations(spark, sf_dir), scratch_dir(spark, "sketches")
+    ledger.pair_sketches(v1).write.parquet(path)
+    merged = ledger.merged_counts(spark.read.parquet(path))
+    exact = v1.groupBy("group_id").agg(F.countDistinct("instrument").alias("n_instruments"),
+                                       F.countDistinct("attribute").alias("n_attributes"))
+    fits = lambda e, n: F.abs(F.col(e) - F.col(n)) <= SKETCH_ERROR * F.col(n)
+    return merged.join(exact, "group_id").select(
+        "group_id", F.col("row_count").alias("n_rows"), "n_instruments", "n_attributes",
+        fits("instrument_estimate", "n_instruments").alias("instruments_fit"),
+        fits("attribute_estimate", "n_attributes").alias("attributes_fit"))
+
+
 def _reingested(spark, sf_dir):
     """V1 plus a second ingest one day later whose values carry a ``/v2`` suffix."""
     v1 = A.observations(spark, sf_dir)
