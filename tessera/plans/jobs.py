@@ -8,7 +8,7 @@ A run is a short driver loop over *passes* (at most three), never over data:
    manifest rows, attempt records (``plans.process``). A pair with a corrupt page, a failed chunk or
    a rejected row (impossible date) is a failed attempt: it is never reported with fewer rows;
 3. classify the misses and plan the next pass (``operators.outcomes.retry_plan``); only
-   actionable pairs are fetched again, after the longest wait of that pass;
+   actionable pairs are fetched again, after the longest wait of that pass (``due_retries``: each after its own);
 4. load new raw files into bronze exactly once (``streaming.load``) if anything succeeded, and merge small
    loads where that saves enough files (``sinks.bronze.compact_waste``);
 5. write the run report and return its summary row (counters from the last attempt of every pair).
@@ -41,7 +41,7 @@ from tessera.streaming.load import load_new_files
 
 ATTEMPT_LOG_SCHEMA = ("group_id string, obs_date string, ok boolean, message string, row_count long, "
                       "instrument_count long, attribute_count long, volume_path string, "
-                      "manifest_warning string, pass int")
+                      "manifest_warning string, pass int, at_s long")
 _LOG_COLUMNS = [c.split()[0] for c in ATTEMPT_LOG_SCHEMA.split(", ")]
 YMD_PAIR = ["group_id", "obs_date"]         # obs_date as compact text
 
@@ -108,16 +108,38 @@ def land_attributes(spark: SparkSession, groups: DataFrame, fetch_attributes, pa
     return discover_attributes(landed_pages(spark, listing))
 
 
+def _next_step(log: DataFrame, max_pass: int, pass_no: int, now: int, due_retries: bool):
+    """(retries of the next step, the second at which it starts or None at the end, its pass number)."""
+    timed = log.withColumn("attempted_at", F.timestamp_seconds(F.coalesce("at_s", F.lit(0))))
+    retries = retry_plan(timed, max_pass).filter(F.col("action") == "retry")
+    if not due_retries:
+        retries = retries.filter(F.col("next_pass") == pass_no + 1)
+        wait = retries.agg(F.max("wait_s")).first()[0]
+        return retries, None if wait is None else now + wait, pass_no + 1
+    retries = retries.withColumn("due", F.unix_seconds("not_before"))
+    first = retries.agg(F.min(F.struct("due", "next_pass"))).first()[0]
+    if first is None:
+        return retries, None, pass_no
+    return (retries.filter((F.col("due") == first.due) & (F.col("next_pass") == first.next_pass)),
+            max(now, first.due), first.next_pass)
+
+
 def run_pairs(spark: SparkSession, plan: DataFrame, fetch, *, root: str, run_ts: str,
               ingested_at: str, max_pass: int = 3, dry_run: bool = False, load: bool = True,
               request: dict | None = None, sleep=time.sleep, fetch_attributes=None,
-              chunk_size: int = 10) -> DataFrame:
+              chunk_size: int = 10, due_retries: bool = False) -> DataFrame:
     """Fetch, land, process and retry every pair of ``plan`` (group_id, obs_date, ymd).
 
     ``request`` holds the vendor parameters forwarded to ``fetch`` (default: the source's daily
     request, ``sources.fetch.DAILY_REQUEST``). With ``fetch_attributes`` the attribute listing is
     fetched once per group, and pairs whose full response is empty are asked again in chunks of
-    ``chunk_size`` attributes (the call gets ``attributes=[...]``). Returns the run summary."""
+    ``chunk_size`` attributes (the call gets ``attributes=[...]``). Returns the run summary.
+
+    Retries wait pass by pass, for the longest wait of a pass. With ``due_retries`` each failed pair waits
+    for its own ``not_before`` instead: the pairs that are due first, of one pass number, make the next step, so a
+    short wait is not held up by a long one. Steps are at most one per pass and sum of waits, not per
+    pair. Time is counted in waited seconds, so a rerun of the stamp takes the same steps; work only adds to it,
+    and no pair is asked before its wait is over."""
     request = DAILY_REQUEST if request is None else request
     p = paths(root)
     # The plan depends on the manifest, which this run changes: a stamp keeps its first plan.
@@ -125,29 +147,32 @@ def run_pairs(spark: SparkSession, plan: DataFrame, fetch, *, root: str, run_ts:
                                          lambda: plan.select("group_id", "obs_date", "ymd")))
     attributes = land_attributes(spark, plan.select("group_id"), fetch_attributes,
                                  f"{p['landed']}/run={run_ts}/attributes") if fetch_attributes else None
-    todo, logs = plan, []
-    for pass_no in range(1, max_pass + 1):
-        pages, misses = _fetch_pass(spark, todo, fetch, f"{p['landed']}/run={run_ts}/pass={pass_no}",
+    todo, logs, pass_no, now = plan, [], 1, 0
+    while True:
+        at = f"{now:06d}" if due_retries and now else ""
+        step, stamp = f"pass={pass_no}{at and '-at=' + at}", f"{run_ts}p{pass_no}{at and 'd' + at}"
+        pages, misses = _fetch_pass(spark, todo, fetch, f"{p['landed']}/run={run_ts}/{step}",
                                     pass_no, ingested_at, request, attributes, chunk_size)
         rows = extract_group_days(pages.filter(~F.col("corrupt")).drop("corrupt"), keep_rejects=True)
         failed = _failures(pages, misses, rows)
         good = todo.join(failed.select("group_id", F.col("obs_date").alias("ymd")), ["group_id", "ymd"], "left_anti")
         done = process_pairs(good, rows.filter(~F.col("rejected")).drop("rejected"), raw_root=p["raw"],
-                             manifest_path=p["manifest"], download_ts=f"{run_ts}p{pass_no}",
+                             manifest_path=p["manifest"], download_ts=stamp,
                              ingested_at=ingested_at, dry_run=dry_run,
-                             records_path=f"{p['attempts']}/records/run={run_ts}/pass={pass_no}")
+                             records_path=f"{p['attempts']}/records/run={run_ts}/{step}")
         nothing = {c.split()[0]: F.lit(None).cast(c.split()[1]) for c in ATTEMPT_LOG_SCHEMA.split(", ")}
         missed = failed.select(*[c if c in failed.columns else
                                  (F.lit(False) if c == "ok" else nothing[c]).alias(c) for c in _LOG_COLUMNS])
-        both = done.select(*_LOG_COLUMNS).unionByName(missed).withColumn("pass", F.lit(pass_no))
-        logs.append(write_once(spark, f"{p['attempts']}/run={run_ts}/pass={pass_no}", lambda b=both: b))
+        both = (done.withColumn("at_s", F.lit(None).cast("long")).select(*_LOG_COLUMNS).unionByName(missed)
+                .withColumn("pass", F.lit(pass_no)).withColumn("at_s", F.lit(now).cast("long")))
+        logs.append(write_once(spark, f"{p['attempts']}/run={run_ts}/{step}", lambda b=both: b))
         log = spark.read.schema(ATTEMPT_LOG_SCHEMA).parquet(*logs).withColumn("attempt_id", F.lit(0))
-        nxt = retry_plan(log, max_pass).filter((F.col("action") == "retry") & (F.col("next_pass") == pass_no + 1))
-        wait = nxt.agg(F.max("wait_s")).first()[0]
-        if wait is None:
+        nxt, due, pass_no = _next_step(log, max_pass, pass_no, now, due_retries)
+        if due is None:
             break
-        if wait > 0:
-            sleep(wait)                                      # one pause per pass, on the driver
+        if due > now:
+            sleep(due - now)                                 # one pause per step, on the driver
+        now = due
         todo = plan.join(nxt.select("group_id", F.col("obs_date").alias("ymd")), ["group_id", "ymd"], "left_semi") \
                    .select("group_id", "obs_date", "ymd")
     if load and not dry_run and log.filter("ok").limit(1).count() > 0:

@@ -200,3 +200,41 @@ def test_tiers_rerun_gives_equal_rows(spark):
     root = scratch_dir(spark, "t-tiers2")
     rows = [sorted(map(str, jobs.run_tiers(spark, cat, price_vendor, end_ymd="20260331", root=root).collect())) for _ in range(2)]
     assert rows[0] == rows[1] and rows[0]
+
+
+def flaky_vendor(group_id, ymd, pass_no, **request):
+    """A short wait (validation, 15 s, right on pass 3), a long one (rate limit, 180 s, right on pass 2), one
+    that never comes (auth, 60 s)."""
+    if group_id == "A" and pass_no < 3:
+        raise ValueError("validation failed")
+    if group_id == "B" and pass_no < 2:
+        raise RuntimeError("429 too many requests")
+    if group_id == "C":
+        raise PermissionError("403 forbidden")
+    return [{"instruments": [{"instrument_name": "X", "attributes": [{"attribute_id": "S", "time_series": [[ymd, pass_no]]}]}]}]
+
+
+def test_due_retries_wait_for_their_own_class(spark):
+    groups = spark.createDataFrame([("A",), ("B",), ("C",), ("D",)], "group_id string")
+    seen = {}
+    for due in (False, True):
+        root, waits = scratch_dir(spark, "t-due"), []
+
+        def run(fetch, waits=waits, due=due, root=root):
+            return jobs.run_backfill(spark, groups, "20240101", "20240102", fetch, root=root, run_ts="R", due_retries=due,
+                                     ingested_at="2024-02-01T00:00:00", sleep=waits.append, load=True).first()
+
+        s = run(flaky_vendor)
+        assert (s.pairs, s.successes, s.misses_actionable, s.misses_empty) == (8, 6, 2, 0)
+        p = jobs.paths(root)
+        rows = sorted((r.group_id, str(r.obs_date), r.value) for r in read_bronze(spark, p["bronze"]).collect())
+        log = spark.read.schema(jobs.ATTEMPT_LOG_SCHEMA).parquet(f"{p['attempts']}/run=R/*")
+        seen[due] = (rows, log.count(), sum(waits))
+        done = {r.group_id: r.t for r in log.filter("ok").groupBy("group_id").agg(F.max("at_s").alias("t")).collect()}
+        assert waits == ([180, 60] if not due else [15, 15, 30, 60, 60])
+        assert done == ({"A": 240, "B": 180, "D": 0} if not due else {"A": 30, "B": 180, "D": 0})
+        state = sorted(map(str, read_current_manifest(spark, p["manifest"]).collect()))
+        again = run(lambda *a, **k: 1 / 0)                    # the stamp again: same steps, no call
+        assert again == s and sorted(map(str, read_current_manifest(spark, p["manifest"]).collect())) == state
+        assert read_bronze(spark, p["bronze"]).count() == 6
+    assert seen[True][0] == seen[False][0] and seen[True][1] == seen[False][1] and seen[True][2] < seen[False][2]
