@@ -12,6 +12,7 @@ from tessera.operators.flatten import flatten_pages
 from tessera.registry import query
 from tessera.sources.catalog import cached_catalog
 from tessera.session import read_table, scratch_dir
+from tessera.sources.search import build_index, search_index
 from tessera.sources import catalog as S
 
 
@@ -57,6 +58,16 @@ def search_q(spark, sf_dir):
     return C.search_union(A.catalog_names(spark, sf_dir), ["Japan CPI", "Tokyo CPI"])
 
 
+@query("s3_index_search", A.with_views("v3") + """
+SELECT DISTINCT instrument_id, name FROM v3
+WHERE (contains(lower(name), 'japan') AND contains(lower(name), 'cpi') AND contains(lower(name), 'foo'))
+   OR (contains(lower(name), 'tokyo') AND contains(lower(name), 'ener'))""")
+def index_search_q(spark, sf_dir):
+    """The search over a stored word index; parts of words count, as in the scan."""
+    path = build_index(spark, A.catalog_names(spark, sf_dir), scratch_dir(spark, "word-index"))
+    return search_index(spark, path, ["Japan CPI foo", "Tokyo ENER"])
+
+
 @query("s5_instrument_catalog", A.with_views("v3c") + "SELECT * FROM v3c")
 def cached_catalog_q(spark, sf_dir):
     path = scratch_dir(spark, "instrument-catalog")
