@@ -66,12 +66,18 @@ def filter_name(cat: DataFrame, pattern: str, *, literal: bool = False, name_col
     return cat.filter(F.col(name_col).rlike("(?i)" + pat))
 
 
-def select_series(cat: DataFrame, requests: DataFrame, unit: str | None = "Index") -> DataFrame:
+def select_series(cat: DataFrame, requests: DataFrame, unit: str | None = "Index", *,
+                  few: bool = False) -> DataFrame:
     """J1 + P11: catalog rows matching a requested series as an inner name segment, with the
     requested unit and, when the request row carries one, a dataset regex.
 
     ``requests`` has ``series`` and optionally ``tier`` and ``dataset_regex``; the result has one
     row per (request, instrument).
+
+    The exploded catalog is never the side that is broadcast or hashed: Spark would choose it by
+    its compressed size, far below what it takes in memory. ``few`` says that the requests are a
+    short fixed list (the curated tiers), which is then sent to every task; otherwise both sides
+    are shuffled by segment.
     """
     req = requests
     if "dataset_regex" not in req.columns:
@@ -84,7 +90,7 @@ def select_series(cat: DataFrame, requests: DataFrame, unit: str | None = "Index
         "*", F.posexplode("_inner").alias("_pos", "_seg"))
     parts = F.split(F.concat(F.lit(" "), F.col("requested"), F.lit(" ")), "[|]")
     rq = req.select("*", parts.alias("_parts")).withColumn("_seg", F.col("_parts")[0])
-    hit = segs.join(rq, "_seg").filter(
+    hit = segs.join(F.broadcast(rq) if few else rq.hint("shuffle_hash"), "_seg").filter(
         F.slice("_inner", F.col("_pos") + 1, F.size("_parts")) == F.col("_parts"))
     # an instrument can match one request at several positions: keep one row
     sel = hit.drop("_seg", "_inner", "_pos", "_parts").distinct()

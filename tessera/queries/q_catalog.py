@@ -141,7 +141,7 @@ SELECT instrument_id, name FROM v3c
 WHERE EXISTS (SELECT 1 FROM unnest({A._sql_list(ALL_CURATED)}) t(s) WHERE contains(name, '| ' || s || ' |'))""")
 def multi_literal_q(spark, sf_dir):
     req = tiers.curated_requests(spark).select("series")
-    return C.select_series(catalog(spark, sf_dir), req, unit=None).select("instrument_id", "name").distinct()
+    return C.select_series(catalog(spark, sf_dir), req, unit=None, few=True).select("instrument_id", "name").distinct()
 
 
 @query("j1_series_semi", A.with_views("v3c") + f", {REQ_SQL}, " + SEL_SQL.format(req="req") + """
