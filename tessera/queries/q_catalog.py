@@ -147,7 +147,7 @@ def multi_literal_q(spark, sf_dir):
 @query("j1_series_semi", A.with_views("v3c") + f", {REQ_SQL}, " + SEL_SQL.format(req="req") + """
 SELECT tier, requested, instrument_id, series, dataset FROM sel""")
 def series_semi_q(spark, sf_dir):
-    sel = C.select_series(catalog(spark, sf_dir), tiers.curated_requests(spark))
+    sel = C.select_series(catalog(spark, sf_dir), tiers.curated_requests(spark), few=True)
     return sel.select("tier", "requested", "instrument_id", "series", "dataset")
 
 
@@ -156,7 +156,7 @@ SELECT tier, series, req_pos FROM req r
 WHERE NOT EXISTS (SELECT 1 FROM sel WHERE sel.tier = r.tier AND sel.series = r.series)""")
 def missing_q(spark, sf_dir):
     req = tiers.curated_requests(spark)
-    sel = C.select_series(catalog(spark, sf_dir), req)
+    sel = C.select_series(catalog(spark, sf_dir), req, few=True)
     return C.missing_series(req.select("tier", "series", "req_pos"), sel.select("tier", "series"))
 
 

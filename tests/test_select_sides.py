@@ -45,3 +45,7 @@ def test_select_series_never_builds_on_the_catalog(spark, broadcasts, few):
     sel = C.select_series(stored_catalog(spark), req, unit=None, few=few)
     assert "BuildLeft" not in plan_of(sel)
     assert sorted((r.requested, r.instrument_id) for r in sel.collect()) == [("CPI - Food", "I0"), ("P | Q", "I1")]
+
+
+def test_j2_sends_the_requests_not_the_catalog(spark, sf_dir, broadcasts):
+    check_requests_are_sent(spark, sf_dir, "j2_missing_series")
