@@ -49,3 +49,7 @@ def test_select_series_never_builds_on_the_catalog(spark, broadcasts, few):
 
 def test_j2_sends_the_requests_not_the_catalog(spark, sf_dir, broadcasts):
     check_requests_are_sent(spark, sf_dir, "j2_missing_series")
+
+
+def test_t3_sends_the_requests_not_the_catalog(spark, sf_dir, broadcasts):
+    check_requests_are_sent(spark, sf_dir, "t3_first_missing")
