@@ -140,20 +140,22 @@ def flatten_pages(pages: DataFrame, profile: str = "strict", *, page_cap: int |
         return pts.filter(obj | pair).select(
             "instrument", "attribute",
             F.substring(_py_str(raw_date), 1, 10).alias("date"), raw_val.alias("value"))
-    # cpi: pairs are tested before objects, as in the source; NULL values are dropped.
-    raw_date = (F.when(pair, _vget(p, "$[0]"))
-                .when(obj, truthy_first(_vget(p, "$.date"), _vget(p, "$.time"))))
-    raw_val = F.when(pair, _vget(p, "$[1]", "double")).when(obj, _vget(p, "$.value", "double"))
-    raw_txt = F.when(pair, _vget(p, "$[1]")).when(obj, _vget(p, "$.value"))
-    return (pts.filter(obj | pair)
-            .select(F.substring(_py_str(raw_date), 1, 10).alias("date"),
-                    F.col("instrument").alias("instrument_id"),
-                    raw_txt.alias("value_text"), raw_val.alias("value"))
-            .filter(F.col("value_text").isNotNull())
-            # a text that is no number is a reject, like an impossible date: never a NULL value row
-            .withColumn("rejected", F.col("value").isNull())
-            .filter(F.lit(keep_rejects) | ~F.col("rejected"))
-            .drop(*(["value_text"] if keep_rejects else ["value_text", "rejected"])))
+    # cpi: a place of a list and a field of an object are NULL on every point of another shape, so
+    # one look at each decides (pairs before objects, as in the source) and no point is cast whole.
+    # NULL values are dropped (P13); a value of either kind shows that the point is a pair or an object.
+    raw_date = F.coalesce(_vget(p, "$[0]"), truthy_first(_vget(p, "$.date"), _vget(p, "$.time")))
+    value = F.coalesce(_vget(p, "$[1]", "double"), _vget(p, "$.value", "double"))
+    fields = [F.substring(_py_str(raw_date), 1, 10).alias("date"), value.alias("value")]
+    if keep_rejects:
+        fields.append(F.coalesce(_vget(p, "$[1]"), _vget(p, "$.value")).alias("value_text"))
+    # Decoded once per point, in a generator of one row: Spark would copy the decoding into every
+    # filter above a plain projection (a caller's date window, too).
+    rows = pts.select(F.col("instrument").alias("instrument_id"), F.inline(F.array(F.struct(*fields))))
+    # a text that is no number is a reject, like an impossible date: never a NULL value row
+    if keep_rejects:
+        return (rows.filter(F.col("value_text").isNotNull())
+                .select("date", "instrument_id", "value_text", "value", F.col("value").isNull().alias("rejected")))
+    return rows.filter(F.col("value").isNotNull()).select("date", "instrument_id", "value")
 
 
 def discover_attributes(pages: DataFrame, profile: str = "strict",
