@@ -48,18 +48,23 @@ def sort_rows(rows: DataFrame) -> DataFrame:
 
 
 def fetch_series(obs: DataFrame, cat: DataFrame, requests: DataFrame, end_ymd, *, months: int = 6,
-                 unit: str = "Index", sort: bool = False) -> DataFrame:
+                 unit: str = "Index", sort: bool = False, few: bool = False) -> DataFrame:
     """X8 (one tier or many): price rows of the selected instruments inside the window.
 
     ``obs`` is the CPI flatten output (date text, instrument_id, value); ``end_ymd`` is the
     window end (``YYYYMMDD`` text or Column). The result has the CPI schema plus ``tier``.
     ``sort=True`` applies T1 here; otherwise sort when consuming (:func:`sort_rows`) or within
     partitions when writing (:func:`save_snapshot`), which avoids a range-partitioning pass.
+
+    The selection is the side that is hashed, one shuffle partition at a time, and the price rows
+    stream past it unsorted. Without the hint Spark broadcasts the price rows of a few hundred MB
+    of pages: it takes them for small, as few columns of the page schema are left. ``few`` as in
+    :func:`select_series`.
     """
-    sel = select_series(cat, requests, unit).select("tier", "instrument_id", "series", "dataset", "name")
+    sel = select_series(cat, requests, unit, few=few).select("tier", "instrument_id", "series", "dataset", "name")
     lo, hi = window_bounds(end_ymd, months)
     win = obs.filter((F.col("date") >= lo) & (F.col("date") <= hi))
-    rows = win.join(sel, "instrument_id")
+    rows = win.join(sel.hint("shuffle_hash"), "instrument_id")
     out = rows.select("tier", "date", "instrument_id", "series", "dataset", F.lit(unit).alias("unit"),
                       F.col("value").cast("double").alias("value"), F.col("name").alias("instrument_name"))
     return sort_rows(out) if sort else out

@@ -53,3 +53,11 @@ def test_j2_sends_the_requests_not_the_catalog(spark, sf_dir, broadcasts):
 
 def test_t3_sends_the_requests_not_the_catalog(spark, sf_dir, broadcasts):
     check_requests_are_sent(spark, sf_dir, "t3_first_missing")
+
+
+@pytest.mark.parametrize("name", ["x8_series_fetch", "x9_all_tiers"])
+def test_fetch_broadcasts_no_price_rows(spark, sf_dir, broadcasts, name):
+    load_all()
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    join = next(line for line in plan.splitlines() if "Join [instrument_id" in line)
+    assert "ShuffledHashJoin" in join and "BuildRight" in join and "BuildLeft" not in plan, plan
