@@ -223,7 +223,7 @@ _X8_SQL = (A.with_views("v3c", "v6") + f", {REQ_SQL}, {_END_SQL}, mreq AS (SELEC
 def _main_fetch(spark, sf_dir):
     req = tiers.curated_requests(spark).filter(F.col("tier") == "main_categories")
     obs = flatten_pages(land_price_pages(spark, sf_dir), "cpi")
-    return tiers.fetch_series(obs, catalog(spark, sf_dir), req, _end_ymd(spark, sf_dir), months=6)
+    return tiers.fetch_series(obs, catalog(spark, sf_dir), req, _end_ymd(spark, sf_dir), months=6, few=True)
 
 
 @query("x8_series_fetch", _X8_SQL)
