@@ -14,14 +14,18 @@ union. Documents with equal sets (128-bit hash) are one *node*.
    smallest); the smaller set's entry lies in its first 8 %. The same holds for two members of one group.
    Other pairs of groups are never opened. No pair at the limit is lost: the bound holds for its own first
    common token.
-4. Open. The full sets of a qualifying pair of groups - of the members with a qualifying entry - meet in
-   the task of one of the two, its home (bounded by the group limits and ``ROOM``), so a group is sent there
-   once for all the pairs it is home of. A member takes part if its overlap with the other group's whole token union allows a link; the rest are
-   compared exactly through an inverted index. Spanning links leave the task.
-5. ``components`` of the links.
-
-Sets are never stored but for opened groups; they are made anew from the texts. The order and the choice
-of groups only decide how much is opened, never what is linked. Tokens are 64-bit hashes.
+4. Meet. The members with a qualifying entry of a qualifying pair of groups meet in the task of one of
+   the two, its home (bounded by the group limits and ``ROOM``), so a group is sent there once for all the
+   pairs it is home of. First their sketches meet: a bit for every place that an odd number of the set's
+   tokens fall on. Two sketches differ in no more places than the sets differ in tokens, so a pair whose
+   sketches differ too much is no link, and a member without a near partner is not opened.
+5. Open. The full sets of the others follow. A member takes part if its overlap with the other group's whole
+   token union allows a link; the rest are compared exactly through an inverted index. Spanning links leave
+   the task.
+6. ``components`` of the links.
+
+Sets are never stored but for opened groups; they are made anew from the texts. The order, the choice of
+groups and the sketches only decide how much is opened, never what is linked. Tokens are 64-bit hashes.
 """
 from __future__ import annotations
 
@@ -29,7 +33,7 @@ import gc
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tessera.llm import textvec as tv
 from tessera.llm.common import written
@@ -52,6 +56,36 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return int(tv.sequence_hash(tokens).view(np.int64)), int(tv.sequence_hash(other).view(np.int64))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity of the set's tokens on each of 2 ** k places, n / 2 to n of them (64 at least)."""
+    bits = max(6, (len(tokens) - 1).bit_length() - 1) if len(tokens) else 6
+    odd = np.bincount((tokens & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches as rows of ``size`` bytes: longer ones are folded, which keeps the parity of each place."""
+    return np.array([np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, size)) for x in sketches])
+
+
+def near(own: list[bytes], n_own: np.ndarray, other: list[bytes] | None, n_other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets of own, and of other, may have a link to the other side; with ``other`` None inside own."""
+    size = min(map(len, own + (other or [])))
+    left = folded(own, size)
+    right = left if other is None else folded(other, size)
+    some, met = np.zeros(len(left), bool), np.zeros(len(right), bool)
+    for i in range(len(left)):
+        apart = np.bitwise_count((left[i] ^ right).view(np.uint64)).sum(axis=1, dtype=np.int64)
+        apart = np.maximum(apart, np.abs(n_own[i] - n_other))
+        # at the limit the sets differ in (100 - SIMILAR) / (100 + SIMILAR) of their tokens
+        able = (100 + SIMILAR) * apart <= (100 - SIMILAR) * (n_own[i] + n_other)
+        if other is None:
+            able[i] = False
+        some[i] = able.any()
+        met |= able
+    return some, met
+
+
 def _set_rows(batches, keep=None):
     """(slice of documents, their sets) of Arrow batches; ``keep(part)`` chooses rows first."""
     for batch in batches:
@@ -63,7 +97,7 @@ def _set_rows(batches, keep=None):
 
 
 def documents(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(doc_id, tie, n, hi, lo, low): one row per document; hi and lo are null without words."""
+    """(doc_id, tie, n, hi, lo, low, sketch): one row per document; hi and lo are null without words."""
 
     def rows(batches):
         for part, sets in _set_rows(batches):
@@ -72,11 +106,12 @@ def documents(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                 "doc_id": part.column("doc_id"), "tie": part.column("tie"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "hi": pa.array([h for h, _ in ids], pa.int64()), "lo": pa.array([x for _, x in ids], pa.int64()),
-                "low": pa.array([s[:LOW].view(np.int64) for s in sets], pa.list_(pa.int64()))})
+                "low": pa.array([s[:LOW].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                "sketch": pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())})
 
     return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"),
                         F.col(text).alias("text"))
-            .mapInArrow(rows, "doc_id long, tie long, n long, hi long, lo long, low array<long>"))
+            .mapInArrow(rows, "doc_id long, tie long, n long, hi long, lo long, low array<long>, sketch binary"))
 
 
 def grouped(nodes: DataFrame, kept: DataFrame) -> DataFrame:
@@ -114,36 +149,30 @@ def prefixes(docs: DataFrame, text: str, frequent) -> DataFrame:
 
 def shared_tokens(first: DataFrame) -> DataFrame:
     """(token, group, node, n, rest) of the tokens of ``first(group, node, n, prefix)`` that several nodes
-    may hold; ``rest``: how many of the set's tokens follow, the token included.
-
-    Most tokens are in one prefix only. Those that are not are found on a half of the hash; a bitmap of
-    fixed size lets through all of them, and some others."""
+    hold; ``rest``: how many of the set's tokens follow, the token included.
 
-    def halves(batches):
-        for batch in batches:
-            token = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.int64)
-            yield pa.RecordBatch.from_pydict({"t": pa.array((token >> 32).astype(np.int32))})
-
-    half = first.select("prefix").mapInArrow(halves, "t int").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    more = half.where(F.col("n") > 1).select(F.shiftleft(F.col("t").cast("long"), 32).alias("t"))
-    bits = first.sparkSession.sparkContext.broadcast(bitmap(more, "t"))
+    Most tokens are in one prefix only. Each is sent once, to its hash, and leaves the task only if it is
+    not alone there."""
 
     def rows(batches):
         for batch in batches:
-            prefix = batch.column("prefix").to_pylist()
-            size = np.array([len(p) // 8 for p in prefix], np.int64)
-            token = np.frombuffer(b"".join(prefix), np.int64)
-            row = np.repeat(np.arange(len(size)), size)
-            n = batch.column("n").to_numpy()[row]
-            rest = n - (np.arange(len(token)) - (np.cumsum(size) - size)[row])
-            keep = np.flatnonzero(passes(bits.value, token.view(np.uint64)))
-            yield pa.RecordBatch.from_pydict({
-                "token": pa.array(token[keep]), "group": pa.array(batch.column("group").to_numpy()[row[keep]]),
-                "node": pa.array(batch.column("node").to_numpy()[row[keep]]),
-                "n": pa.array(n[keep]), "rest": pa.array(rest[keep])})
-
-    return first.select("group", "node", "n", "prefix").mapInArrow(
+            names = batch.schema.names
+            wide = batch.column("prefix").cast(pa.large_binary())
+            for part in tv.bounded_slices(batch.set_column(names.index("prefix"), "prefix", wide), "prefix"):
+                prefix = part.column("prefix").to_pylist()
+                size = np.array([len(p) // 8 for p in prefix], np.int64)
+                token = np.frombuffer(b"".join(prefix), np.int64)
+                row = np.repeat(np.arange(len(size)), size)
+                n = part.column("n").to_numpy()[row]
+                yield pa.RecordBatch.from_pydict({
+                    "token": pa.array(token), "group": pa.array(part.column("group").to_numpy()[row]),
+                    "node": pa.array(part.column("node").to_numpy()[row]), "n": pa.array(n),
+                    "rest": pa.array(n - (np.arange(len(token)) - (np.cumsum(size) - size)[row]))})
+
+    every = first.select("group", "node", "n", "prefix").mapInArrow(
         rows, "token long, group long, node long, n long, rest long")
+    return (every.withColumn("holders", F.count(F.lit(1)).over(W.partitionBy("token")))
+            .where("holders > 1").drop("holders"))
 
 
 def matrix(tokens: DataFrame) -> DataFrame:
@@ -257,10 +286,7 @@ def home_links(table: pa.Table) -> pa.Table:
     node = table.column("node").to_numpy()
     home = table.column("home")[0].as_py()
     sets = [from_planes(t) for t in table.column("tokens").to_pylist()]
-    own, away = {}, {}
-    for k, (mine, groups) in enumerate(zip(table.column("own").to_pylist(), table.column("away").to_pylist())):
-        for g in groups:
-            (own if mine else away).setdefault(g, []).append(k)
+    own, away = _sides(table)
     a, b = [], []
     for g, mine in own.items():
         theirs = away.get(g, [])
@@ -272,11 +298,46 @@ def home_links(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def opened(docs: DataFrame, text: str, members: DataFrame, places: DataFrame) -> DataFrame:
+def home_near(table: pa.Table) -> pa.Table:
+    """The rows of a home (one part) that may be in a link, each with those of its ``away`` groups where it may."""
+    n = table.column("n").to_numpy()
+    home = table.column("home")[0].as_py()
+    sketches = table.column("sketch").to_pylist()
+    own, away = _sides(table)
+    left = [[] for _ in sketches]
+    for g, mine in own.items():
+        theirs = away.get(g, []) if g != home else mine
+        if theirs:
+            some, met = near([sketches[k] for k in mine], n[mine],
+                             [sketches[k] for k in theirs] if g != home else None, n[theirs])
+            for k, stays in zip(mine + (theirs if g != home else []), [*some, *(met if g != home else [])]):
+                if stays:
+                    left[k].append(g)
+    rows = np.flatnonzero([bool(x) for x in left])
+    return pa.table({"away" if c == "away" else c: pa.array([left[k] for k in rows], pa.list_(pa.int64()))
+                     if c == "away" else table.column(c).take(pa.array(rows))
+                     for c in ("hi", "lo", "node", "home", "part", "own", "away")})
+
+
+def _sides(table: pa.Table) -> tuple[dict, dict]:
+    """Row numbers of a home's own members and of the others, by away group."""
+    own, away = {}, {}
+    for k, (mine, groups) in enumerate(zip(table.column("own").to_pylist(), table.column("away").to_pylist())):
+        for g in groups:
+            (own if mine else away).setdefault(g, []).append(k)
+    return own, away
+
+
+def opened(docs: DataFrame, text: str, members: DataFrame, sketches: DataFrame, places: DataFrame) -> DataFrame:
     """(a, b): spanning links of the members that ``places(node, g, h, first)`` opens for each pair of groups
-    (g = h: inside one; ``first``: the member is in g)."""
+    (g = h: inside one; ``first``: the member is in g). ``sketches(node, n, sketch)``: of all members."""
     spark = docs.sparkSession
-    need = written(members.join(places.select("node").distinct(), "node", "left_semi"), "opened-members")
+    # the small rows meet first: a set is moved once to its name and once to each of its homes
+    need = members.join(places.select("node").distinct(), "node", "left_semi")
+    meet = homes(places, need).join(sketches, "node").groupBy("home", "part").applyInArrow(
+        home_near, "hi long, lo long, node long, home long, part long, own boolean, away array<long>")
+    goes = written(meet, "opened-homes")
+    need = written(members.join(goes.select("node").distinct(), "node", "left_semi").select("tie"), "opened-members")
     ties = spark.sparkContext.broadcast(bitmap(need, "tie"))           # fixed size
     texts = docs.select(F.xxhash64(text).alias("tie"), F.col(text).alias("text")).where(F.col(text).isNotNull())
 
@@ -292,8 +353,6 @@ def opened(docs: DataFrame, text: str, members: DataFrame, places: DataFrame) ->
                 "tokens": pa.array([planes(s) for s in some.values()], pa.binary())})
 
     sets = texts.mapInArrow(rows, "hi long, lo long, tokens binary").dropDuplicates(["hi", "lo"])
-    # the small rows meet first: a set is moved once to its name and once to each of its homes
-    goes = written(homes(places, need), "opened-homes")
     dealt = sets.join(goes, ["hi", "lo"]).select("home", "part", "own", "away", "node", "tokens")
     return dealt.groupBy("home", "part").applyInArrow(home_links, "a long, b long")
 
@@ -315,27 +374,29 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     spark = docs.sparkSession
     own = written(documents(docs, text, doc_id), "tgm-documents")
     nodes = own.where("hi is not null").groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("least_id"), F.min("tie").alias("tie"), F.max("n").alias("n"), F.first("low").alias("low"))
+        F.min("doc_id").alias("least_id"), F.min("tie").alias("tie"), F.max("n").alias("n"), F.first("low").alias("low"),
+        F.first("sketch").alias("sketch"))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "tgm-nodes")
     kept = nodes.select(F.explode("low").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("nodes"))
     kept = written(kept.where(F.col("nodes") > 1), "tgm-kept")
     frequent = spark.sparkContext.broadcast(bitmap(kept.where(F.col("nodes") >= SHARED), "token"))     # fixed size
     members = written(grouped(nodes, kept), "tgm-groups")
     first = prefixes(docs, text, frequent).groupBy("hi", "lo").agg(F.first("prefix").alias("prefix"))
-    first = written(first.join(members.drop("tie"), ["hi", "lo"]).drop("hi", "lo"), "tgm-prefixes")
-    tokens = written(shared_tokens(first), "tgm-tokens")
+    _release(spark)
+    tokens = written(shared_tokens(first.join(members.drop("tie"), ["hi", "lo"])), "tgm-tokens")
+    _release(spark)
     found = written(qualifying(written(matrix(tokens), "tgm-matrix")), "tgm-qualifying")
     # a member can only be in a link of a qualifying pair of which it holds an entry
     held = found.select("token", "g", "h", F.explode(F.array_distinct(F.array("g", "h"))).alias("group"))
     places = written(tokens.join(held, ["token", "group"]).select(
         "node", "g", "h", (F.col("group") == F.col("g")).alias("first")).distinct(), "tgm-places")
     _release(spark)
-    links = written(opened(docs, text, members, places), "tgm-links")
+    links = written(opened(docs, text, members, nodes.select("node", "n", "sketch"), places), "tgm-links")
     _release(spark)
     found = components(links)
     home = nodes.join(found, "node", "left").select("hi", "lo", "least_id", F.coalesce("component", "node").alias("component"))
     ids = home.groupBy("component").agg(F.min("least_id").alias("component_id"))
     home = home.join(ids, "component").select("hi", "lo", "component_id")
-    return own.drop("low", "tie").join(home, ["hi", "lo"], "left").select(
+    return own.drop("low", "tie", "sketch").join(home, ["hi", "lo"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("hi").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import tgm
@@ -123,5 +124,54 @@ def test_a_member_goes_once_to_a_home(spark):
         (11, 0, False, [1]), (12, 0, False, [2]), (13, 0, False, [3]), (100, 0, True, [0, 1, 2, 3])]
 
 
+def test_only_shared_tokens_are_kept(spark):
+    """Tokens that agree in their upper half, or in the places of any bitmap, are not the same token."""
+    token = [(5 << 40) + i for i in range(6)]
+    prefix = {1: token[:3], 2: token[2:4], 3: token[4:5], 4: token[5:]}
+    first = spark.createDataFrame(
+        [(k % 2, k, 10, np.array(t, np.int64).tobytes()) for k, t in prefix.items()],
+        "group long, node long, n long, prefix binary")
+    assert sorted(map(tuple, tgm.shared_tokens(first).collect())) == [(token[2], 0, 2, 10, 10), (token[2], 1, 1, 10, 8)]
+
+
+def some_sets(rng, sizes):
+    return [np.unique(rng.integers(0, 2 ** 64, n, np.uint64, endpoint=False)) for n in sizes]
+
+
+def test_sketches_keep_every_link():
+    """Pairs at the limit and of unlike sizes are near, whatever the sketches' lengths; unlike sets are not."""
+    rng = np.random.default_rng(8)
+    for n in (1, 7, 64, 65, 128, 129, 500, 1025, 9000):
+        own, = some_sets(rng, [n])
+        cut = n - 15 * n // 100
+        swapped = np.sort(np.concatenate([own[n * 15 // 185:], *some_sets(rng, [n * 15 // 185])]))
+        longer = np.sort(np.concatenate([own, *some_sets(rng, [n * 15 // 85])]))
+        for like in (own, own[:cut], swapped, longer):
+            assert 100 * len(np.intersect1d(own, like)) >= 85 * len(np.union1d(own, like))
+            some, met = tgm.near([tgm.sketch(own)], np.array([n]), [tgm.sketch(like)], np.array([len(like)]))
+            assert some.all() and met.all()
+    for sizes in ([300, 301], [1024, 1025], [5000, 5600]):
+        sets = some_sets(rng, sizes)
+        some, met = tgm.near([tgm.sketch(sets[0])], np.array(sizes[:1]), [tgm.sketch(sets[1])], np.array(sizes[1:]))
+        assert not some.any() and not met.any()
+
+
+def test_members_without_a_near_partner_are_not_opened():
+    """Of a home and two other groups only those stay that may be linked, for the groups where they may."""
+    rng = np.random.default_rng(9)
+    a, b, c, d = some_sets(rng, [200] * 4)
+    like = np.sort(np.concatenate([a[4:], b[:4]]))
+    rows = [(0, True, [0, 1, 2], a), (1, True, [0, 1, 2], b), (2, False, [1], like), (3, False, [1], c), (4, False, [2], d)]
+    table = pa.table({
+        "hi": [k for k, *_ in rows], "lo": [k for k, *_ in rows], "node": [k for k, *_ in rows],
+        "home": [0] * 5, "part": [0] * 5, "own": [o for _, o, _, _ in rows], "away": [g for _, _, g, _ in rows],
+        "n": [len(s) for *_, s in rows], "sketch": [tgm.sketch(s) for *_, s in rows]})
+    assert [(r["node"], r["own"], r["away"]) for r in tgm.home_near(table).to_pylist()] == [(0, True, [1]), (2, False, [1])]
+    inside = table.slice(0, 2).set_column(6, "away", pa.array([[0], [0]]))
+    assert tgm.home_near(inside).num_rows == 0
+    inside = pa.concat_tables([inside, inside])
+    assert tgm.home_near(inside).column("away").to_pylist() == [[0]] * 4
+
+
 def test_empty(empty):
     assert tgm.jaccard_components(empty).count() == 0
