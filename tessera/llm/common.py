@@ -24,16 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return read_table(spark, sf_dir, name).select(*columns)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, group: int | None = None) -> DataFrame:
     """``df`` as a table in the cluster's shared folder, read back.
 
     This cuts the lineage in a way that survives lost executors, keeps costly work from being done
     twice and fixes values that depend on task order (such as ``spread``). The folder is scratch
     space below ``spark.checkpoint.dir`` and belongs to the session.
+
+    ``group``: bytes of a row group, about, for rows of a megabyte or so. By default the writer looks at
+    sizes only every 100 rows and holds a page of so many, several times over; and a reader opens a whole
+    row group at once.
     """
     _bounded_batches(df.sparkSession)
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    bounds = {"parquet.block.size": group, "parquet.page.size.row.check.min": 1} if group else {}
+    df.write.options(**bounds).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

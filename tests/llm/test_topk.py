@@ -93,3 +93,71 @@ def test_components_of_any_finite_size(spark, monkeypatch, kind):
             best = sorted((-clip(sum(a * b for a, b in zip(q, x))), u is None, u or 0) for j, (u, x) in enumerate(use) if j != i)
             want.update((v, r + 1, None if none else u, -s) for r, (s, none, u) in enumerate(best[:5]))
     assert got == want
+
+
+def _sent(plan, below=False):
+    """Bytes that the exchanges below the plan's Python step wrote."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _sent(plan.executedPlan(), below)
+    if name.endswith("QueryStageExec"):
+        return _sent(plan.plan(), below)
+    below |= name == "MapInArrowExec"
+    own = plan.metrics().apply("dataSize").value() if below and name == "ShuffleExchangeExec" else 0
+    children = plan.children()
+    return own + sum(_sent(children.apply(i), below) for i in range(children.size()))
+
+
+def test_blocks_are_sent_once(spark, monkeypatch):
+    """What meets the queries does not grow with the number of batches times that of blocks."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(800, 16)))], "vec_id long, embedding array<float>")
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    sent, got = [], []
+    for batch in (160, 8):
+        monkeypatch.setattr(topk, "QUERIES", batch)
+        found = topk.top_k(df, F.col("vec_id") % 5 == 0, 3)
+        got.append(Counter(map(tuple, found.collect())))
+        sent.append(_sent(found._jdf.queryExecution().executedPlan()))
+    assert got[0] == got[1] and sum(got[0].values()) == 160 * 3
+    assert 0 < sent[1] < 2 * sent[0]
+
+
+@pytest.mark.parametrize("span", [1 << 24, 200])
+def test_spans_and_floors(spark, monkeypatch, span):
+    """Many blocks in a task: ties across blocks go to the smaller id, nulls last; scores beyond 2 ** 24 and 2 ** 53 are exact."""
+    monkeypatch.setattr(topk, "BLOCK", 10)
+    monkeypatch.setattr(topk, "QUERIES", 9)
+    monkeypatch.setattr(topk, "SPAN", span)
+    monkeypatch.setattr(topk, "TASKS", 0)
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 400), [rng.choice([-1.0, 0.5, 1.0]) for _ in range(4)]) for _ in range(300)]
+    rows += [(None, [1.0] * 4) for _ in range(8)] + [(2 ** 63 - 1, [1.0] * 4), (0, [0.0] * 4)]
+    rows += [(500 + i, [rng.gauss(0, 900) for _ in range(4)]) for i in range(40)]
+    rows += [(600 + i, [float(rng.randint(-10 ** 5, 10 ** 5)) for _ in range(4)]) for i in range(40)]
+    assert run(spark, rows, 5) == brute(rows, 5)
+
+
+def test_stops_that_save_work_are_exact():
+    """Energy in a few of many dimensions: bounds are worth trying there, with and without a floor from other blocks."""
+    rng = np.random.default_rng(2)
+    x = np.zeros((900, 400), np.int32)
+    x[:, :7] = rng.integers(1900, 2000, (900, 7)) * rng.choice([-1, 1], (900, 7))
+    x[:, 7:] = rng.integers(-2, 3, (900, 393))
+    at, dim = np.nonzero(x)
+    value = x[at, dim]
+    order = np.lexsort((at, dim, value, -np.abs(value)))
+    at, dim, value = at[order], dim[order], value[order]
+    first = np.flatnonzero(np.concatenate([[True], (dim[1:] != dim[:-1]) | (value[1:] != value[:-1])]))
+    block = {"x": x, "dims": dim[first], "impacts": value[first], "sizes": np.diff(np.append(first, len(at))),
+             "postings": at, "order": np.arange(900)[::-1]}
+    q, own = x[:700], np.where(np.arange(700) % 2, np.arange(700), -1)
+    full = q.astype(np.int64) @ x.T.astype(np.int64)
+    full[own >= 0, own[own >= 0]] = -10 ** 15
+    for least in (np.full(700, topk.NONE), np.sort(full, 1)[:, -2]):
+        query, best, score = topk.block_best(block, q, own, 2, least)
+        assert block["stops"]
+        for j in range(700):
+            want = np.lexsort((block["order"], -full[j]))[:2]
+            want = want[full[j][want] >= least[j]]
+            assert best[query == j].tolist() == want.tolist() and score[query == j].tolist() == full[j][want].tolist()
