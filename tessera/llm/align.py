@@ -17,6 +17,7 @@ gives no rows; other columns are ignored. A very long text is a slice of its own
 """
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import json
 import re
@@ -34,6 +35,7 @@ SLICE = 2 << 20             # bytes of text in a slice
 KEPT = 200_000              # chunks that a worker keeps (speed only)
 BATCH = 10_000              # chunks encoded at once
 LONGEST = 200               # bytes of a chunk that is kept
+GROUP = 16 << 20            # bytes of a row group of the stored slices (a slice's row has one or two megabytes)
 
 SLICES = ("slice long, doc_id array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<int>, "
           "sha array<string>, pairs array<long>, pair_docs array<int>, doc_first binary, doc_chunk binary, "
@@ -189,6 +191,15 @@ class Aligner:
         return row
 
 
+def release() -> None:
+    """Give the memory of a finished slice back: the allocators keep it, beside the executor's own."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):        # not glibc
+        pass
+
+
 _aligners: dict[tuple[str, str], Aligner] = {}
 
 
@@ -298,6 +309,8 @@ def slices(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     out[name] = pa.array([value], kind)
                 number += 1
                 yield pa.RecordBatch.from_pydict(out)
+                del out
+                release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SLICES)
 
@@ -319,7 +332,7 @@ def aligned(docs: DataFrame, tokenizer_a: str | None = None, tokenizer_b: str |
     ``count_sum``: the documents of every link's pair, summed.
     """
     stored = written(slices(docs, tokenizer_a or tokenizer_path("byte_bpe_50k.json"),
-                            tokenizer_b or tokenizer_path("piece_bpe_32k.model")), "aligned")
+                            tokenizer_b or tokenizer_path("piece_bpe_32k.model")), "aligned", GROUP)
     here = stored.select(F.col("slice").alias("of"), F.posexplode("pairs").alias("pos", "pair"))
     back = here.join(pair_counts(stored), "pair").select("of", "pos", "n", "best")
 

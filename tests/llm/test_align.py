@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 import pytest
 
 from tessera.llm import align
@@ -92,3 +93,23 @@ def test_coalesce():
     ga, gb, la, lb = align.coalesce(np.append(0, a)[:-1], a, np.append(0, b)[:-1], b)
     assert ga.tolist() == [0, 0, 1, 1] and gb.tolist() == [0, 0, 1]
     assert list(zip(la.tolist(), lb.tolist())) == [(0, 0), (0, 1), (1, 1), (2, 2), (3, 2)]
+
+
+def test_stored_slices_lie_in_small_row_groups(spark, monkeypatch):
+    """Slices have large rows: neither a writer nor a reader may have to hold many of them at once."""
+    monkeypatch.setattr(align, "SLICE", 20_000)
+    monkeypatch.setattr(align, "GROUP", 100_000, raising=False)
+    files, write = [], align.written
+
+    def noted(*args):
+        out = write(*args)
+        files.extend(f.removeprefix("file:") for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(align, "written", noted)
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(400)) for _ in range(500)]
+    assert align.aligned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).count() == 500
+    found = [pq.ParquetFile(f).metadata for f in files if "aligned-" in f]
+    groups = [m.row_group(i) for m in found for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) >= 30 and max(g.total_byte_size for g in groups) < 300_000
